@@ -1,0 +1,21 @@
+"""Physical layout helpers: parallelism of CPU-heavy stages."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread rows over the default parallelism when the input scan has
+    fewer partitions than that (a small or unsplittable file).
+
+    Parsing costs far more CPU per row than scanning; a one-file input would
+    otherwise parse on one core.  With many input splits (the normal case at
+    scale) this is a no-op and adds no shuffle.
+    """
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. no RDD access in a remote session
+        return df
+    return df.repartition(target, key) if current < target else df
