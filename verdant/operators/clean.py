@@ -157,10 +157,9 @@ def to_target(df: DataFrame, keep_row_no: bool = False) -> DataFrame:
 
 # -- whole chains ------------------------------------------------------------
 
-def clean(raw: DataFrame, run_ts: str | None = None,
-          formats: Sequence[str] = K.TIMESTAMP_FORMATS,
-          max_future: str | None = None, keep_row_no: bool = False) -> DataFrame:
-    """Raw grid -> clean readings in the fact-table shape.
+def clean_typed(t: DataFrame, run_ts: str | None = None,
+                max_future: str | None = None, keep_row_no: bool = False) -> DataFrame:
+    """Typed rows -> clean readings in the fact-table shape.
 
     Validity depends only on the key columns, so every row of a key group
     is valid or none is, and dropping invalid rows after the dedup equals
@@ -168,15 +167,21 @@ def clean(raw: DataFrame, run_ts: str | None = None,
     Catalyst keeps that filter above the window instead of pushing a copy of
     the whole parse expression into the scan.
     """
-    t = typed(raw, formats).withColumn(
-        "_ok", base_reject_reason(max_future, run_ts).isNull())
+    t = t.withColumn("_ok", base_reject_reason(max_future, run_ts).isNull())
     t = dedup_keep_last(t).where("_ok").drop("_ok")
     t = drop_empty_rows(t)
     return to_target(add_metadata(t, run_ts), keep_row_no=keep_row_no)
 
 
-def classify(raw: DataFrame, formats: Sequence[str] = K.TIMESTAMP_FORMATS,
-             max_future: str | None = None, run_ts: str | None = None) -> DataFrame:
+def clean(raw: DataFrame, run_ts: str | None = None,
+          formats: Sequence[str] = K.TIMESTAMP_FORMATS,
+          max_future: str | None = None, keep_row_no: bool = False) -> DataFrame:
+    """Raw grid -> clean readings in the fact-table shape."""
+    return clean_typed(typed(raw, formats), run_ts, max_future, keep_row_no)
+
+
+def classify_typed(t: DataFrame, max_future: str | None = None,
+                   run_ts: str | None = None) -> DataFrame:
     """Every typed row with ``reject_reason`` (NULL for rows that are kept).
 
     The winner of each key comes from a partial/final hash aggregate over
@@ -184,7 +189,7 @@ def classify(raw: DataFrame, formats: Sequence[str] = K.TIMESTAMP_FORMATS,
     the row side).  Rows with a NULL key never match, so they keep their
     row-local reason.
     """
-    t = typed(raw, formats).withColumn("_base", base_reject_reason(max_future, run_ts))
+    t = t.withColumn("_base", base_reject_reason(max_future, run_ts))
     last = t.groupBy(*K.KEY_COLS).agg(F.max(K.ROW_NO).alias("_last"))
     j = t.join(last, on=K.KEY_COLS, how="left")
     reason = (F.when(F.col("_base").isNotNull(), F.col("_base"))
@@ -193,6 +198,11 @@ def classify(raw: DataFrame, formats: Sequence[str] = K.TIMESTAMP_FORMATS,
     return j.withColumn(K.REJECT_COL, reason).drop("_base", "_last")
 
 
+def classify(raw: DataFrame, formats: Sequence[str] = K.TIMESTAMP_FORMATS,
+             max_future: str | None = None, run_ts: str | None = None) -> DataFrame:
+    return classify_typed(typed(raw, formats), max_future, run_ts)
+
+
 def rejects(raw: DataFrame, **kw) -> DataFrame:
     """Rows that do not reach the fact table, with the reason."""
     return classify(raw, **kw).where(F.col(K.REJECT_COL).isNotNull())
