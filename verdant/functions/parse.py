@@ -45,9 +45,18 @@ def parse_timestamp(c: Column | str, formats: Sequence[str] = TIMESTAMP_FORMATS,
 
 
 def parse_number(c: Column | str, stripped: bool = False) -> Column:
-    """Text -> DOUBLE; anything that is not a plain finite number is NULL."""
-    txt = _col(c) if stripped else strip(_col(c))
-    return F.when(txt.rlike(NUMBER_RE), txt.try_cast(T.DoubleType()))
+    """Text -> DOUBLE; anything that is not a plain finite number is NULL.
+
+    Cells that already are a bare number take the short path (one regex
+    test, one cast); only the others pay for the Unicode strip.
+    """
+    raw = _col(c)
+    bare = F.when(raw.rlike(NUMBER_RE), raw.try_cast(T.DoubleType()))
+    if stripped:
+        return bare
+    txt = strip(raw)
+    return F.when(raw.rlike(NUMBER_RE), raw.try_cast(T.DoubleType())).when(
+        txt.rlike(NUMBER_RE), txt.try_cast(T.DoubleType()))
 
 
 def nan_to_null(c: Column | str) -> Column:

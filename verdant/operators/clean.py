@@ -41,25 +41,31 @@ def strip_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.strip() for c in df.columns])
 
 
+def _renamed(columns: Sequence[str]) -> dict[str, str]:
+    """Source column -> output name: headers trimmed, then mapped."""
+    return {c: K.RENAME_MAP.get(c.strip(), c.strip()) for c in columns}
+
+
 def missing_columns(df: DataFrame) -> list[str]:
-    return [c for c in K.RENAME_MAP.values() if c not in df.columns]
+    names = set(_renamed(df.columns).values())
+    return [c for c in K.RENAME_MAP.values() if c not in names]
 
 
 def rename_columns(df: DataFrame) -> DataFrame:
     """Sheet headers -> column names; unmapped columns are kept.
 
     Expected columns that are absent are reported and added as NULL text,
-    so later steps and the fixed write projection never break.
+    so later steps and the fixed write projection never break.  A missing
+    ``timestamp`` fails before any job starts.  One projection.
     """
-    df = strip_headers(df)
-    df = df.withColumnsRenamed({k: v for k, v in K.RENAME_MAP.items() if k in df.columns})
-    missing = missing_columns(df)
+    mapping = _renamed(df.columns)
+    missing = [c for c in K.RENAME_MAP.values() if c not in set(mapping.values())]
     if "timestamp" in missing:
         raise KeyError("'timestamp' column missing from source data.")
     if missing:
         log.warning("Expected columns not found after rename: %s", missing)
-        df = df.withColumns({c: F.lit(None).cast(T.StringType()) for c in missing})
-    return df
+    return df.select(*[F.col(f"`{src}`").alias(dst) for src, dst in mapping.items()],
+                     *[F.lit(None).cast(T.StringType()).alias(c) for c in missing])
 
 
 def with_row_no(df: DataFrame) -> DataFrame:
@@ -72,25 +78,22 @@ def with_row_no(df: DataFrame) -> DataFrame:
 def typed(raw: DataFrame, formats: Sequence[str] = K.TIMESTAMP_FORMATS) -> DataFrame:
     """Rename and parse every contract column.
 
-    Three stacked projections (strip -> parse -> narrow): each input cell is
-    read by several expressions (format tries, regex guard, cast), and
-    separate projections make Catalyst compute the stripped text and the
-    parsed double once instead of once per reference.  Timestamps are
-    rounded to the second before any key comparison; numbers are coerced
-    (junk -> NULL) and narrowed to DECIMAL(p, 2).
+    Two stacked projections (strip/parse -> narrow): each input cell is read
+    by several expressions (format tries, regex guard, cast), and a separate
+    projection makes Catalyst compute the parsed value once instead of once
+    per reference.  Timestamps are rounded to the second before any key
+    comparison; numbers are coerced (junk -> NULL) and narrowed to
+    DECIMAL(p, 2).
     """
     df = spread(with_row_no(rename_columns(raw)), K.ROW_NO)
     extra = [c for c in df.columns if c not in K.RENAME_MAP.values() and c != K.ROW_NO]
-    text = ["timestamp", "plant_name", "status", *K.NUMERIC_COLS]
-    df = df.select(K.ROW_NO, *[strip(c).alias(c) for c in text],
-                   F.col("reading_time").cast(T.StringType()).alias("reading_time"), *extra)
     df = df.select(
         K.ROW_NO,
-        parse_timestamp("timestamp", formats, stripped=True).alias("timestamp"),
-        title_case("plant_name").alias("plant_name"),
-        title_case("status").alias("status"),
-        "reading_time",
-        *[parse_number(c, stripped=True).alias(c) for c in K.NUMERIC_COLS], *extra)
+        parse_timestamp("timestamp", formats).alias("timestamp"),
+        title_case(strip("plant_name")).alias("plant_name"),
+        title_case(strip("status")).alias("status"),
+        F.col("reading_time").cast(T.StringType()).alias("reading_time"),
+        *[parse_number(c).alias(c) for c in K.NUMERIC_COLS], *extra)
     return df.select(
         K.ROW_NO, "timestamp", "plant_name", "status", "reading_time",
         *[to_decimal(c, K.NUMERIC_PRECISION[c]).alias(c) for c in K.NUMERIC_COLS], *extra)
@@ -137,19 +140,26 @@ def drop_empty_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
     return df.dropna(how="all", subset=present) if present else df
 
 
+def audit_ts(run_ts: str | None = None) -> Column:
+    """Audit value: one timestamp per run (UTC, whole seconds)."""
+    return F.date_trunc("second", _run_ts_col(run_ts)).cast(T.TimestampNTZType())
+
+
 def add_metadata(df: DataFrame, run_ts: str | None = None) -> DataFrame:
-    """Audit column: one timestamp per run (UTC, whole seconds)."""
-    ts = _run_ts_col(run_ts)
-    return df.withColumn(K.AUDIT_COL, F.date_trunc("second", ts).cast(T.TimestampNTZType()))
+    return df.withColumn(K.AUDIT_COL, audit_ts(run_ts))
 
 
 def with_partition(df: DataFrame) -> DataFrame:
     return df.withColumn(K.PARTITION_COL, F.to_date("timestamp"))
 
 
-def to_target(df: DataFrame, keep_row_no: bool = False) -> DataFrame:
+def to_target(df: DataFrame, keep_row_no: bool = False,
+              audit: Column | None = None) -> DataFrame:
     """Fixed write projection (16 columns in order, contract types)."""
-    cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in K.TARGET_SCHEMA.fields]
+    src = {f.name: F.col(f.name) for f in K.TARGET_SCHEMA.fields}
+    if audit is not None:
+        src[K.AUDIT_COL] = audit
+    cols = [src[f.name].cast(f.dataType).alias(f.name) for f in K.TARGET_SCHEMA.fields]
     if keep_row_no:
         cols.append(F.col(K.ROW_NO))
     return df.select(*cols)
@@ -165,12 +175,14 @@ def clean_typed(t: DataFrame, run_ts: str | None = None,
     is valid or none is, and dropping invalid rows after the dedup equals
     dropping them before.  The flag ``_ok`` is not a window key, so
     Catalyst keeps that filter above the window instead of pushing a copy of
-    the whole parse expression into the scan.
+    the whole parse expression into the scan.  The keep-last window,
+    the validity flag and the empty-row test share one filter.
     """
-    t = t.withColumn("_ok", base_reject_reason(max_future, run_ts).isNull())
-    t = dedup_keep_last(t).where("_ok").drop("_ok")
-    t = drop_empty_rows(t)
-    return to_target(add_metadata(t, run_ts), keep_row_no=keep_row_no)
+    w = Window.partitionBy(*K.KEY_COLS).orderBy(F.col(K.ROW_NO).desc())
+    t = t.select("*", base_reject_reason(max_future, run_ts).isNull().alias("_ok"),
+                 F.row_number().over(w).alias("_rn"))
+    t = t.where((F.col("_rn") == 1) & F.col("_ok") & ~all_numeric_null())
+    return to_target(t, keep_row_no=keep_row_no, audit=audit_ts(run_ts))
 
 
 def clean(raw: DataFrame, run_ts: str | None = None,

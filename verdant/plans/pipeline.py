@@ -62,11 +62,26 @@ def _ts(v: str | dt.datetime | None) -> dt.datetime | None:
 def extract(raw: DataFrame, watermark: dt.datetime | None, overlap: str | None = None,
             formats: Sequence[str] = K.TIMESTAMP_FORMATS) -> DataFrame:
     """Typed rows newer than the mark (all rows when there is none)."""
-    t = CL.typed(raw, formats)
+    return extract_typed(CL.typed(raw, formats), watermark, overlap)
+
+
+def extract_typed(t: DataFrame, watermark: dt.datetime | None,
+                  overlap: str | None = None) -> DataFrame:
     cond = H.since_filter(watermark, overlap)
     return t if cond is None else t.where(cond)
 
 
+def stage_and_upsert(spark: SparkSession, clean: DataFrame, target_path: str):
+    """Stage a clean batch, then upsert it; returns (rows staged, UpsertResult)."""
+    obs = Observation("staged")
+    staged = stage(CL.with_partition(clean).observe(obs, F.count(F.lit(1)).alias("n")))
+    n = int(obs.get.get("n") or 0)
+    if not n:
+        return 0, None
+    dates = sorted(r[0] for r in staged.select(K.PARTITION_COL).distinct().collect())
+    return n, upsert(spark, staged, target_path, dates)
+
+
 def stage(df: DataFrame, partition: bool = True) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared scratch folder and read it back.
 
@@ -111,15 +126,12 @@ def run(spark: SparkSession, raw: DataFrame, target_path: str, state_path: str,
         log.info("Watermark: %s", res.watermark_before or "None (full load)")
         batch_plain = extract(raw, res.watermark_before, overlap, formats)
 
-        obs_in, obs_out = Observation("extracted"), Observation("clean")
+        obs_in = Observation("extracted")
         batch = batch_plain.observe(obs_in, F.count(F.lit(1)).alias("n"))
         ts_txt = started.isoformat(sep=" ")
-        clean = CL.clean_typed(batch, ts_txt, max_future)
-        clean = CL.with_partition(clean).observe(obs_out, F.count(F.lit(1)).alias("n"))
-        stage = fresh_dir(spark, "stage")
-        clean.write.partitionBy(K.PARTITION_COL).parquet(stage)
+        n_clean, up = stage_and_upsert(spark, CL.clean_typed(batch, ts_txt, max_future),
+                                       target_path)
         res.rows_extracted = int(obs_in.get.get("n") or 0)
-        n_clean = int(obs_out.get.get("n") or 0)
         res.rows_rejected = res.rows_extracted - n_clean
 
         if rejects_path:
@@ -128,10 +140,7 @@ def run(spark: SparkSession, raw: DataFrame, target_path: str, state_path: str,
              .withColumn("run_id", F.lit(res.run_id))
              .write.mode("append").parquet(rejects_path))
 
-        if n_clean:
-            staged = spark.read.schema(K.TABLE_SCHEMA).parquet(stage)
-            dates = sorted(r[0] for r in staged.select(K.PARTITION_COL).distinct().collect())
-            up = upsert(spark, staged, target_path, dates)
+        if up is not None:
             res.rows_loaded, res.rows_inserted, res.rows_updated = (
                 up.rows_loaded, up.rows_inserted, up.rows_updated)
             res.touched_dates = up.touched_dates

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contract import ROW_NO
+from ..plans.layout import spread
 
 # Copies of every event with event_id % COPY_MOD = 0 re-appear later in the grid.
 COPY_MOD = 29
@@ -68,8 +69,8 @@ def _cells(e: DataFrame) -> DataFrame:
 
 def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dirty grid R (see module doc); reads only the columns it needs."""
-    e = read_table(spark, sf_dir, "events").select(
-        "event_id", "ts", "user_id", "event_type", "value")
+    e = spread(read_table(spark, sf_dir, "events").select(
+        "event_id", "ts", "user_id", "event_type", "value"), "event_id")
     base = _cells(e)
     copies = (base.where((F.col(ROW_NO) % COPY_MOD) == 0)
               .withColumn(ROW_NO, F.col(ROW_NO) + COPY_OFFSET)

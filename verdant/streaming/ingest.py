@@ -22,7 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import contract as K
 from ..operators import clean as CL
-from ..operators.upsert import upsert
+from ..plans.pipeline import stage_and_upsert
 from ..session import configure, fresh_dir
 from ..sources.grid import _CSV_READ, EXTRA_COL, grid_schema, header
 
@@ -54,7 +54,8 @@ def process_batch(target_path: str, run_ts: str | None, max_future: str | None,
         configure(spark)
         clean = CL.clean(_with_ordinal(batch).drop(EXTRA_COL), run_ts=run_ts,
                          formats=formats, max_future=max_future)
-        upsert(spark, clean, target_path)
+        # Staged once (shared folder), so the date list and the merge read files.
+        stage_and_upsert(spark, clean, target_path)
     return fn
 
 
