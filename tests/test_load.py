@@ -1,0 +1,97 @@
+"""Upsert and high-water mark; the first four mirror the source system's load tests."""
+import datetime as dt
+import glob
+import os
+
+from pyspark.sql import functions as F
+
+from conftest import RUN_TS, SAMPLE_ROWS
+from verdant import contract as K
+from verdant.operators import clean as CL
+from verdant.operators import hwm as H
+from verdant.operators import upsert as UP
+
+
+def _clean(grid, rows, run_ts=RUN_TS):
+    return CL.clean(grid(rows), run_ts=run_ts)
+
+
+def test_load_returns_row_count(spark, grid, scratch):
+    res = UP.upsert(spark, _clean(grid, SAMPLE_ROWS[:1]), scratch("fact"))
+    assert res.rows_loaded == 1 and res.rows_inserted == 1
+
+
+def test_empty_load_returns_zero(spark, grid, scratch):
+    res = UP.upsert(spark, _clean(grid, []), scratch("fact"))
+    assert res.rows_loaded == 0
+
+
+def test_watermark_none_then_value(spark, scratch):
+    state = scratch("hwm")
+    assert H.read_hwm(spark, state) is None
+    H.update_hwm(spark, state, dt.datetime(2025, 4, 15, 2, 28, 40),
+                 updated_at=dt.datetime(2025, 5, 1, 10))
+    assert H.read_hwm(spark, state) == dt.datetime(2025, 4, 15, 2, 28, 40)
+
+
+def test_watermark_update_newest_wins(spark, scratch):
+    state = scratch("hwm")
+    H.update_hwm(spark, state, dt.datetime(2025, 4, 15), updated_at=dt.datetime(2025, 5, 1, 10))
+    H.update_hwm(spark, state, dt.datetime(2025, 5, 5, 16, 4, 32),
+                 updated_at=dt.datetime(2025, 5, 1, 11))
+    H.update_hwm(spark, state, dt.datetime(2030, 1, 1), pipeline="other",
+                 updated_at=dt.datetime(2025, 5, 1, 12))
+    assert H.read_hwm(spark, state) == dt.datetime(2025, 5, 5, 16, 4, 32)
+    assert H.current_state(spark, state).count() == 2
+
+
+# -- the MERGE semantics -------------------------------------------------------------
+
+def test_update_path_and_insert_path(spark, grid, scratch):
+    path = scratch("fact")
+    UP.upsert(spark, _clean(grid, SAMPLE_ROWS[:2]), path)
+    changed = list(SAMPLE_ROWS[0])
+    changed[2] = "Wilted"
+    res = UP.upsert(spark, _clean(grid, [changed, SAMPLE_ROWS[2]], "2025-05-02 00:00:00"), path)
+    assert (res.rows_loaded, res.rows_inserted, res.rows_updated) == (2, 1, 1)
+    table = {(r.plant_name, r.timestamp): r for r in UP.read_table(spark, path).collect()}
+    assert len(table) == 3
+    p1 = table[("Plant 1", dt.datetime(2025, 4, 15, 2, 28, 40))]
+    assert p1.status == "Wilted" and p1.etl_inserted_at == dt.datetime(2025, 5, 2)
+
+
+def test_upsert_is_idempotent(spark, grid, scratch):
+    path = scratch("fact")
+    src = _clean(grid, SAMPLE_ROWS)
+    UP.upsert(spark, src, path)
+    once = sorted(UP.read_table(spark, path).collect())
+    UP.upsert(spark, src, path)
+    assert sorted(UP.read_table(spark, path).collect()) == once
+
+
+def test_last_row_wins_inside_a_batch(spark, grid, scratch):
+    later = list(SAMPLE_ROWS[0])
+    later[2] = "Wilted"
+    t = CL.drop_bad_rows(CL.typed(grid([SAMPLE_ROWS[0], later])))
+    src = CL.add_metadata(t, RUN_TS)                  # duplicates not removed
+    path = scratch("fact")
+    UP.upsert(spark, src, path)
+    assert [r.status for r in UP.read_table(spark, path).collect()] == ["Wilted"]
+
+
+def test_only_touched_partitions_rewritten(spark, grid, scratch):
+    path = scratch("fact")
+    UP.upsert(spark, _clean(grid, SAMPLE_ROWS), path)
+    april = glob.glob(os.path.join(path, "reading_date=2025-04-15", "*.parquet"))
+    before = {f: os.path.getmtime(f) for f in april}
+    res = UP.upsert(spark, _clean(grid, SAMPLE_ROWS[2:]), path)
+    assert res.touched_dates == [dt.date(2025, 5, 5)]
+    assert {f: os.path.getmtime(f) for f in april} == before
+    assert UP.read_table(spark, path).count() == 3
+
+
+def test_matched_and_not_matched(spark, grid):
+    tgt = _clean(grid, SAMPLE_ROWS[:2])
+    src = _clean(grid, SAMPLE_ROWS[1:])
+    assert [r.plant_name for r in UP.matched(src, tgt).collect()] == ["Plant 2"]
+    assert [r.timestamp.month for r in UP.not_matched(src, tgt).collect()] == [5]

@@ -24,6 +24,7 @@ from .. import contract as K
 
 EXTRA_COL = "_extra"
 _CSV_READ = {"header": "true", "mode": "PERMISSIVE", "multiLine": "false",
+             "recursiveFileLookup": "true",
              "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 _CSV_WRITE = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
               "quoteAll": "false"}
