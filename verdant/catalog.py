@@ -611,10 +611,9 @@ def stream_ingest(spark, sf_dir):
     ts = parse_timestamp(F.col("Timestamp"))
     lo, hi = (_ts_col(s) for s in STREAM_SPLITS)
     src = fresh_dir(spark, "landing")
-    chunks = [ts.isNull() | (ts < lo), (ts >= lo) & (ts < hi), ts >= hi]
-    for i, cond in enumerate(chunks):
-        G.write_grid(raw.where(cond), f"{src}/chunk={i}", GRID_CELLS)
+    chunk = F.when(ts.isNull() | (ts < lo), 0).when(ts < hi, 1).otherwise(2)
+    G.write_grid(raw.withColumn("chunk", chunk), src, GRID_CELLS, partition_by="chunk")
     target = fresh_dir(spark, "fact")
-    S.ingest_available(spark, src, target, names=GRID_CELLS, max_files_per_trigger=8,
+    S.ingest_available(spark, src, target, names=GRID_CELLS, max_files_per_trigger=16,
                        run_ts=RUN_TS)
     return UP.read_table(spark, target).select(*K.TARGET_COLUMNS)

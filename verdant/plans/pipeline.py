@@ -74,12 +74,14 @@ def extract_typed(t: DataFrame, watermark: dt.datetime | None,
 def stage_and_upsert(spark: SparkSession, clean: DataFrame, target_path: str):
     """Stage a clean batch, then upsert it; returns (rows staged, UpsertResult)."""
     obs = Observation("staged")
-    staged = stage(CL.with_partition(clean).observe(obs, F.count(F.lit(1)).alias("n")))
+    # The touched dates ride along as a metric of the staging write (one
+    # value per day), so no extra job is needed to list them.
+    staged = stage(CL.with_partition(clean).observe(
+        obs, F.count(F.lit(1)).alias("n"), F.collect_set(K.PARTITION_COL).alias("dates")))
     n = int(obs.get.get("n") or 0)
     if not n:
         return 0, None
-    dates = sorted(r[0] for r in staged.select(K.PARTITION_COL).distinct().collect())
-    return n, upsert(spark, staged, target_path, dates)
+    return n, upsert(spark, staged, target_path, sorted(obs.get["dates"]))
 
 
 def stage(df: DataFrame, partition: bool = True) -> DataFrame:
@@ -125,6 +127,10 @@ def run(spark: SparkSession, raw: DataFrame, target_path: str, state_path: str,
         res.watermark_before = None if full else H.read_hwm(spark, state_path, pipeline)
         log.info("Watermark: %s", res.watermark_before or "None (full load)")
         batch_plain = extract(raw, res.watermark_before, overlap, formats)
+        if rejects_path:
+            # Two outputs (clean rows and rejects) from one parse: stage the
+            # typed batch and read it twice instead of parsing the source thrice.
+            batch_plain = stage(batch_plain, partition=False)
 
         obs_in = Observation("extracted")
         batch = batch_plain.observe(obs_in, F.count(F.lit(1)).alias("n"))

@@ -78,8 +78,21 @@ def to_line(cells: Sequence[str], short_when: Column | None = None,
 
 
 def write_grid(df: DataFrame, path: str, cells: Sequence[str],
-               short_when: Column | None = None, keep_when_short: int | None = None) -> None:
-    """Write rows as CSV text files, each file starting with the header line."""
+               short_when: Column | None = None, keep_when_short: int | None = None,
+               partition_by: str | None = None) -> None:
+    """Write rows as CSV text files, each file starting with the header line.
+
+    Full rows go through Spark's CSV writer (header per file, JVM only).
+    Rows that must be written short (fewer cells than the header) are
+    rendered with ``to_csv`` and the header is put in front of each
+    partition's output.
+    """
+    if short_when is None:
+        w = df.select(*[F.col(f"`{c}`") for c in cells],
+                      *([partition_by] if partition_by else [])).write
+        w = w.partitionBy(partition_by) if partition_by else w
+        w.mode("overwrite").options(**_CSV_WRITE).option("header", "true").csv(path)
+        return
     head = ",".join(cells)
     lines = df.select(to_line(cells, short_when, keep_when_short).alias("value"))
 
