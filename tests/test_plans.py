@@ -54,8 +54,9 @@ def test_parse_stays_above_the_spread(spark):
     assert "gettimestamp" not in p[window_at:].split("Project")[0]
 
 
-def test_health_share_window_runs_on_aggregates(spark):
+def test_health_share_reuses_the_status_shuffle(spark):
     c = CL.clean(raw_readings(spark, SF), run_ts="2025-05-01 10:00:00")
-    p = plan(M.health_distribution(c))
-    # the un-partitioned window sits above the final aggregate
-    assert p.index("Window") < p.index("HashAggregate")
+    df = M.health_distribution(c)
+    df.collect()
+    p = plan(df)
+    assert "Subquery" in p and "ReusedExchange" in p

@@ -454,7 +454,8 @@ def _ts_col(v: str):
 
 
 def _upsert_source(spark, sf_dir):
-    src = CL.clean(_raw(spark, sf_dir), run_ts=RUN_TS2).where(F.col("timestamp") >= _ts_col(UPSERT_LO))
+    src = CL.clean_typed(_typed(spark, sf_dir), run_ts=RUN_TS2).where(
+        F.col("timestamp") >= _ts_col(UPSERT_LO))
     return src.withColumn("status", F.lit("Revised"))
 
 
@@ -465,10 +466,10 @@ def _upsert_target(spark, sf_dir):
 def _upsert_scenario(spark, sf_dir, times: int = 1):
     path = fresh_dir(spark, "fact")
     UP.write_partitions(CL.with_partition(_upsert_target(spark, sf_dir)), path)
-    source = P.stage(CL.with_partition(_upsert_source(spark, sf_dir)))
+    source, _, dates = P.stage_with_dates(_upsert_source(spark, sf_dir))
     res = None
     for _ in range(times):
-        res = UP.upsert(spark, source, path)
+        res = UP.upsert(spark, source, path, dates)
     return path, res
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,11 +73,14 @@ def confidence_trend(fact: DataFrame, by_plant: bool = False) -> DataFrame:
 def health_distribution(fact: DataFrame) -> DataFrame:
     """Count and percentage share per status.
 
-    The share's denominator is a window over the *aggregated* rows (one per
-    status), not over the readings, so only a handful of rows meet in it.
+    The denominator is a scalar subquery over the per-status counts.  Spark
+    reuses the per-status shuffle for it (ReusedExchange), so the readings
+    are aggregated once, and the total is a two-phase global sum: no task
+    ever holds more than one partial row per upstream task, however many
+    distinct status texts the data carries.
     """
     per = fact.groupBy("status").agg(_count().alias("reading_count"))
-    total = F.sum("reading_count").over(Window.partitionBy())
+    total = per.agg(F.sum("reading_count")).scalar()
     return per.withColumn("share_pct", ratio(F.col("reading_count"), total, 100.0))
 
 

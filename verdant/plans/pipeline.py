@@ -71,17 +71,25 @@ def extract_typed(t: DataFrame, watermark: dt.datetime | None,
     return t if cond is None else t.where(cond)
 
 
-def stage_and_upsert(spark: SparkSession, clean: DataFrame, target_path: str):
-    """Stage a clean batch, then upsert it; returns (rows staged, UpsertResult)."""
+def stage_with_dates(clean: DataFrame):
+    """Stage a clean batch; returns (staged frame, row count, touched dates).
+
+    The touched dates ride along as a metric of the staging write (one
+    value per day), so no extra job is needed to list them.
+    """
     obs = Observation("staged")
-    # The touched dates ride along as a metric of the staging write (one
-    # value per day), so no extra job is needed to list them.
     staged = stage(CL.with_partition(clean).observe(
         obs, F.count(F.lit(1)).alias("n"), F.collect_set(K.PARTITION_COL).alias("dates")))
-    n = int(obs.get.get("n") or 0)
+    m = obs.get
+    return staged, int(m.get("n") or 0), sorted(m.get("dates") or [])
+
+
+def stage_and_upsert(spark: SparkSession, clean: DataFrame, target_path: str):
+    """Stage a clean batch, then upsert it; returns (rows staged, UpsertResult)."""
+    staged, n, dates = stage_with_dates(clean)
     if not n:
         return 0, None
-    return n, upsert(spark, staged, target_path, sorted(obs.get["dates"]))
+    return n, upsert(spark, staged, target_path, dates)
 
 
 def stage(df: DataFrame, partition: bool = True) -> DataFrame:
