@@ -22,6 +22,7 @@ from .operators import upsert as UP
 from .oracles import _NUM_SRC, ALL_NULL_SQL, NUM_RE, RUN_TS, all_null_sql, q, title_sql
 from .plans import metrics as M
 from .plans import pipeline as P
+from .plans import sql as SQ
 from .plans import views as V
 from .session import configure, fresh_dir
 from .sources import grid as G
@@ -618,3 +619,17 @@ def stream_ingest(spark, sf_dir):
     S.ingest_available(spark, src, target, names=GRID_CELLS, max_files_per_trigger=16,
                        run_ts=RUN_TS)
     return UP.read_table(spark, target).select(*K.TARGET_COLUMNS)
+
+
+# -- SQL surface ---------------------------------------------------------------------
+
+@register("sql_daily_view", REGISTRY["daily_averages"][1])
+def sql_daily_view(spark, sf_dir):
+    SQ.register_views(_clean(spark, sf_dir))
+    return spark.sql(f"SELECT * FROM {SQ.DAILY_VIEW}")
+
+
+@register("sql_latest_view", REGISTRY["latest_per_plant"][1])
+def sql_latest_view(spark, sf_dir):
+    SQ.register_views(_clean(spark, sf_dir))
+    return spark.sql(f"SELECT * FROM {SQ.LATEST_VIEW}")
