@@ -56,6 +56,23 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def read_partitions(spark: SparkSession, path: str,
+                    dates: Sequence[dt.date]) -> DataFrame | None:
+    """Only the given date partitions of the table (None if none exists yet).
+
+    A brace glob over the partition folders means only those folders are
+    listed; reading the table root would list every file of every date
+    before pruning, which dominates small merges into a large table.
+    """
+    if not dates:
+        return None
+    glob = f"{path.rstrip('/')}/{K.PARTITION_COL}={{{','.join(str(d) for d in dates)}}}"
+    try:
+        return (spark.read.option("basePath", path).schema(K.TABLE_SCHEMA).parquet(glob))
+    except AnalysisException:
+        return None
+
+
 def empty_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], K.TABLE_SCHEMA)
 
@@ -115,7 +132,7 @@ def upsert(spark: SparkSession, source: DataFrame, target_path: str,
         log.info("No data to load.")
         return UpsertResult(0, 0, 0, None, [])
     obs = Observation("upsert")
-    merged = merge_plan(read_table(spark, target_path), source, dates, obs)
+    merged = merge_plan(read_partitions(spark, target_path, dates), source, dates, obs)
     write_partitions(merged, target_path)
     m = obs.get
     res = UpsertResult(int(m["rows_loaded"] or 0), int(m["rows_inserted"] or 0),

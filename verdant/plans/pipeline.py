@@ -26,7 +26,7 @@ from .. import contract as K
 from ..operators import clean as CL
 from ..operators import hwm as H
 from ..operators.upsert import upsert
-from ..session import configure, fresh_dir
+from ..session import configure, drop_dir, fresh_dir
 
 log = logging.getLogger(__name__)
 
@@ -71,25 +71,30 @@ def extract_typed(t: DataFrame, watermark: dt.datetime | None,
     return t if cond is None else t.where(cond)
 
 
-def stage_with_dates(clean: DataFrame):
+def stage_with_dates(clean: DataFrame, path: str | None = None):
     """Stage a clean batch; returns (staged frame, row count, touched dates).
 
     The touched dates ride along as a metric of the staging write (one
     value per day), so no extra job is needed to list them.
     """
     obs = Observation("staged")
-    staged = stage(CL.with_partition(clean).observe(
-        obs, F.count(F.lit(1)).alias("n"), F.collect_set(K.PARTITION_COL).alias("dates")))
+    staged = stage_at(CL.with_partition(clean).observe(
+        obs, F.count(F.lit(1)).alias("n"), F.collect_set(K.PARTITION_COL).alias("dates")),
+        path or fresh_dir(clean.sparkSession, "stage"))
     m = obs.get
     return staged, int(m.get("n") or 0), sorted(m.get("dates") or [])
 
 
 def stage_and_upsert(spark: SparkSession, clean: DataFrame, target_path: str):
-    """Stage a clean batch, then upsert it; returns (rows staged, UpsertResult)."""
-    staged, n, dates = stage_with_dates(clean)
-    if not n:
-        return 0, None
-    return n, upsert(spark, staged, target_path, dates)
+    """Stage a clean batch, then upsert it; returns (rows staged, UpsertResult).
+
+    The staged copy is deleted once the fact table has committed.
+    """
+    path = fresh_dir(spark, "stage")
+    staged, n, dates = stage_with_dates(clean, path)
+    res = upsert(spark, staged, target_path, dates) if n else None
+    drop_dir(spark, path)
+    return n, res
 
 
 def stage(df: DataFrame, partition: bool = True) -> DataFrame:
@@ -98,8 +103,11 @@ def stage(df: DataFrame, partition: bool = True) -> DataFrame:
     Cuts the lineage: later jobs read the files instead of recomputing the
     plan, and a lost executor costs a re-read, not a re-parse.
     """
+    return stage_at(df, fresh_dir(df.sparkSession, "stage"), partition)
+
+
+def stage_at(df: DataFrame, path: str, partition: bool = True) -> DataFrame:
     spark = df.sparkSession
-    path = fresh_dir(spark, "stage")
     w = df.write.partitionBy(K.PARTITION_COL) if partition else df.write
     w.parquet(path)
     return spark.read.schema(df.schema if not partition else _staged_schema(df)).parquet(path)
@@ -131,6 +139,7 @@ def run(spark: SparkSession, raw: DataFrame, target_path: str, state_path: str,
     configure(spark)
     started = _ts(run_ts) or _now()
     res = RunResult(pipeline, run_id or uuid.uuid4().hex, started)
+    typed_stage = None
     try:
         res.watermark_before = None if full else H.read_hwm(spark, state_path, pipeline)
         log.info("Watermark: %s", res.watermark_before or "None (full load)")
@@ -138,7 +147,8 @@ def run(spark: SparkSession, raw: DataFrame, target_path: str, state_path: str,
         if rejects_path:
             # Two outputs (clean rows and rejects) from one parse: stage the
             # typed batch and read it twice instead of parsing the source thrice.
-            batch_plain = stage(batch_plain, partition=False)
+            typed_stage = fresh_dir(spark, "typed")
+            batch_plain = stage_at(batch_plain, typed_stage, partition=False)
 
         obs_in = Observation("extracted")
         batch = batch_plain.observe(obs_in, F.count(F.lit(1)).alias("n"))
@@ -164,6 +174,8 @@ def run(spark: SparkSession, raw: DataFrame, target_path: str, state_path: str,
                              updated_at=_ts(run_ts) or _now())
         else:
             log.info("No new data since last run.")
+        if typed_stage:
+            drop_dir(spark, typed_stage)
         res.status = "SUCCESS"
     except Exception as exc:
         res.status, res.error_message = "FAILED", "".join(

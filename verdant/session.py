@@ -67,6 +67,17 @@ def scratch_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+def drop_dir(spark: SparkSession, path: str) -> bool:
+    """Delete a scratch folder through the cluster's file system (HDFS, S3, local)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.delete(p, True))
+    except Exception:  # noqa: BLE001 - best effort; scratch space only
+        return False
+
+
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new, unused path under the shared scratch root."""
     return os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
