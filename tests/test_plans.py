@@ -42,6 +42,10 @@ def test_stored_table_prunes_and_pushes(spark, scratch):
     scan = plan(V.time_range_scan(fact, "2024-01-10 06:00:00", "2024-01-12 18:00:00"))
     assert "PartitionFilters: [isnotnull(reading_date" in scan
     assert "PushedFilters: [IsNotNull(timestamp), GreaterThanOrEqual(timestamp" in scan
+    inc = plan(V.since(fact, "2024-01-15 00:00:00"))
+    assert "PartitionFilters: [isnotnull(reading_date" in inc and "GreaterThanOrEqual(reading_date" not in inc.split("PushedFilters")[1][:40]
+    assert "PushedFilters: [IsNotNull(timestamp), GreaterThan(timestamp" in inc
+    assert V.since(fact, "2024-01-15 00:00:00").count() == 493            # FIXTURES.md §4
     daily = plan(V.daily_averages(fact))
     assert "ReadSchema: struct<plant_name:string,confidence_score_pct" in daily
     assert "status" not in daily.split("ReadSchema:")[1].split(">")[0]

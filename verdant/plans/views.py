@@ -70,6 +70,22 @@ def time_range_scan(fact: DataFrame, start: str, end: str) -> DataFrame:
     return fact.where(cond)
 
 
+def since(fact: DataFrame, watermark: str, overlap: str | None = None) -> DataFrame:
+    """Readings newer than a high-water mark (incremental read of the table).
+
+    The date bound is derived from the mark and stated beside the timestamp
+    bound: partitions before the mark's date are pruned and the timestamp
+    predicate is pushed to the Parquet reader.
+    """
+    wm = F.lit(watermark).cast(T.TimestampNTZType())
+    if overlap:
+        wm = wm - F.expr(f"INTERVAL {overlap}")
+    cond = F.col("timestamp") > wm
+    if K.PARTITION_COL in fact.columns:
+        cond = cond & (F.col(K.PARTITION_COL) >= F.to_date(wm))
+    return fact.where(cond)
+
+
 def plant_history(fact: DataFrame, plant: str) -> DataFrame:
     """One plant's readings, newest first."""
     return fact.where(F.col("plant_name") == plant).orderBy(F.col("timestamp").desc())
