@@ -95,3 +95,16 @@ def test_matched_and_not_matched(spark, grid):
     src = _clean(grid, SAMPLE_ROWS[1:])
     assert [r.plant_name for r in UP.matched(src, tgt).collect()] == ["Plant 2"]
     assert [r.timestamp.month for r in UP.not_matched(src, tgt).collect()] == [5]
+
+
+def test_state_log_compaction_keeps_current_marks(spark, scratch):
+    state = scratch("hwm")
+    for i in range(5):
+        H.update_hwm(spark, state, dt.datetime(2025, 1, 1 + i), updated_at=dt.datetime(2025, 5, 1, i))
+    H.update_hwm(spark, state, dt.datetime(2030, 1, 1), pipeline="other",
+                 updated_at=dt.datetime(2025, 5, 2))
+    assert not H.compact(spark, state, min_files=100)
+    assert H.compact(spark, state, min_files=3)
+    assert H.state_log(spark, state).count() == 2
+    assert H.read_hwm(spark, state) == dt.datetime(2025, 1, 5)
+    assert H.read_hwm(spark, state, "other") == dt.datetime(2030, 1, 1)

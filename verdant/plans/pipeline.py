@@ -172,6 +172,7 @@ def run(spark: SparkSession, raw: DataFrame, target_path: str, state_path: str,
             if up.max_timestamp is not None:
                 H.update_hwm(spark, state_path, up.max_timestamp, pipeline,
                              updated_at=_ts(run_ts) or _now())
+                H.compact(spark, state_path)
         else:
             log.info("No new data since last run.")
         if typed_stage:
