@@ -19,7 +19,7 @@ from .operators import clean as CL
 from .operators import hwm as H
 from .operators import quality as DQ
 from .operators import upsert as UP
-from .oracles import _NUM_SRC, ALL_NULL_SQL, NUM_RE, RUN_TS, all_null_sql, q, title_sql
+from .oracles import NUM_SOURCE, ALL_NULL_SQL, NUM_RE, RUN_TS, all_null_sql, q, title_sql
 from .plans import metrics as M
 from .plans import pipeline as P
 from .plans import sql as SQ
@@ -399,9 +399,15 @@ def _incremental_runs(spark, sf_dir):
     return target, state
 
 
-@register("incremental_runs", q("select * exclude (_row_no) replace (" + " ".join(
-    f"when timestamp <= TIMESTAMP '{c}' then TIMESTAMP '{r}'" for c, r in zip(CUTOFFS[:2], RUN_TIMES))
-    .join(["case ", f" else TIMESTAMP '{RUN_TIMES[2]}' end as etl_inserted_at"]) + ") from C"))
+def _run_audit_sql() -> str:
+    """Audit timestamp of the run that loaded each row (run k owns rows up to CUTOFFS[k])."""
+    arms = " ".join(f"when timestamp <= TIMESTAMP '{c}' then TIMESTAMP '{r}'"
+                    for c, r in zip(CUTOFFS[:-1], RUN_TIMES[:-1]))
+    return f"case {arms} else TIMESTAMP '{RUN_TIMES[-1]}' end"
+
+
+@register("incremental_runs", q(
+    f"select * exclude (_row_no) replace ({_run_audit_sql()} as etl_inserted_at) from C"))
 def incremental_runs(spark, sf_dir):
     target, _ = _incremental_runs(spark, sf_dir)
     return UP.read_table(spark, target).select(*K.TARGET_COLUMNS)
@@ -552,13 +558,13 @@ def dq_not_null(spark, sf_dir):
 def _fit_sql() -> str:
     parts = []
     for c, p in K.NUMERIC_PRECISION.items():
-        src = f'"{_NUM_SRC[c]}"'
+        src = f'"{NUM_SOURCE[c]}"'
         d = (f"case when regexp_full_match(trim({src}), '{NUM_RE}') "
              f"then try_cast(trim({src}) as double) end")
         parts.append(f"count(*) filter (where {d} is not null and "
                      f"try_cast({d} as decimal({p},2)) is null) as {c}_overflow")
     for c, n in K.TEXT_LENGTH.items():
-        v = '"Time"' if c == "reading_time" else title_sql(f'"{_NUM_SRC[c]}"')
+        v = '"Time"' if c == "reading_time" else title_sql(f'"{NUM_SOURCE[c]}"')
         parts.append(f"count(*) filter (where length({v}) > {n}) as {c}_too_long")
     return "select " + ", ".join(parts) + " from R"
 

@@ -28,7 +28,7 @@ def num_sql(x: str, precision: int) -> str:
             f"then try_cast(trim({x}) as double) end as decimal({precision},2))")
 
 
-_NUM_SRC = {v: k for k, v in K.RENAME_MAP.items()}
+NUM_SOURCE = {v: k for k, v in K.RENAME_MAP.items()}
 
 TYPED_COLS = ",\n  ".join(
     ["_row_no",
@@ -36,7 +36,7 @@ TYPED_COLS = ",\n  ".join(
      f"""{title_sql('"Plant Name"')} as plant_name""",
      f"""{title_sql('"Status"')} as status""",
      '"Time" as reading_time']
-    + [f"""{num_sql(f'"{_NUM_SRC[c]}"', p)} as {c}""" for c, p in K.NUMERIC_PRECISION.items()]
+    + [f"""{num_sql(f'"{NUM_SOURCE[c]}"', p)} as {c}""" for c, p in K.NUMERIC_PRECISION.items()]
 )
 
 def all_null_sql(alias: str = "") -> str:
