@@ -200,7 +200,8 @@ select _row_no, reason as {K.REJECT_COL} from (
          end as reason
   from T left join D using (_row_no)) where reason is not null"""))
 def rejects(spark, sf_dir):
-    return CL.rejects(_raw(spark, sf_dir)).select(K.ROW_NO, K.REJECT_COL)
+    c = CL.classify_typed(_typed(spark, sf_dir))
+    return c.where(F.col(K.REJECT_COL).isNotNull()).select(K.ROW_NO, K.REJECT_COL)
 
 
 @register("stage_counts", q(f"""
@@ -211,7 +212,7 @@ select (select count(*) from R) as rows_extracted,
        (select count(*) from D where {ALL_NULL_SQL}) as rows_{K.ALL_NULL},
        (select count(*) from C) as rows_clean"""))
 def stage_counts(spark, sf_dir):
-    return CL.stage_counts(_raw(spark, sf_dir))
+    return CL.stage_counts(None, typed_rows=_typed(spark, sf_dir))
 
 
 @register("null_profile", q(
@@ -219,7 +220,7 @@ def stage_counts(spark, sf_dir):
         f"count(*) filter (where {c} is null) as {c}_nulls" for c in K.NUMERIC_COLS)
     + " from T where timestamp is not null"))
 def null_profile(spark, sf_dir):
-    return CL.null_profile(_raw(spark, sf_dir))
+    return CL.null_profile(None, typed_rows=_typed(spark, sf_dir))
 
 
 # -- views --------------------------------------------------------------------------

@@ -220,9 +220,9 @@ def rejects(raw: DataFrame, **kw) -> DataFrame:
     return classify(raw, **kw).where(F.col(K.REJECT_COL).isNotNull())
 
 
-def stage_counts(raw: DataFrame, **kw) -> DataFrame:
+def stage_counts(raw: DataFrame, typed_rows: DataFrame | None = None, **kw) -> DataFrame:
     """One row of per-stage counts from a single classification pass."""
-    c = classify(raw, **kw)
+    c = classify(raw, **kw) if typed_rows is None else classify_typed(typed_rows, **kw)
     r = F.col(K.REJECT_COL)
 
     def n(reason: str) -> Column:
@@ -235,9 +235,11 @@ def stage_counts(raw: DataFrame, **kw) -> DataFrame:
     )
 
 
-def null_profile(raw: DataFrame, formats: Sequence[str] = K.TIMESTAMP_FORMATS) -> DataFrame:
+def null_profile(raw: DataFrame | None, formats: Sequence[str] = K.TIMESTAMP_FORMATS,
+                 typed_rows: DataFrame | None = None) -> DataFrame:
     """NULL count per numeric column after parsing (rows with a valid timestamp)."""
-    t = typed(raw, formats).where(F.col("timestamp").isNotNull())
+    t = (typed(raw, formats) if typed_rows is None else typed_rows)
+    t = t.where(F.col("timestamp").isNotNull())
     return t.agg(F.count(F.lit(1)).cast(T.LongType()).alias("rows"),
                  *[F.count_if(F.col(c).isNull()).cast(T.LongType()).alias(f"{c}_nulls")
                    for c in K.NUMERIC_COLS])
