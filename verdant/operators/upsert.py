@@ -126,7 +126,12 @@ def write_partitions(df: DataFrame, path: str) -> None:
 
 def upsert(spark: SparkSession, source: DataFrame, target_path: str,
            dates: Sequence[dt.date] | None = None) -> UpsertResult:
-    """MERGE ``source`` (fact-table columns, optional ``_row_no``) into the table."""
+    """MERGE ``source`` (fact-table columns, optional ``_row_no``) into the table.
+
+    ``dates`` must list every reading date present in ``source`` (it is
+    derived from the source when omitted): each listed partition is
+    rewritten from its stored rows plus the source rows of that date.
+    """
     dates = touched_dates(source) if dates is None else list(dates)
     if not dates:
         log.info("No data to load.")

@@ -26,14 +26,29 @@ DEFAULT_CONF = {
 }
 
 
+# Starting point for a large cluster (~100 TB of readings, ~1000 executors):
+# many shuffle partitions that AQE coalesces to ~256 MB, skew splitting on,
+# 256 MB input splits.  spark.checkpoint.dir must point at shared storage.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.parquet.compression.codec": "zstd",
+}
+
+
 def build_session(master: str | None = None, app: str = "verdant",
                   shuffle_partitions: int | None = None,
-                  extra: dict[str, str] | None = None) -> SparkSession:
+                  extra: dict[str, str] | None = None,
+                  cluster: bool = False) -> SparkSession:
     """Create (or fetch) a session with the pipeline's settings applied."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    for k, v in {**DEFAULT_CONF, **REQUIRED_CONF, **(extra or {})}.items():
+    base = {**DEFAULT_CONF, **(CLUSTER_CONF if cluster else {})}
+    for k, v in {**base, **REQUIRED_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
