@@ -1,4 +1,6 @@
 """Physical-plan shape: the properties the design relies on at scale."""
+import re
+
 from verdant.operators import clean as CL
 from verdant.operators import upsert as UP
 from verdant.plans import metrics as M
@@ -64,3 +66,15 @@ def test_health_share_reuses_the_status_shuffle(spark):
     df.collect()
     p = plan(df)
     assert "Subquery" in p and "ReusedExchange" in p
+
+
+def test_pruned_latest_equals_window_and_prunes(spark, scratch):
+    path = scratch("fact")
+    UP.upsert(spark, CL.clean(raw_readings(spark, SF), run_ts="2025-05-01 10:00:00"), path)
+    fact = UP.read_table(spark, path)
+    cols = fact.columns
+    pruned = V.latest_per_plant_pruned(fact).select(*cols)
+    assert sorted(pruned.collect()) == sorted(V.latest_per_plant(fact).select(*cols).collect())
+    p = plan(pruned)
+    assert re.search(r"PartitionFilters: \[[^\]]*reading_date#\d+ IN \(", p)
+    assert "ReadSchema: struct<timestamp:timestamp_ntz,plant_name:string>" in p

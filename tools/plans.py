@@ -56,6 +56,8 @@ def main() -> None:
          "Hash aggregate on the key, join back; AQE picks broadcast only from measured size."),
         ("latest_per_plant on the stored table", V.latest_per_plant(fact),
          "WindowGroupLimit Partial + Final around one exchange."),
+        ("latest_per_plant_pruned on the stored table", V.latest_per_plant_pruned(fact),
+         "Two-column aggregate for the maxima; full-width scan only of the partitions holding them."),
         ("daily_averages on the stored table", V.daily_averages(fact),
          "ReadSchema holds only the needed columns; partial + final aggregate."),
         ("health_distribution", M.health_distribution(fact),

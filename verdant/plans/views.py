@@ -41,6 +41,25 @@ def latest_per_plant(fact: DataFrame, with_rank: bool = False) -> DataFrame:
     return ranked if with_rank else ranked.drop("rn")
 
 
+def latest_per_plant_pruned(fact: DataFrame) -> DataFrame:
+    """Latest reading per plant from a date-partitioned table, reading little.
+
+    Phase 1 finds each plant's newest timestamp from two columns only
+    (partial/final aggregate).  The distinct dates of those maxima (at most
+    one value per day of data) select the partitions that phase 2 reads in
+    full, and a semi-join keeps the matching rows.  Compared with the
+    window over every column of every row, the full-width scan shrinks to
+    the few most recent partitions.  Eager: the date list is computed when
+    called, so build SQL views on the lazy ``latest_per_plant`` instead.
+    """
+    if K.PARTITION_COL not in fact.columns:
+        return latest_per_plant(fact)
+    maxes = fact.groupBy("plant_name").agg(F.max("timestamp").alias("timestamp"))
+    days = [r.d for r in maxes.select(F.to_date("timestamp").alias("d")).distinct().collect()]
+    recent = fact.where(F.col(K.PARTITION_COL).isin(days))
+    return recent.join(maxes, ["plant_name", "timestamp"], "left_semi")
+
+
 def daily_averages(fact: DataFrame) -> DataFrame:
     """Per (date, plant): reading count and six sensor averages."""
     return (fact.groupBy(reading_date(fact).alias("reading_date"), "plant_name")
