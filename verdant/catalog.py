@@ -54,8 +54,15 @@ def register(name: str, oracle: str | None):
 _PLANS: dict[tuple, DataFrame] = {}
 
 
+def _session_key(spark: SparkSession) -> tuple:
+    try:
+        return (id(spark), spark.sparkContext.applicationId)
+    except Exception:  # noqa: BLE001 - remote session
+        return (id(spark), spark.conf.get("spark.app.id", ""))
+
+
 def _plan(spark: SparkSession, key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
-    k = (id(spark), spark.sparkContext.applicationId, *key)
+    k = (*_session_key(spark), *key)
     if k not in _PLANS:
         _PLANS[k] = build()
     return _PLANS[k]

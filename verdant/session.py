@@ -70,18 +70,26 @@ def scratch_root(spark: SparkSession) -> str:
     Uses the cluster's ``spark.checkpoint.dir``; only when that is unset
     (local runs and tests) does it create one under the system temp folder.
     """
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir()
-    if root:
-        return root
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote (Connect) session: no SparkContext
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if not conf_dir and sc is not None:
+        conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="verdant-ckpt-")
+        conf_dir = _LOCAL_SCRATCH.setdefault("dir", tempfile.mkdtemp(prefix="verdant-ckpt-"))
+    if sc is None:
+        return conf_dir
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
+_LOCAL_SCRATCH: dict[str, str] = {}
+
+
 def drop_dir(spark: SparkSession, path: str) -> bool:
     """Delete a scratch folder through the cluster's file system (HDFS, S3, local)."""
     try:
