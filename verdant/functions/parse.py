@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contract import NUMERIC_SCALE, TIMESTAMP_FORMATS
-from .text import strip
+from .text import WHITESPACE, strip
 
 # Plain decimal or scientific number; rejects 'nan', 'inf', '1d', '1,000', '5%'.
 NUMBER_RE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
@@ -23,6 +23,15 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _sql_str(text: str) -> str:
+    """A Spark SQL string literal holding ``text`` exactly."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def round_to_second(ts: Column | str) -> Column:
     """Round a TIMESTAMP_NTZ half-up to the whole second (DATETIME2(0))."""
     ts = _col(ts)
@@ -38,6 +47,14 @@ def parse_timestamp(c: Column | str, formats: Sequence[str] = TIMESTAMP_FORMATS,
     ``stripped=True`` skips the whitespace strip when the caller already
     projected stripped text (each layout re-reads the input).
     """
+    if isinstance(c, str):
+        # Same expression as SQL text: one JVM call instead of one per node.
+        txt = _ident(c) if stripped else f"btrim({_ident(c)}, {_sql_str(WHITESPACE)})"
+        tries = ", ".join(f"try_to_timestamp({txt}, {_sql_str(f)})" for f in formats)
+        ts = f"cast(coalesce({tries}) as timestamp_ntz)"
+        if round_seconds:
+            ts = f"cast(date_trunc('second', {ts} + INTERVAL '0.5' SECOND) as timestamp_ntz)"
+        return F.expr(ts)
     txt = _col(c) if stripped else strip(_col(c))
     tries = [F.try_to_timestamp(txt, F.lit(f)) for f in formats]
     ts = (F.coalesce(*tries) if len(tries) > 1 else tries[0]).cast(T.TimestampNTZType())
@@ -50,6 +67,14 @@ def parse_number(c: Column | str, stripped: bool = False) -> Column:
     Cells that already are a bare number take the short path (one regex
     test, one cast); only the others pay for the Unicode strip.
     """
+    if isinstance(c, str):
+        # Same expression as SQL text: one JVM call instead of one per node.
+        x, pat = _ident(c), _sql_str(NUMBER_RE)
+        sql = f"CASE WHEN {x} RLIKE {pat} THEN try_cast({x} AS DOUBLE)"
+        if not stripped:
+            t = f"btrim({x}, {_sql_str(WHITESPACE)})"
+            sql += f" WHEN {t} RLIKE {pat} THEN try_cast({t} AS DOUBLE)"
+        return F.expr(sql + " END")
     raw = _col(c)
     bare = F.when(raw.rlike(NUMBER_RE), raw.try_cast(T.DoubleType()))
     if stripped:
