@@ -108,3 +108,11 @@ def test_state_log_compaction_keeps_current_marks(spark, scratch):
     assert H.state_log(spark, state).count() == 2
     assert H.read_hwm(spark, state) == dt.datetime(2025, 1, 5)
     assert H.read_hwm(spark, state, "other") == dt.datetime(2030, 1, 1)
+
+
+def test_missing_audit_column_defaults_to_now(spark, grid, scratch):
+    src = _clean(grid, SAMPLE_ROWS[:1]).drop(K.AUDIT_COL)
+    path = scratch("fact")
+    UP.upsert(spark, src, path)
+    ts = UP.read_table(spark, path).first().etl_inserted_at
+    assert ts is not None and ts.microsecond == 0 and ts.year >= 2025

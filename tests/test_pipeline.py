@@ -43,6 +43,8 @@ def test_rerun_without_new_data_is_a_no_op(spark, scratch):
     assert H.state_log(spark, s).count() == 1
     rows = P.read_run_log(spark, log).orderBy("started_at").collect()
     assert [r.status for r in rows] == ["SUCCESS", "SUCCESS"]
+    hist = P.read_run_log(spark, log, history=True).orderBy("started_at", "finished_at").collect()
+    assert [r.status for r in hist] == ["RUNNING", "SUCCESS", "RUNNING", "SUCCESS"]
     assert rows[0].rows_loaded == 976 and rows[0].rows_extracted == 1035
 
 

@@ -155,10 +155,14 @@ def with_partition(df: DataFrame) -> DataFrame:
 
 def to_target(df: DataFrame, keep_row_no: bool = False,
               audit: Column | None = None) -> DataFrame:
-    """Fixed write projection (16 columns in order, contract types)."""
-    src = {f.name: F.col(f.name) for f in K.TARGET_SCHEMA.fields}
-    if audit is not None:
-        src[K.AUDIT_COL] = audit
+    """Fixed write projection (16 columns in order, contract types).
+
+    Column defaults: a missing or NULL audit timestamp becomes the current
+    UTC time (whole seconds); any other missing column becomes NULL.
+    """
+    src = {f.name: F.col(f.name) if f.name in df.columns else F.lit(None)
+           for f in K.TARGET_SCHEMA.fields}
+    src[K.AUDIT_COL] = F.coalesce(src[K.AUDIT_COL], audit_ts()) if audit is None else audit
     cols = [src[f.name].cast(f.dataType).alias(f.name) for f in K.TARGET_SCHEMA.fields]
     if keep_row_no:
         cols.append(F.col(K.ROW_NO))

@@ -18,7 +18,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -124,8 +124,17 @@ def append_run_log(spark: SparkSession, path: str, r: RunResult) -> None:
     spark.createDataFrame([row], K.RUN_LOG_SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
 
-def read_run_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(K.RUN_LOG_SCHEMA).parquet(path)
+def read_run_log(spark: SparkSession, path: str, history: bool = False) -> DataFrame:
+    """Run log, one row per run (its latest status); ``history`` keeps every row.
+
+    A run appends a RUNNING row when it starts and its final row when it ends.
+    """
+    log_rows = spark.read.schema(K.RUN_LOG_SCHEMA).parquet(path)
+    if history:
+        return log_rows
+    w = Window.partitionBy("pipeline_name", "run_id").orderBy(
+        (F.col("status") != "RUNNING").desc(), F.col("finished_at").desc_nulls_last())
+    return log_rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
 def run(spark: SparkSession, raw: DataFrame, target_path: str, state_path: str,
@@ -140,6 +149,8 @@ def run(spark: SparkSession, raw: DataFrame, target_path: str, state_path: str,
     started = _ts(run_ts) or _now()
     res = RunResult(pipeline, run_id or uuid.uuid4().hex, started)
     typed_stage = None
+    if run_log_path:
+        append_run_log(spark, run_log_path, res)          # status RUNNING (the default)
     try:
         res.watermark_before = None if full else H.read_hwm(spark, state_path, pipeline)
         log.info("Watermark: %s", res.watermark_before or "None (full load)")
