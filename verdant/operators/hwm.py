@@ -20,6 +20,9 @@ from .. import contract as K
 
 
 def state_log(spark: SparkSession, state_path: str) -> DataFrame:
+    from ..session import path_exists
+    if path_exists(spark, state_path) is False:
+        return spark.createDataFrame([], K.STATE_SCHEMA)
     try:
         return spark.read.schema(K.STATE_SCHEMA).parquet(state_path)
     except AnalysisException:

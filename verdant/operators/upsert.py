@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from .. import contract as K
+from ..session import path_exists
 from .clean import to_target
 
 log = logging.getLogger(__name__)
@@ -50,6 +51,8 @@ class UpsertResult:
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     """The fact table at ``path``, or None when it does not exist yet."""
+    if path_exists(spark, path) is False:
+        return None
     try:
         return spark.read.schema(K.TABLE_SCHEMA).parquet(path)
     except AnalysisException:
@@ -67,6 +70,8 @@ def read_partitions(spark: SparkSession, path: str,
     if not dates:
         return None
     glob = f"{path.rstrip('/')}/{K.PARTITION_COL}={{{','.join(str(d) for d in dates)}}}"
+    if path_exists(spark, glob) is False:
+        return None
     try:
         return (spark.read.option("basePath", path).schema(K.TABLE_SCHEMA).parquet(glob))
     except AnalysisException:

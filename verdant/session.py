@@ -90,6 +90,18 @@ def scratch_root(spark: SparkSession) -> str:
 _LOCAL_SCRATCH: dict[str, str] = {}
 
 
+def path_exists(spark: SparkSession, path: str) -> bool | None:
+    """Whether ``path`` (a glob is allowed) matches anything; None if unknown."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        found = fs.globStatus(p)
+        return found is not None and len(found) > 0
+    except Exception:  # noqa: BLE001 - remote session: let the reader decide
+        return None
+
+
 def drop_dir(spark: SparkSession, path: str) -> bool:
     """Delete a scratch folder through the cluster's file system (HDFS, S3, local)."""
     try:
