@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contract import NUMERIC_SCALE, TIMESTAMP_FORMATS
-from .text import WHITESPACE, strip
+from .text import WHITESPACE, _ident, _sql_str, strip
 
 # Plain decimal or scientific number; rejects 'nan', 'inf', '1d', '1,000', '5%'.
 NUMBER_RE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
@@ -23,13 +23,6 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _sql_str(text: str) -> str:
-    """A Spark SQL string literal holding ``text`` exactly."""
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def _ident(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
 
 
 def round_to_second(ts: Column | str) -> Column:
@@ -92,7 +85,9 @@ def nan_to_null(c: Column | str) -> Column:
 
 def to_decimal(c: Column | str, precision: int, scale: int = NUMERIC_SCALE) -> Column:
     """DOUBLE -> DECIMAL(p, s), rounding half-up; overflow, NaN and Inf become NULL."""
-    return _col(c).try_cast(T.DecimalType(precision, scale))
+    if isinstance(c, str):
+        return F.expr(f"try_cast({_ident(c)} AS DECIMAL({precision},{scale}))")
+    return c.try_cast(T.DecimalType(precision, scale))
 
 
 def format_timestamp(ts: Column | str, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:

@@ -28,8 +28,28 @@ _UNCASED = r"([^\p{Lu}\p{Ll}\p{Lt}])"
 _MARK = "\uffff "
 
 
+def _sql_str(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def strip_sql(x: str) -> str:
+    """SQL text of ``strip`` over the SQL expression ``x``."""
+    return f"btrim({x}, {_sql_str(WHITESPACE)})"
+
+
+def title_sql(x: str) -> str:
+    """SQL text of ``title_case`` over the SQL expression ``x``."""
+    spaced = f"regexp_replace({x}, {_sql_str(_UNCASED)}, {_sql_str('$1' + _MARK)})"
+    return f"replace(initcap({spaced}), {_sql_str(_MARK)}, '')"
+
+
 def strip(c: Column | str) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
+    if isinstance(c, str):                       # one JVM call for a column name
+        return F.expr(strip_sql(_ident(c)))
     # btrim with a character set: a per-character test, no regex engine.
     return F.btrim(c, F.lit(WHITESPACE))
 
@@ -41,11 +61,14 @@ def title_case(c: Column | str) -> Column:
     space after every uncased character makes every cased run start a
     word, and the marks are removed afterwards.
     """
-    c = F.col(c) if isinstance(c, str) else c
+    if isinstance(c, str):
+        return F.expr(title_sql(_ident(c)))
     spaced = F.regexp_replace(c, _UNCASED, "$1" + _MARK)
     return F.replace(F.initcap(spaced), F.lit(_MARK), F.lit(""))
 
 
 def clean_text(c: Column | str) -> Column:
     """strip then title-case; NULL stays NULL."""
+    if isinstance(c, str):
+        return F.expr(title_sql(strip_sql(_ident(c))))
     return title_case(strip(c))
