@@ -18,6 +18,10 @@ def _col(c: Column | str) -> Column:
 
 
 def exact_avg(c: Column | str, scale: int = 2) -> Column:
+    if isinstance(c, str):                       # one JVM call for a column name
+        x, k = "`" + c.replace("`", "``") + "`", 10 ** scale
+        return F.expr(f"CASE WHEN count({x}) > 0 THEN CAST(sum(CAST({x} * {k} AS BIGINT)) "
+                      f"AS DOUBLE) / CAST(count({x}) * {k} AS DOUBLE) END")
     c = _col(c)
     units = (c * F.lit(10 ** scale)).cast(T.LongType())
     n = F.count(c)

@@ -188,10 +188,16 @@ def clean_typed(t: DataFrame, run_ts: str | None = None,
     the whole parse expression into the scan.  The keep-last window,
     the validity flag and the empty-row test share one filter.
     """
-    w = Window.partitionBy(*K.KEY_COLS).orderBy(F.col(K.ROW_NO).desc())
-    t = t.select("*", base_reject_reason(max_future, run_ts).isNull().alias("_ok"),
-                 F.row_number().over(w).alias("_rn"))
-    t = t.where((F.col("_rn") == 1) & F.col("_ok") & ~all_numeric_null())
+    ok = "timestamp IS NOT NULL AND plant_name IS NOT NULL"
+    if max_future:
+        now = ("CAST(current_timestamp() AS TIMESTAMP_NTZ)" if run_ts is None
+               else f"CAST('{run_ts}' AS TIMESTAMP_NTZ)")
+        ok += f" AND timestamp <= {now} + INTERVAL {max_future}"
+    t = t.selectExpr("*", f"({ok}) AS _ok",
+                     f"row_number() OVER (PARTITION BY timestamp, plant_name "
+                     f"ORDER BY {_ident(K.ROW_NO)} DESC) AS _rn")
+    nums = ", ".join(K.NUMERIC_COLS)
+    t = t.where(f"_rn = 1 AND _ok AND coalesce({nums}) IS NOT NULL")
     return to_target(t, keep_row_no=keep_row_no, audit=audit_ts(run_ts))
 
 

@@ -94,33 +94,34 @@ def merge_plan(target: DataFrame | None, source: DataFrame, dates: Sequence[dt.d
     """Lazy merged rows for the touched partitions (see module doc)."""
     spark = source.sparkSession
     has_ord = K.ROW_NO in source.columns
+    cols = [f"`{c}`" for c in K.TARGET_COLUMNS]
     src = to_target(source, keep_row_no=has_ord)
-    src = src.withColumn(_ORD, F.col(K.ROW_NO) if has_ord else F.lit(None).cast(T.LongType()))
-    src = src.drop(K.ROW_NO)
-    src = src.withColumns({K.PARTITION_COL: F.to_date("timestamp"), _PRIO: F.lit(1)})
+    src = src.selectExpr(*cols, f"{'`' + K.ROW_NO + '`' if has_ord else 'CAST(NULL AS BIGINT)'} AS {_ORD}",
+                         f"to_date(timestamp) AS {K.PARTITION_COL}", f"1 AS {_PRIO}")
+    ord_type = src.schema[_ORD].dataType.simpleString()
 
+    day_list = ", ".join(f"DATE '{d}'" for d in dates)
     tgt = target if target is not None else empty_table(spark)
-    tgt = (tgt.where(F.col(K.PARTITION_COL).isin(list(dates)))
-           .select(*K.TARGET_COLUMNS, K.PARTITION_COL)
-           .withColumns({_ORD: F.lit(None).cast(src.schema[_ORD].dataType), _PRIO: F.lit(0)}))
+    tgt = (tgt.where(f"{K.PARTITION_COL} IN ({day_list})")
+           .selectExpr(*cols, K.PARTITION_COL, f"CAST(NULL AS {ord_type}) AS {_ORD}", f"0 AS {_PRIO}"))
 
     keys = [K.PARTITION_COL, "plant_name", "timestamp"]
     u = tgt.unionByName(src).repartitionByRange(*keys)
-    w = Window.partitionBy(*keys).orderBy(F.col(_PRIO).desc(), F.col(_ORD).desc_nulls_last())
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    u = u.withColumns({_RN: F.row_number().over(w),
-                       _HAS_TGT: F.min(_PRIO).over(whole) == 0})
+    spec = (f"PARTITION BY {', '.join(keys)} ORDER BY {_PRIO} DESC, {_ORD} DESC NULLS LAST")
+    u = u.selectExpr(
+        "*", f"row_number() OVER ({spec}) AS {_RN}",
+        f"min({_PRIO}) OVER ({spec} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
+        f" = 0 AS {_HAS_TGT}")
     if observation is not None:
-        is_src = F.col(_PRIO) == 1
-        won = is_src & (F.col(_RN) == 1)
+        won = f"{_PRIO} = 1 AND {_RN} = 1"
         u = u.observe(
             observation,
-            F.count_if(is_src).cast(T.LongType()).alias("rows_loaded"),
-            F.count_if(won & ~F.col(_HAS_TGT)).cast(T.LongType()).alias("rows_inserted"),
-            F.count_if(won & F.col(_HAS_TGT)).cast(T.LongType()).alias("rows_updated"),
-            F.max(F.when(is_src, F.col("timestamp"))).alias("max_timestamp"),
+            F.expr(f"CAST(count_if({_PRIO} = 1) AS BIGINT)").alias("rows_loaded"),
+            F.expr(f"CAST(count_if({won} AND NOT {_HAS_TGT}) AS BIGINT)").alias("rows_inserted"),
+            F.expr(f"CAST(count_if({won} AND {_HAS_TGT}) AS BIGINT)").alias("rows_updated"),
+            F.expr(f"max(CASE WHEN {_PRIO} = 1 THEN timestamp END)").alias("max_timestamp"),
         )
-    return u.where(F.col(_RN) == 1).select(*K.TARGET_COLUMNS, K.PARTITION_COL)
+    return u.where(f"{_RN} = 1").select(*K.TARGET_COLUMNS, K.PARTITION_COL)
 
 
 def write_partitions(df: DataFrame, path: str) -> None:
