@@ -78,9 +78,11 @@ def stage_with_dates(clean: DataFrame, path: str | None = None):
     value per day), so no extra job is needed to list them.
     """
     obs = Observation("staged")
+    # Not partitioned by date: the merge reads all of it, and one file per
+    # task (instead of one per task and date) keeps the staging write cheap.
     staged = stage_at(CL.with_partition(clean).observe(
         obs, F.count(F.lit(1)).alias("n"), F.collect_set(K.PARTITION_COL).alias("dates")),
-        path or fresh_dir(clean.sparkSession, "stage"))
+        path or fresh_dir(clean.sparkSession, "stage"), partition=False)
     m = obs.get
     return staged, int(m.get("n") or 0), sorted(m.get("dates") or [])
 
