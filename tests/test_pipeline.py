@@ -65,3 +65,27 @@ def test_rejects_written_with_reason(spark, scratch):
     got = {r.reject_reason: r["count"] for r in
            spark.read.parquet(rej).groupBy(K.REJECT_COL).count().collect()}
     assert got == {K.BAD_TIMESTAMP: 11, K.DUPLICATE: 34, K.ALL_NULL: 14}
+
+
+def test_crash_after_commit_is_recovered_by_rerun(spark, scratch, monkeypatch):
+    """Fact table committed, HWM not written: the run is FAILED, the rerun
+    re-processes the same batch and the keyed upsert leaves the table equal."""
+    raw = raw_readings(spark, SF)
+    t, s, log = scratch("fact"), scratch("hwm"), scratch("log")
+
+    def boom(*a, **k):
+        raise RuntimeError("lost before the mark was written")
+
+    monkeypatch.setattr(H, "update_hwm", boom)
+    try:
+        P.run(spark, raw, t, s, run_log_path=log, run_ts=RUN_TS)
+    except RuntimeError:
+        pass
+    monkeypatch.undo()
+    first = _table(spark, t)
+    assert len(first) == 976 and H.read_hwm(spark, s) is None
+    assert P.read_run_log(spark, log).first().status == "FAILED"
+    r = P.run(spark, raw, t, s, run_log_path=log, run_ts="2025-05-01 11:00:00")
+    assert r.rows_updated == 976 and r.rows_inserted == 0
+    assert _table(spark, t) == first
+    assert H.read_hwm(spark, s) == dt.datetime(2024, 1, 30, 23, 26, 16)
