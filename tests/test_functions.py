@@ -63,3 +63,29 @@ def test_round_and_iso(spark):
     got = df.select(round_to_second("ts").alias("r"), iso_timestamp("ts").alias("i")).collect()
     assert [r.r for r in got] == [dt.datetime(2024, 1, 1, 0, 0, 8), dt.datetime(2024, 1, 1, 0, 0, 7)]
     assert [r.i for r in got] == ["2024-01-01T00:00:07.500000", "2024-01-01T00:00:07.499999"]
+
+
+def test_sql_text_and_column_forms_agree(spark):
+    """Named columns take a SQL-text path; Column inputs take the Column API."""
+    from verdant.functions import clean_text, exact_avg, to_decimal
+    vals = ["12", " 12.5 ", " 7　", "-3", "+4.", ".5", "1e3", "1d", "inf", "nan", "1,000",
+            "91.99%", "n/a", "", None, "0x10", "a'b", "\\1", "123456.789", "  plant-1a\t",
+            "2025-04-15 02:28:40", "2025-04-15T02:28:40", "2025-04-15 02:28:40.6",
+            "4/15/2025 2:28:40", " 2025-04-15 02:28:40\t", "NOT A DATE", "2025"]
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    c = F.col("s")
+    rows = df.select(
+        parse_number("s").alias("n1"), parse_number(c).alias("n2"),
+        parse_timestamp("s").alias("t1"), parse_timestamp(c).alias("t2"),
+        clean_text("s").alias("c1"), clean_text(c).alias("c2"),
+        to_decimal(parse_number(c), 6).alias("d2"),
+    ).collect()
+    for r in rows:
+        assert (r.n1, r.t1, r.c1) == (r.n2, r.t2, r.c2)
+    d = df.select(parse_number(c).alias("x")).select(to_decimal("x", 6).alias("d1"),
+                                                      to_decimal(F.col("x"), 6).alias("d2"))
+    assert all(r.d1 == r.d2 for r in d.collect())
+    nums = spark.createDataFrame([(x,) for x in ["1.01", "2.02", "3.5", None]], "s string") \
+        .select(to_decimal(parse_number("s"), 8).alias("v"))
+    a = nums.agg(exact_avg("v").alias("a1"), exact_avg(F.col("v")).alias("a2")).first()
+    assert a.a1 == a.a2 == 6.53 / 3
