@@ -39,3 +39,16 @@ def test_stream_batches_and_later_batch_wins(spark, scratch):
                  *HEADER, G.EXTRA_COL)
     fn(b, 99)
     assert UP.read_table(spark, target).count() == 3
+
+
+def test_processing_time_trigger(spark, scratch):
+    src, target = scratch("landing"), scratch("fact")
+    _write(spark, os.path.join(src, "b1"), SAMPLE_ROWS)
+    q = S.start_ingest(spark, src, target, names=HEADER, run_ts=RUN_TS,
+                       available_now=False, processing_time="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert q.exception() is None
+    assert UP.read_table(spark, target).count() == 3
