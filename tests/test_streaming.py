@@ -42,9 +42,11 @@ def test_stream_batches_and_later_batch_wins(spark, scratch):
 
 
 def test_processing_time_trigger(spark, scratch):
-    src, target = scratch("landing"), scratch("fact")
+    import datetime as dt
+    from verdant.operators import hwm as H
+    src, target, state = scratch("landing"), scratch("fact"), scratch("hwm")
     _write(spark, os.path.join(src, "b1"), SAMPLE_ROWS)
-    q = S.start_ingest(spark, src, target, names=HEADER, run_ts=RUN_TS,
+    q = S.start_ingest(spark, src, target, names=HEADER, run_ts=RUN_TS, state_path=state,
                        available_now=False, processing_time="1 second")
     try:
         q.processAllAvailable()
@@ -52,3 +54,4 @@ def test_processing_time_trigger(spark, scratch):
         q.stop()
     assert q.exception() is None
     assert UP.read_table(spark, target).count() == 3
+    assert H.read_hwm(spark, state) == dt.datetime(2025, 5, 5, 16, 4, 32)

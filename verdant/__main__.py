@@ -4,7 +4,7 @@
                           [--run-log LOG] [--rejects REJ] [--overlap '1 hour']
                           [--max-future '1 day']
     python -m verdant stream --grid LANDING --table FACT [--checkpoint CKPT]
-                             [--max-files N]
+                             [--max-files N] [--state HWM]
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--grid", required=True)
     s.add_argument("--table", required=True)
     s.add_argument("--checkpoint")
+    s.add_argument("--state", help="high-water-mark table to keep in step")
     s.add_argument("--max-files", type=int)
     a = ap.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
@@ -50,7 +51,7 @@ def main(argv: list[str] | None = None) -> int:
     else:
         from .streaming.ingest import ingest_available
         took = ingest_available(spark, a.grid, a.table, checkpoint=a.checkpoint,
-                                max_files_per_trigger=a.max_files)
+                                max_files_per_trigger=a.max_files, state_path=a.state)
         print(json.dumps({"seconds": took.total_seconds()}))
     spark.stop()
     return 0

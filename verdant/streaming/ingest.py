@@ -22,6 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import contract as K
 from ..operators import clean as CL
+from ..operators import hwm as H
 from ..plans.pipeline import stage_and_upsert
 from ..session import configure, fresh_dir
 from ..sources.grid import _CSV_READ, EXTRA_COL, grid_schema, header
@@ -48,14 +49,20 @@ def _with_ordinal(batch: DataFrame) -> DataFrame:
 
 
 def process_batch(target_path: str, run_ts: str | None, max_future: str | None,
-                  formats: Sequence[str]):
+                  formats: Sequence[str], state_path: str | None = None):
     def fn(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         configure(spark)
         clean = CL.clean(_with_ordinal(batch).drop(EXTRA_COL), run_ts=run_ts,
                          formats=formats, max_future=max_future)
         # Staged once (shared folder), so the date list and the merge read files.
-        stage_and_upsert(spark, clean, target_path)
+        _, res = stage_and_upsert(spark, clean, target_path)
+        if state_path and res is not None and res.max_timestamp is not None:
+            # Keep the stored mark in step with the stream (never moving it back),
+            # so batch runs on the same table start where the stream is.
+            current = H.read_hwm(spark, state_path)
+            if current is None or res.max_timestamp > current:
+                H.update_hwm(spark, state_path, res.max_timestamp)
     return fn
 
 
@@ -65,14 +72,15 @@ def start_ingest(spark: SparkSession, source_dir: str, target_path: str,
                  max_future: str | None = None,
                  formats: Sequence[str] = K.TIMESTAMP_FORMATS,
                  available_now: bool = True,
-                 processing_time: str | None = None) -> StreamingQuery:
+                 processing_time: str | None = None,
+                 state_path: str | None = None) -> StreamingQuery:
     """Start the ingest stream; ``available_now`` runs to completion then stops."""
     configure(spark)
     names = list(names) if names else header(spark, source_dir)
     if not names:
         raise ValueError(f"no grid header found under {source_dir}")
     w = (grid_stream(spark, source_dir, names, max_files_per_trigger).writeStream
-         .foreachBatch(process_batch(target_path, run_ts, max_future, formats))
+         .foreachBatch(process_batch(target_path, run_ts, max_future, formats, state_path))
          .option("checkpointLocation", checkpoint or fresh_dir(spark, "ingest-ckpt")))
     w = w.trigger(availableNow=True) if available_now else w.trigger(
         processingTime=processing_time or "30 minutes")
