@@ -5,8 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdant.llm import chat, decontaminate, line_dedup
-from verdant.llm.common import table
+from verdant.llm import (bpe, chat, decontaminate, html_tree, kd_topk, langid, line_dedup, ngram_join, quality_crf,
+                         wacz)
+from verdant.llm.common import fold_bucket, table
+
+QUALITY_AT = 0.3   # a document is kept from this score on
+QUALITY_FOLDS, QUALITY_HELD = 5, 0
+LANG_FOLDS, LANG_HELD = 4, 2
+
+
+def quality_model(docs: DataFrame, labels: DataFrame) -> quality_crf.Model:
+    """Fitted on the labelled rows outside the held-out fold."""
+    return quality_crf.fit(docs, labels, fold_bucket(F.col("doc_id"), QUALITY_FOLDS) != QUALITY_HELD)
+
+
+def op1_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_model(docs, table(spark, sf_dir, "labels"))
+    scored = quality_crf.with_score(docs, model).select("doc_id", "score")
+    return scored.select("doc_id", (fold_bucket(F.col("doc_id"), QUALITY_FOLDS) == QUALITY_HELD).alias("held_out"),
+                         "score", (F.col("score") >= QUALITY_AT).cast("int").alias("predicted"))
 
 
 def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,6 +64,47 @@ FROM t GROUP BY conv_id
 """
 
 
+def op3_kd_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best inner products of every vector whose id 20 divides."""
+    return kd_topk.top_k(table(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0, 20)
+
+
+OP3_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
+def op4_html_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    model = html_tree.train(html_tree.labelled_pages())
+    out = html_tree.main_text(table(spark, sf_dir, "pages"), model, ["page_id", "url"])
+    return out.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def tokenizer(spark: SparkSession, path: str | None = None):
+    """(ranks, pattern): the public byte-level vocabulary, or the rank file at ``path``."""
+    import public_tokenizers
+
+    return bpe.vocabulary(spark, path or public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and the way back."""
+    ranks, pattern = tokenizer(spark)
+    ids = bpe.encode(table(spark, sf_dir, "documents"), ranks, pattern, keep=["doc_id"])
+    out = bpe.decode(ids, ranks)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark words of every document."""
     out = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -102,8 +162,34 @@ SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(t.text, '') EN
 FROM documents d LEFT JOIN t USING (doc_id)
 """
 
+def op8_wacz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a WARC record in a ZIP-packaged archive, read back by ranges."""
+    return wacz.round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = fold_bucket(F.col("doc_id"), LANG_FOLDS) == LANG_HELD
+    out = langid.predict(docs, langid.fit(docs, ~held))
+    return out.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    return ngram_join.join_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_quality_crf": (op1_quality_crf, None),
     "op2_chat": (op2_chat, OP2_SQL),
+    "op3_kd_topk": (op3_kd_topk, OP3_SQL),
+    "op4_html_tree": (op4_html_tree, None),
+    "op5_bpe": (op5_bpe, None),
     "op6_decontaminate": (op6_decontaminate, OP6_SQL),
     "op7_line_dedup": (op7_line_dedup, OP7_SQL),
+    "op8_wacz": (op8_wacz, None),
+    "op9_langid": (op9_langid, None),
+    "op10_ngram_join": (op10_ngram_join, None),
 }
