@@ -54,18 +54,19 @@ def covered_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every row of ``docs``: __text (what is left), __n_lines, __n_removed beside its own columns."""
+    """Every row of ``docs``: __text (what is left), __n_lines, __n_removed beside its own
+    columns (and in place of any of those names)."""
     gone = covered_lines(docs, id_col, text_col).select(
         F.col("doc").alias("__doc"), F.col("h").alias("__h"), F.col("gone").alias("__gone"))
     same = docs[id_col].eqNullSafe(gone["__doc"]) & (F.xxhash64(docs[text_col]) == gone["__h"])
     lines = _lines(docs[text_col])
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__gone"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone["__gone"])
     left = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
-    return (docs.join(gone, same, "left")
-            .withColumn("__text", F.when(F.col("__gone").isNull(), docs[text_col]).otherwise(left))
-            .withColumn("__n_lines", F.coalesce(F.when(docs[text_col].isNotNull(), F.size(lines)), F.lit(0)).cast("long"))
-            .withColumn("__n_removed", F.coalesce(F.size("__gone"), F.lit(0)).cast("long"))
-            .drop("__doc", "__h", "__gone"))
+    out = {"__text": F.when(gone["__gone"].isNull(), docs[text_col]).otherwise(left),
+           "__n_lines": F.when(docs[text_col].isNull(), 0).otherwise(F.size(lines)).cast("long"),
+           "__n_removed": F.coalesce(F.size(gone["__gone"]), F.lit(0)).cast("long")}
+    return docs.join(gone, same, "left").select(
+        *[docs[c] for c in docs.columns if c not in out], *[v.alias(k) for k, v in out.items()])
 
 
 def strip_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
