@@ -66,7 +66,7 @@ TAG_OF = {"p": "p", "div": "div", "center": "div", **{f"h{i}": "heading" for i i
           "figcaption": "figure", "form": "form", "fieldset": "form", "legend": "form", "label": "form",
           "dialog": "form", "html": "body", "body": "body"}
 KINDS = (*TAGS, *[f"cue_{k}" for k in CUES], "text_none", "text_short", "text_mid", "text_long", "links_some", "links_most", "sentence",
-         "copyright", "hidden", "tag_in_article", "tag_in_edge")
+         "copyright", "hidden", "tag_in_article", "tag_in_edge", "prose_in_root")
 COLUMN = {k: i for i, k in enumerate(KINDS)}
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
@@ -190,6 +190,7 @@ def features(nodes: list[Node]) -> np.ndarray:
             inside[i] = 2
         out[i, COLUMN["tag_in_article"]] = inside[i] == 1
         out[i, COLUMN["tag_in_edge"]] = inside[i] == 2
+        out[i, COLUMN["prose_in_root"]] = v.parent == 0 and tag in ("p", "heading", "quote", "pre", "list")
         if v.attrs:
             for key, a, b, c in ATTR.findall(v.attrs):
                 value = (a or b or c).lower()
