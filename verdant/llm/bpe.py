@@ -45,13 +45,13 @@ class Replay:
         self.ranks = ranks
         self.token = {r: t for t, r in ranks.items()}
         self.byte = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
-        self.pairs: dict[tuple[int, int], int] = {}  # rank of two joined tokens, -1 if they make none
+        self.pairs: dict[int, int] = {}  # rank of two joined tokens (left << 32 | right), -1 if they make none
         self.byte_pairs = np.array([[ranks.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)], np.int64)
 
-    def _pair(self, key: tuple[int, int]) -> int:
+    def _pair(self, key: int) -> int:
         if len(self.pairs) > KEPT:
             self.pairs.clear()
-        r = self.pairs[key] = self.ranks.get(self.token[key[0]] + self.token[key[1]], -1)
+        r = self.pairs[key] = self.ranks.get(self.token[key >> 32] + self.token[key & 0xFFFFFFFF], -1)
         return r
 
     def encode(self, words: Iterable[str]) -> dict[str, list[int]]:
@@ -87,7 +87,7 @@ class Replay:
         index = {int(r): x.tolist() for r, x in zip(present, np.split(order, first[1:])) if r >= 0}
         tok, nxt, prv, at = self.byte[data].tolist(), after.tolist(), before.tolist(), rank_at.tolist()
 
-        known, learn = self.pairs.get, self._pair
+        known, learn, find, push = self.pairs.get, self._pair, index.get, heapq.heappush
         heap = list(index)
         heapq.heapify(heap)
         while heap:
@@ -95,7 +95,9 @@ class Replay:
             places = index.pop(rank, None)
             if places is None:
                 continue
-            places.sort()
+            if len(places) > 1:
+                places.sort()
+            high = rank << 32
             for k, i in enumerate(places):
                 if at[i] != rank:  # an earlier merge took one of the two
                     continue
@@ -105,30 +107,32 @@ class Replay:
                 new = -1
                 if follows >= 0:
                     prv[follows] = i
-                    key = (rank, tok[follows])
+                    key = high | tok[follows]
                     new = known(key)
                     if new is None:
                         new = learn(key)
                     if new >= 0:
-                        if new in index:
-                            index[new].append(i)
-                        else:
+                        spots = find(new)
+                        if spots is None:
                             index[new] = [i]
-                            heapq.heappush(heap, new)
+                            push(heap, new)
+                        else:
+                            spots.append(i)
                 at[i] = new
                 leads, other = prv[i], -1
                 if leads >= 0:
-                    key = (tok[leads], rank)
+                    key = tok[leads] << 32 | rank
                     other = known(key)
                     if other is None:
                         other = learn(key)
                     at[leads] = other
                     if other >= 0:
-                        if other in index:
-                            index[other].append(leads)
-                        else:
+                        spots = find(other)
+                        if spots is None:
                             index[other] = [leads]
-                            heapq.heappush(heap, other)
+                            push(heap, other)
+                        else:
+                            spots.append(leads)
                 if (0 <= new <= rank or 0 <= other <= rank) and k + 1 < len(places):
                     # a lower pair first, then the rest of this one
                     index.setdefault(rank, []).extend(places[k + 1:])
@@ -158,6 +162,38 @@ def vocabulary(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast(read_ranks(path))
 
 
+class Pieces:
+    """The pieces met so far in a task and their ids, one after the other."""
+
+    def __init__(self, replay: Replay):
+        self.replay, self.place = replay, {}
+        self.ids, self.starts, self.sizes = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def encoded(self, texts: list[list[str]]) -> list[np.ndarray]:
+        """The ids of each text, given as its pieces."""
+        words = set().union(*texts)
+        if len(self.place) + len(words) > KEPT:
+            self.__init__(self.replay)
+        fresh = self.replay.encode(words.difference(self.place))
+        if fresh:
+            n = len(self.place)
+            self.place.update(zip(fresh, range(n, n + len(fresh))))
+            sizes = np.fromiter(map(len, fresh.values()), np.int64, len(fresh))
+            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+            self.sizes = np.concatenate([self.sizes, sizes])
+            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(fresh.values()), np.int32, sizes.sum())])
+        get = self.place.__getitem__
+        return [_gathered(self.ids, self.starts, self.sizes, np.fromiter(map(get, t), np.int64, len(t))) for t in texts]
+
+
+def _gathered(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """The runs ``which`` of ``values`` one after the other."""
+    n = sizes[which]
+    ends = np.cumsum(n)
+    shift = np.repeat(starts[which] - (ends - n), n)
+    return values[shift + np.arange(len(shift))]
+
+
 def encode(df: DataFrame, ranks, pattern: str, text_col: str = "text", out: str = "ids",
            keep: list[str] | None = None) -> DataFrame:
     """Every row of ``df``, its columns (or ``keep`` of them) and the ids of its text in column
@@ -169,16 +205,9 @@ def encode(df: DataFrame, ranks, pattern: str, text_col: str = "text", out: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
-        cut, replay = regex.compile(pattern).findall, Replay(ranks.value)
-        known: dict[str, list[int]] = {}
+        cut, pieces = regex.compile(pattern).findall, Pieces(Replay(ranks.value))
         for b in batches:
-            pieces = [cut(t) if t else [] for t in b[text_col].to_pylist()]
-            words = set().union(*pieces)
-            if len(known) + len(words) > KEPT:
-                known = {}
-            known.update(replay.encode(words.difference(known)))
-            get = known.__getitem__
-            flat = [np.fromiter(chain.from_iterable(map(get, p)), np.int32) for p in pieces]
+            flat = pieces.encoded([cut(t) if t else [] for t in b[text_col].to_pylist()])
             offsets = np.r_[0, np.cumsum([len(x) for x in flat])].astype(np.int32)
             values = np.concatenate(flat) if flat else np.empty(0, np.int32)
             yield _with(b, kept, out, pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)))
@@ -194,13 +223,18 @@ def decode(df: DataFrame, ranks, ids_col: str = "ids", out: str = "decoded",
     df = df.select(*dict.fromkeys([*kept, ids_col]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = {r: t for t, r in ranks.value.items()}
+        sizes = np.zeros(max(ranks.value.values()) + 1, np.int64)
+        for token, r in ranks.value.items():
+            sizes[r] = len(token)
+        starts, order = np.cumsum(sizes) - sizes, sorted(ranks.value, key=ranks.value.get)
+        table = np.frombuffer(b"".join(order), np.uint8)
         for b in batches:
             col = b[ids_col]
-            flat, at = col.values.to_pylist(), col.offsets.to_pylist()
-            get = token.__getitem__
+            flat, at = np.asarray(col.values), np.asarray(col.offsets)
+            if len(flat) and (flat.min() < 0 or flat.max() >= len(sizes) or not sizes[flat].all()):
+                raise ValueError("an id that the vocabulary doesn't have")
             # a null list has equal offsets, so it decodes to nothing
-            done = [b"".join(map(get, flat[i:j])) for i, j in zip(at, at[1:])]
+            done = [_gathered(table, starts, sizes, flat[i:j]).tobytes() for i, j in zip(at, at[1:])]
             yield _with(b, kept, out, pa.array(done, pa.binary()))
 
     return df.mapInArrow(run, _schema(df, kept, out, T.BinaryType()))
