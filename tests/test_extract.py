@@ -53,7 +53,7 @@ def test_short_rows_padded_and_long_rows_flagged(spark, scratch):
     _write(spark, p, [",".join(HEADER), short, long_])
     rows = sorted(G.read_grid(spark, p).collect(), key=lambda r: r["Plant Name"])
     assert rows[0]["Inside Humidity"] == "" and rows[0]["Outside Humidity"] == ""
-    assert rows[0][G.EXTRA_COL] is None and rows[1][G.EXTRA_COL] == "surplus"
+    assert rows[0][G.EXTRA_COL] is None and rows[1][G.EXTRA_COL] == '["surplus"]'
     assert G.overlong_rows(G.read_grid(spark, p)).count() == 1
 
 

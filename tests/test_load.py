@@ -97,17 +97,57 @@ def test_matched_and_not_matched(spark, grid):
     assert [r.timestamp.month for r in UP.not_matched(src, tgt).collect()] == [5]
 
 
-def test_state_log_compaction_keeps_current_marks(spark, scratch):
+def test_state_log_keeps_every_mark(spark, scratch):
     state = scratch("hwm")
-    for i in range(5):
-        H.update_hwm(spark, state, dt.datetime(2025, 1, 1 + i), updated_at=dt.datetime(2025, 5, 1, i))
-    H.update_hwm(spark, state, dt.datetime(2030, 1, 1), pipeline="other",
-                 updated_at=dt.datetime(2025, 5, 2))
-    assert not H.compact(spark, state, min_files=100)
-    assert H.compact(spark, state, min_files=3)
-    assert H.state_log(spark, state).count() == 2
-    assert H.read_hwm(spark, state) == dt.datetime(2025, 1, 5)
-    assert H.read_hwm(spark, state, "other") == dt.datetime(2030, 1, 1)
+    for i in range(70):
+        H.update_hwm(spark, state, dt.datetime(2025, 1, 1) + dt.timedelta(hours=i),
+                     updated_at=dt.datetime(2025, 5, 1) + dt.timedelta(minutes=i))
+    assert H.state_log(spark, state).count() == 70
+    assert H.read_hwm(spark, state) == dt.datetime(2025, 1, 3, 21)
+
+
+def test_crash_while_partitions_are_replaced_loses_no_row(spark, grid, scratch, monkeypatch):
+    """The stored days are gone and the new ones not there yet: the copy beside the table holds them."""
+    path = scratch("fact")
+    UP.upsert(spark, _clean(grid, SAMPLE_ROWS), path)
+    changed = list(SAMPLE_ROWS[0])
+    changed[2] = "Wilted"
+
+    def dies(days, target):
+        import shutil
+        shutil.rmtree(os.path.join(target.removeprefix("file:"), "reading_date=2025-04-15"))
+        raise RuntimeError("lost between delete and rename")
+
+    replace = UP._replace
+    monkeypatch.setattr(UP, "_replace", dies)
+    try:
+        UP.upsert(spark, _clean(grid, [changed]), path)
+    except RuntimeError:
+        pass
+    assert UP.read_table(spark, path).count() == 1
+    monkeypatch.setattr(UP, "_replace", replace)
+    UP.upsert(spark, _clean(grid, SAMPLE_ROWS[2:]), path)     # another batch finishes it
+    rows = {(r.plant_name, r.timestamp.month): r.status for r in UP.read_table(spark, path).collect()}
+    assert rows == {("Plant 1", 4): "Wilted", ("Plant 2", 4): "Séchée", ("Plant 1", 5): "Wilted"}
+    assert UP.finish_pending(spark, path) == 0
+
+
+def test_incomplete_copy_is_dropped(spark, grid, scratch):
+    path = scratch("fact")
+    UP.upsert(spark, _clean(grid, SAMPLE_ROWS), path)
+    left = UP.pending_root(path) + "/cut-off"
+    UP.read_table(spark, path).limit(1).write.partitionBy(K.PARTITION_COL).parquet(left)
+    os.remove(os.path.join(left.removeprefix("file:"), "_SUCCESS"))
+    assert UP.finish_pending(spark, path) == 0 and UP.read_table(spark, path).count() == 3
+
+
+def test_unreadable_table_is_not_taken_for_a_missing_one(spark, grid, scratch):
+    path = scratch("fact")
+    spark.range(3).write.parquet(path + "/not_a_date=1/x=2")
+    spark.range(3).write.parquet(path + "/other=1")
+    import pytest
+    with pytest.raises(Exception):
+        UP.read_table(spark, path).count()
 
 
 def test_missing_audit_column_defaults_to_now(spark, grid, scratch):

@@ -17,7 +17,7 @@ def test_tables_and_views_via_sql(spark, grid, scratch):
     assert statuses == ["RUNNING", "SUCCESS"]
     SQ.register_views(spark.table(SQ.FACT_TABLE))
     latest = {r.plant_name: r.status for r in spark.sql(f"SELECT * FROM {SQ.LATEST_VIEW}").collect()}
-    assert latest == {"Plant 1": "Wilted", "Plant 2": "Healthy"}
+    assert latest == {"Plant 1": "Wilted", "Plant 2": "Séchée"}
     daily = spark.sql(f"SELECT * FROM {SQ.DAILY_VIEW} ORDER BY reading_date, plant_name").collect()
     assert [(r.plant_name, r.reading_count) for r in daily] == [("Plant 1", 1), ("Plant 2", 1), ("Plant 1", 1)]
     for t in (SQ.FACT_TABLE, SQ.STATE_TABLE, SQ.RUN_LOG_TABLE):

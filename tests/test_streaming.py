@@ -26,21 +26,41 @@ def test_stream_batches_and_later_batch_wins(spark, scratch):
     assert q.exception() is None
     assert len(q.recentProgress) >= 2
     table = {(r.plant_name, r.timestamp.day): r.status for r in UP.read_table(spark, target).collect()}
-    assert table == {("Plant 1", 15): "Wilted", ("Plant 2", 15): "Healthy", ("Plant 1", 5): "Wilted"}
+    assert table == {("Plant 1", 15): "Wilted", ("Plant 2", 15): "Séchée", ("Plant 1", 5): "Wilted"}
     # Restart on the same checkpoint: nothing new, table unchanged.
     q2 = S.start_ingest(spark, src, target, **kw)
     q2.awaitTermination()
     assert UP.read_table(spark, target).count() == 3
     # Replaying a batch by hand (what a retried epoch does) changes nothing.
-    fn = S.process_batch(target, RUN_TS, None, S.K.TIMESTAMP_FORMATS)
-    from verdant.sources import grid as G
-    b = G.read_grid(spark, os.path.join(src, "b2"))
-    b = b.select(b["_row_no.file"].alias("_file"), b["_row_no.block"].alias("_block"),
-                 *HEADER, G.EXTRA_COL)
+    width = len(HEADER) + S.SPARE_CELLS
+    fn = S.process_batch(target, HEADER, width, RUN_TS)
+    b = (spark.read.options(**S._CSV_READ).schema(", ".join(f"{c} string" for c in S._cells(width)))
+         .csv(os.path.join(src, "b2")))
+    b = b.select(b["_metadata.file_modification_time"].alias("_modified"), b["_metadata.file_path"].alias("_file"),
+                 b["_metadata.file_block_start"].alias("_block"), *S._cells(width))
     fn(b, 99)
     assert UP.read_table(spark, target).count() == 3
 
 
+def test_stream_keeps_rejects_maps_headers_and_goes_on_from_its_own_checkpoint(spark, scratch):
+    src, target, rej, log = (scratch(n) for n in ("landing", "fact", "rejects", "log"))
+    bad, long_ = ["never", *SAMPLE_ROWS[0][1:]], SAMPLE_ROWS[1] + ["surplus"]
+    _write(spark, os.path.join(src, "b1"), [SAMPLE_ROWS[0], bad, long_])
+    order = list(reversed(range(len(HEADER))))
+    lines = [",".join(HEADER[i] for i in order), ",".join(SAMPLE_ROWS[2][i] for i in order)]
+    spark.createDataFrame([(l,) for l in lines], "value string").coalesce(1).write.text(os.path.join(src, "b2"))
+    kw = dict(run_ts=RUN_TS, rejects_path=rej, run_log_path=log)
+    S.ingest_available(spark, src, target, **kw)
+    assert {(r.plant_name, r.status) for r in UP.read_table(spark, target).collect()} == {
+        ("Plant 1", "Healthy"), ("Plant 1", "Wilted")}
+    kept = {r.reject_reason: r._extra for r in spark.read.parquet(rej).collect()}
+    assert kept == {S.K.BAD_TIMESTAMP: None, S.K.TOO_MANY_CELLS: '["surplus"]'}
+    runs = S.P.read_run_log(spark, log).collect()
+    assert sum(r.rows_extracted for r in runs) == 4 and sum(r.rows_rejected for r in runs) == 2
+    S.ingest_available(spark, src, target, **kw)      # no --checkpoint: it lies beside the table
+    assert spark.read.parquet(rej).count() == 2 and S.P.read_run_log(spark, log).count() == len(runs)
+
+
 def test_processing_time_trigger(spark, scratch):
     import datetime as dt
     from verdant.operators import hwm as H

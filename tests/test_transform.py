@@ -3,6 +3,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import HEADER, RUN_TS, SAMPLE_ROWS
@@ -26,12 +27,12 @@ def test_numerics_are_decimals(spark, grid):
     assert out.schema["confidence_score_pct"].dataType == T.DecimalType(6, 2)
     assert out.schema["moisture_sensor"].dataType == T.DecimalType(8, 2)
     row = out.where("plant_name = 'Plant 1' and status = 'Healthy'").first()
-    assert row.confidence_score_pct == Decimal("83.54") and row.inside_humidity is None
+    assert row.confidence_score_pct == Decimal("61.07") and row.inside_humidity is None
 
 
 def test_status_title_case(spark, grid):
     out = CL.clean(grid(SAMPLE_ROWS), run_ts=RUN_TS)
-    assert {r.status for r in out.collect()} == {"Healthy", "Wilted"}
+    assert {r.status for r in out.collect()} == {"Healthy", "Séchée", "Wilted"}
 
 
 def test_duplicates_removed(spark, grid):
@@ -95,20 +96,64 @@ def test_rejects_and_clean_partition_the_input(spark, grid):
     no_name[1] = None
     rows = [SAMPLE_ROWS[0], SAMPLE_ROWS[0], bad, no_name, SAMPLE_ROWS[2]]
     raw = grid(rows)
-    reasons = {r._row_no: r.reject_reason for r in CL.classify(raw).collect()}
-    assert reasons == {0: K.DUPLICATE, 1: None, 2: K.BAD_TIMESTAMP, 3: K.NULL_PLANT, 4: None}
+    reasons = {r._row_no: r.reject_reason for r in CL.rejects(raw).collect()}
+    assert reasons == {0: K.DUPLICATE, 2: K.BAD_TIMESTAMP, 3: K.NULL_PLANT}
     counts = CL.stage_counts(raw).first().asDict()
     assert counts["rows_extracted"] == 5 and counts["rows_clean"] == 2
 
 
+def test_counts_add_up_with_every_reason(spark, grid):
+    def row(**cells):
+        out = list(SAMPLE_ROWS[2])
+        for i, v in cells.items():
+            out[int(i[1:])] = v
+        return out
+
+    empty = {f"c{i}": "" for i in (3, 4, 5, 6, 7, 8, 9, 11, 12, 13, 14)}
+    raw = grid([row(), row(), row(c0="never"), row(c1=None), row(c0="2031-01-01 00:00:00"), row(c9="123456"),
+                row(c1="other", **empty)])
+    raw = raw.withColumn(K.EXTRA_COL, F.when(F.col(K.ROW_NO) == 1, '["x"]'))
+    counts = CL.stage_counts(raw, run_ts=RUN_TS, max_future="30 days").first().asDict()
+    assert counts == {"rows_extracted": 7, f"rows_{K.BAD_TIMESTAMP}": 1, f"rows_{K.NULL_PLANT}": 1,
+                      f"rows_{K.TOO_MANY_CELLS}": 1, f"rows_{K.OVERFLOW}": 1, f"rows_{K.FUTURE_TIMESTAMP}": 1,
+                      f"rows_{K.DUPLICATE}": 0, f"rows_{K.ALL_NULL}": 1, "rows_clean": 1}
+    assert CL.rejects(raw, run_ts=RUN_TS, max_future="30 days").count() == 6
+    assert CL.stage_counts(raw.limit(0)).first().rows_extracted == 0
+
+
+def test_building_the_typed_plan_starts_no_job(spark, grid):
+    raw = grid(SAMPLE_ROWS).groupBy(*grid(SAMPLE_ROWS).columns).count().drop("count")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("typed-plan", "no job")
+    CL.clean_typed(CL.typed(raw))
+    assert not tracker.getJobIdsForGroup("typed-plan")
+    with pytest.raises(ValueError):
+        CL.typed(raw.drop(K.ROW_NO))
+
+
+@pytest.mark.parametrize("text,want", [
+    ("2025-04-15", "2025-04-15 00:00:00"), ("2025-04-15 02:28", "2025-04-15 02:28:00"),
+    ("2025/04/15 02:28:40", "2025-04-15 02:28:40"), ("2025-04-15T02:28:40Z", "2025-04-15 02:28:40"),
+    ("2025-04-15T02:28:40+02:00", "2025-04-15 00:28:40"), ("4/15/2025 2:28", "2025-04-15 02:28:00"),
+    ("4/15/2025 2:28:40 PM", "2025-04-15 14:28:40"), ("4/15/2025", "2025-04-15 00:00:00"),
+    ("2025-04-15 02:28:39.999999999", "2025-04-15 02:28:40"), ("12:30", None), ("2025", None), ("2025-13-01", None),
+    ("2025-04/15", None), ("", None), ("NOT A DATE", None)])
+def test_timestamp_layouts(spark, text, want):
+    from verdant.functions import parse_timestamp
+    df = spark.createDataFrame([(text,)], "t string")
+    r = df.select(parse_timestamp("t").cast("string").alias("a"), parse_timestamp(F.col("t")).cast("string").alias("b")).first()
+    assert r.a == r.b == want
+
+
 def test_numeric_edge_cases(spark, grid):
     row = list(SAMPLE_ROWS[0])
     row[3], row[4], row[5], row[6], row[7] = "1d", "inf", " 12 ", "1,000", "91.99%"
-    row[9] = "123456.78"            # overflows DECIMAL(6,2)
     out = CL.clean(grid([row]), run_ts=RUN_TS).first()
     assert out.confidence_score_pct is None and out.moisture_sensor is None
     assert out.humidity == Decimal("12.00") and out.nitrogen is None and out.phosphorus is None
-    assert out.temperature is None
+    row[9] = "9999.995"             # rounds past DECIMAL(6,2): the row is refused
+    assert CL.clean(grid([row]), run_ts=RUN_TS).count() == 0
+    assert [r.reject_reason for r in CL.rejects(grid([row])).collect()] == [K.OVERFLOW]
 
 
 def test_fractional_seconds_rounded_before_dedup(spark, grid):

@@ -2,9 +2,13 @@
 
     python -m verdant run --grid LANDING --table FACT --state HWM [--full]
                           [--run-log LOG] [--rejects REJ] [--overlap '1 hour']
-                          [--max-future '1 day']
+                          [--max-future '1 day'] [--formats ISO 'd.M.yyyy H:mm' ...]
+                          [--multi-line] [--parse-partitions N] [--preview N]
     python -m verdant stream --grid LANDING --table FACT [--checkpoint CKPT]
-                             [--max-files N] [--state HWM]
+                             [--max-files N] [--state HWM] [--run-log LOG]
+                             [--rejects REJ] [--formats ...]
+
+Both take --cluster: the settings profile for a large cluster.
 """
 
 from __future__ import annotations
@@ -13,6 +17,7 @@ import argparse
 import json
 import logging
 import sys
+import time
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -27,32 +32,47 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--full", action="store_true", help="ignore the stored mark")
     r.add_argument("--overlap", help="re-read this interval before the mark")
     r.add_argument("--max-future", help="reject rows later than now + interval")
+    r.add_argument("--multi-line", action="store_true", help="quoted cells may hold line breaks (a file is one task)")
+    r.add_argument("--parse-partitions", type=int, help="deal rows over N tasks before parsing (few large files)")
+    r.add_argument("--preview", type=int, default=0, help="show N stored rows at the end")
     s = sub.add_parser("stream", help="consume new grid files, then stop")
     s.add_argument("--grid", required=True)
     s.add_argument("--table", required=True)
     s.add_argument("--checkpoint")
     s.add_argument("--state", help="high-water-mark table to keep in step")
     s.add_argument("--max-files", type=int)
+    s.add_argument("--run-log")
+    s.add_argument("--rejects")
+    for p in (r, s):
+        p.add_argument("--formats", nargs="+", help="timestamp layouts, tried in order (ISO: the year-first family)")
+        p.add_argument("--cluster", action="store_true", help="settings profile for a large cluster")
     a = ap.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
 
+    from . import contract as K
     from .session import build_session
-    spark = build_session()
+    spark = build_session(cluster=a.cluster)
+    formats = a.formats or K.TIMESTAMP_FORMATS
+    started = time.monotonic()
     if a.cmd == "run":
+        from .operators.upsert import read_table
         from .plans.pipeline import run
-        from .sources.grid import EXTRA_COL, overlong_rows, read_grid
-        grid = read_grid(spark, a.grid)
-        if EXTRA_COL in grid.columns and overlong_rows(grid).limit(1).count():
-            logging.warning("grid has rows with more cells than the header")
-        res = run(spark, grid.drop(EXTRA_COL), a.table, a.state, run_log_path=a.run_log,
+        from .plans.views import preview
+        from .sources.grid import read_grid
+        grid = read_grid(spark, a.grid, multi_line=a.multi_line)
+        res = run(spark, grid, a.table, a.state, run_log_path=a.run_log,
                   rejects_path=a.rejects, full=a.full, overlap=a.overlap,
-                  max_future=a.max_future)
-        print(json.dumps({k: str(v) for k, v in vars(res).items()}))
+                  max_future=a.max_future, formats=formats, parse_partitions=a.parse_partitions)
+        out = {k: str(v) for k, v in vars(res).items()}
+        if a.preview and (fact := read_table(spark, a.table)) is not None:
+            out["preview"] = [r.asDict() for r in preview(fact, a.preview).collect()]
     else:
         from .streaming.ingest import ingest_available
-        took = ingest_available(spark, a.grid, a.table, checkpoint=a.checkpoint,
-                                max_files_per_trigger=a.max_files, state_path=a.state)
-        print(json.dumps({"seconds": took.total_seconds()}))
+        ingest_available(spark, a.grid, a.table, checkpoint=a.checkpoint, formats=formats,
+                         max_files_per_trigger=a.max_files, state_path=a.state,
+                         rejects_path=a.rejects, run_log_path=a.run_log)
+        out = {}
+    print(json.dumps({**out, "seconds": round(time.monotonic() - started, 1)}, default=str))
     spark.stop()
     return 0
 

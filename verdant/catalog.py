@@ -49,36 +49,16 @@ def register(name: str, oracle: str | None):
     return deco
 
 
-# Lazy plans (never data) shared by the queries of one session: building and
-# analysing the parse projections once saves driver time on every query.
-_PLANS: dict[tuple, DataFrame] = {}
-
-
-def _session_key(spark: SparkSession) -> tuple:
-    try:
-        return (id(spark), spark.sparkContext.applicationId)
-    except Exception:  # noqa: BLE001 - remote session
-        return (id(spark), spark.conf.get("spark.app.id", ""))
-
-
-def _plan(spark: SparkSession, key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
-    k = (*_session_key(spark), *key)
-    if k not in _PLANS:
-        _PLANS[k] = build()
-    return _PLANS[k]
-
-
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plan(spark, ("raw", sf_dir), lambda: raw_readings(spark, sf_dir))
+    return raw_readings(spark, sf_dir)
 
 
 def _typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plan(spark, ("typed", sf_dir), lambda: CL.typed(_raw(spark, sf_dir)))
+    return CL.typed(_raw(spark, sf_dir))
 
 
 def _clean(spark: SparkSession, sf_dir: str, keep_row_no: bool = False) -> DataFrame:
-    return _plan(spark, ("clean", sf_dir, keep_row_no), lambda: CL.clean_typed(
-        _typed(spark, sf_dir), run_ts=RUN_TS, keep_row_no=keep_row_no))
+    return CL.clean_typed(_typed(spark, sf_dir), run_ts=RUN_TS, keep_row_no=keep_row_no)
 
 
 # -- sources / projections ------------------------------------------------------
@@ -99,9 +79,29 @@ def rename_columns(spark, sf_dir):
 @register("cast_timestamp", q(
     """select R._row_no, R."Timestamp" as raw_timestamp, T.timestamp from R join T on R._row_no = T._row_no"""))
 def cast_timestamp(spark, sf_dir):
-    t = _typed(spark, sf_dir).select(K.ROW_NO, "timestamp")
-    r = _raw(spark, sf_dir).select(K.ROW_NO, F.col("Timestamp").alias("raw_timestamp"))
-    return r.join(t, K.ROW_NO)
+    return _raw(spark, sf_dir).select(
+        K.ROW_NO, F.col("Timestamp").alias("raw_timestamp"), parse_timestamp("Timestamp").alias("timestamp"))
+
+
+# Each event's time in one of eight layouts, by its id.
+_LAYOUTS = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm", "yyyy/MM/dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss'Z'",
+            "yyyy-MM-dd'T'HH:mm:ss'+02:00'", "M/d/yyyy H:mm", "M/d/yyyy h:mm:ss a",
+            "yyyy-MM-dd HH:mm:ss.SSSSSS'499'")
+
+
+@register("cast_timestamp_formats", """
+select event_id, case event_id % 8
+    when 0 then date_trunc('day', ts)::timestamp
+    when 1 then date_trunc('minute', ts)
+    when 4 then date_trunc('second', ts) - interval 2 hour
+    when 5 then date_trunc('minute', ts)
+    when 7 then date_trunc('second', ts + interval 500 millisecond)
+    else date_trunc('second', ts) end as timestamp
+from events""")
+def cast_timestamp_formats(spark, sf_dir):
+    e = read_table(spark, sf_dir, "events").select("event_id", "ts")
+    text = F.coalesce(*[F.when(F.col("event_id") % 8 == i, F.date_format("ts", f)) for i, f in enumerate(_LAYOUTS)])
+    return e.select("event_id", text.alias("t")).select("event_id", parse_timestamp("t").alias("timestamp"))
 
 
 @register("drop_bad_timestamps", q(
@@ -202,19 +202,31 @@ select _row_no, reason as {K.REJECT_COL} from (
   select T._row_no,
          case when T.timestamp is null then '{K.BAD_TIMESTAMP}'
               when T.plant_name is null then '{K.NULL_PLANT}'
+              when T.flaw is not null then T.flaw
               when D._row_no is null then '{K.DUPLICATE}'
               when {all_null_sql('T')} then '{K.ALL_NULL}'
          end as reason
   from T left join D using (_row_no)) where reason is not null"""))
 def rejects(spark, sf_dir):
-    c = CL.classify_typed(_typed(spark, sf_dir))
-    return c.where(F.col(K.REJECT_COL).isNotNull()).select(K.ROW_NO, K.REJECT_COL)
+    return CL.rejects(_raw(spark, sf_dir)).select(K.ROW_NO, K.REJECT_COL)
+
+
+@register("rejects_overflow", q(
+    f"select _row_no, '{K.OVERFLOW}' as {K.REJECT_COL} from T "
+    "where timestamp is not null and plant_name is not null and _row_no % 37 = 0"))
+def rejects_overflow(spark, sf_dir):
+    big = F.when(F.col(K.ROW_NO) % 37 == 0, F.lit("123456.78")).otherwise(F.col("Temperature"))
+    r = CL.rejects(_raw(spark, sf_dir).withColumn("Temperature", big))
+    return r.where(F.col(K.REJECT_COL) == K.OVERFLOW).select(K.ROW_NO, K.REJECT_COL)
 
 
 @register("stage_counts", q(f"""
 select (select count(*) from R) as rows_extracted,
        (select count(*) from T where timestamp is null) as rows_{K.BAD_TIMESTAMP},
        (select count(*) from T where timestamp is not null and plant_name is null) as rows_{K.NULL_PLANT},
+       0::bigint as rows_{K.TOO_MANY_CELLS},
+       (select count(*) from T where timestamp is not null and plant_name is not null and flaw is not null) as rows_{K.OVERFLOW},
+       0::bigint as rows_{K.FUTURE_TIMESTAMP},
        (select count(*) from V) - (select count(*) from D) as rows_{K.DUPLICATE},
        (select count(*) from D where {ALL_NULL_SQL}) as rows_{K.ALL_NULL},
        (select count(*) from C) as rows_clean"""))
@@ -391,6 +403,10 @@ def hwm_candidate(spark, sf_dir):
     return m.select("new_watermark", iso_timestamp("new_watermark").alias("new_watermark_iso"))
 
 
+def _ts_col(v: str):
+    return F.lit(v).cast(T.TimestampNTZType())
+
+
 # Three scheduled runs over a sheet that grows: run k sees rows up to CUTOFFS[k].
 CUTOFFS = ("2024-01-10 00:00:00", "2024-01-20 00:00:00", None)
 RUN_TIMES = ("2025-05-01 10:00:00", "2025-05-01 10:30:00", "2025-05-01 11:00:00")
@@ -456,6 +472,45 @@ def run_log(spark, sf_dir):
         "pipeline_name", "rows_extracted", "rows_rejected", "rows_loaded", "status")
 
 
+def _three_runs_with_rejects(spark, sf_dir):
+    raw = _raw(spark, sf_dir)
+    target, state, rej, logp = (fresh_dir(spark, n) for n in ("fact", "hwm", "rejects", "runlog"))
+    ts = parse_timestamp(F.col("Timestamp"))
+    for cutoff, run_ts in zip(CUTOFFS, RUN_TIMES):
+        sheet = raw if cutoff is None else raw.where(ts.isNull() | (ts <= _ts_col(cutoff)))
+        P.run(spark, sheet, target, state, run_ts=run_ts, rejects_path=rej, run_log_path=logp)
+    return rej, logp
+
+
+@register("rejects_three_runs", REGISTRY["rejects"][1])
+def rejects_three_runs(spark, sf_dir):
+    """Rows refused over three runs of a growing sheet: each stored once."""
+    rej, _ = _three_runs_with_rejects(spark, sf_dir)
+    return spark.read.parquet(rej).select(K.ROW_NO, K.REJECT_COL)
+
+
+@register("run_log_three_runs", q("""
+select 3::bigint as runs, (select count(*) from R) as rows_extracted,
+       (select count(*) from R) - (select count(*) from C) as rows_rejected,
+       (select count(*) from C) as rows_loaded"""))
+def run_log_three_runs(spark, sf_dir):
+    _, logp = _three_runs_with_rejects(spark, sf_dir)
+    return P.read_run_log(spark, logp).agg(
+        F.count(F.lit(1)).alias("runs"), *[F.sum(c).alias(c) for c in ("rows_extracted", "rows_rejected", "rows_loaded")])
+
+
+@register("hwm_monotonic_overlap", q(
+    f"select '{K.PIPELINE_NAME}' as pipeline_name, max(timestamp) as last_watermark from C "
+    f"where timestamp <= TIMESTAMP '{CUTOFFS[1]}'"))
+def hwm_monotonic_overlap(spark, sf_dir):
+    """A run of late rows alone, read through an overlap, leaves the mark where it is."""
+    raw, ts = _raw(spark, sf_dir), parse_timestamp(F.col("Timestamp"))
+    target, state = fresh_dir(spark, "fact"), fresh_dir(spark, "hwm")
+    P.run(spark, raw.where(ts <= _ts_col(CUTOFFS[1])), target, state, run_ts=RUN_TIMES[0])
+    P.run(spark, raw.where(ts <= _ts_col(CUTOFFS[0])), target, state, run_ts=RUN_TIMES[1], overlap="30 days")
+    return H.latest(spark, state)
+
+
 # -- keyed upsert ----------------------------------------------------------------------
 
 # Target holds readings before UPSERT_HI; the source re-sends readings from
@@ -464,10 +519,6 @@ UPSERT_LO, UPSERT_HI = "2024-01-18 00:00:00", "2024-01-20 00:00:00"
 RUN_TS2 = "2025-05-02 10:00:00"
 
 
-def _ts_col(v: str):
-    return F.lit(v).cast(T.TimestampNTZType())
-
-
 def _upsert_source(spark, sf_dir):
     src = CL.clean_typed(_typed(spark, sf_dir), run_ts=RUN_TS2).where(
         F.col("timestamp") >= _ts_col(UPSERT_LO))
@@ -635,6 +686,37 @@ def stream_ingest(spark, sf_dir):
     return UP.read_table(spark, target).select(*K.TARGET_COLUMNS)
 
 
+def _streamed(spark, sf_dir):
+    """One micro-batch over the whole grid, with rejects and a run log."""
+    src, target, rej, logp = (fresh_dir(spark, n) for n in ("landing", "fact", "rejects", "runlog"))
+    G.write_grid(_grid_frame(_raw(spark, sf_dir)), src, GRID_CELLS)
+    S.ingest_available(spark, src, target, names=GRID_CELLS, run_ts=RUN_TS, rejects_path=rej, run_log_path=logp)
+    return rej, logp
+
+
+@register("stream_rejects", q(f"""
+select timestamp, plant_name, reason as {K.REJECT_COL}, count(*) as n from (
+  select T.timestamp, T.plant_name,
+         case when T.timestamp is null then '{K.BAD_TIMESTAMP}'
+              when T.plant_name is null then '{K.NULL_PLANT}'
+              when T.flaw is not null then T.flaw
+              when D._row_no is null then '{K.DUPLICATE}'
+              when {all_null_sql('T')} then '{K.ALL_NULL}' end as reason
+  from T left join D using (_row_no)) where reason is not null group by all"""))
+def stream_rejects(spark, sf_dir):
+    """By key and reason: which of two rows is later is the files' order here."""
+    rej, _ = _streamed(spark, sf_dir)
+    return (spark.read.parquet(rej).groupBy("timestamp", "plant_name", K.REJECT_COL)
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("stream_run_log", REGISTRY["run_log"][1])
+def stream_run_log(spark, sf_dir):
+    _, logp = _streamed(spark, sf_dir)
+    return P.read_run_log(spark, logp).select(
+        "pipeline_name", "rows_extracted", "rows_rejected", "rows_loaded", "status")
+
+
 # -- SQL surface ---------------------------------------------------------------------
 
 @register("sql_daily_view", REGISTRY["daily_averages"][1])
@@ -647,3 +729,162 @@ def sql_daily_view(spark, sf_dir):
 def sql_latest_view(spark, sf_dir):
     SQ.register_views(_clean(spark, sf_dir))
     return spark.sql(f"SELECT * FROM {SQ.LATEST_VIEW}")
+
+
+@register("sql_fact_table", q(_TARGET_SQL))
+def sql_fact_table(spark, sf_dir):
+    """The table by its catalog name; creating it again changes nothing."""
+    path = fresh_dir(spark, "fact")
+    name = f"{SQ.FACT_TABLE}_{path.rsplit('-', 1)[-1]}"
+    UP.upsert(spark, _clean(spark, sf_dir), path)
+    for _ in range(2):
+        spark.sql(SQ.ddl(name, K.TABLE_SCHEMA, path, K.PARTITION_COL))
+    spark.catalog.recoverPartitions(name)
+    return spark.table(name).select(*K.TARGET_COLUMNS)
+
+
+# -- the stored table ----------------------------------------------------------------
+
+def stored_table(spark, sf_dir):
+    """The clean readings as the partitioned table that users read."""
+    path = fresh_dir(spark, "fact")
+    UP.write_partitions(CL.with_partition(_clean(spark, sf_dir)), path)
+    return UP.read_table(spark, path)
+
+
+@register("stored_time_range", REGISTRY["time_range_scan"][1])
+def stored_time_range(spark, sf_dir):
+    return V.time_range_scan(stored_table(spark, sf_dir), *RANGE).select(*K.TARGET_COLUMNS)
+
+
+@register("stored_plant_history", REGISTRY["plant_history"][1])
+def stored_plant_history(spark, sf_dir):
+    return V.plant_history(stored_table(spark, sf_dir), PLANT).select(*K.TARGET_COLUMNS)
+
+
+@register("stored_status_filter", REGISTRY["status_filter"][1])
+def stored_status_filter(spark, sf_dir):
+    return V.status_filter(stored_table(spark, sf_dir), "Wilted")
+
+
+@register("stored_latest", REGISTRY["latest_per_plant"][1])
+def stored_latest(spark, sf_dir):
+    return V.latest_per_plant(stored_table(spark, sf_dir)).select(*K.TARGET_COLUMNS)
+
+
+@register("stored_latest_pruned", REGISTRY["latest_per_plant"][1])
+def stored_latest_pruned(spark, sf_dir):
+    return V.latest_per_plant_pruned(stored_table(spark, sf_dir)).select(*K.TARGET_COLUMNS)
+
+
+@register("stored_daily_averages", REGISTRY["daily_averages"][1])
+def stored_daily_averages(spark, sf_dir):
+    return V.daily_averages(stored_table(spark, sf_dir))
+
+
+@register("stored_since", REGISTRY["incremental_filter"][1])
+def stored_since(spark, sf_dir):
+    return V.since(stored_table(spark, sf_dir), HWM).select(*K.TARGET_COLUMNS)
+
+
+# -- grids of many files ----------------------------------------------------------------
+
+@register("grid_mixed_headers", q("select _row_no, " + ", ".join(
+    f"""case when _row_no % 3 = 2 then null else "{c}" end as "{c}\"""" if c == "Inside Humidity" else f'"{c}"'
+    for c in K.RAW_COLUMNS) + " from R"))
+def grid_mixed_headers(spark, sf_dir):
+    """Three files' worth of rows: two column orders, and one column missing."""
+    raw, path = _grid_frame(_raw(spark, sf_dir)), fresh_dir(spark, "grid")
+    orders = (GRID_CELLS, GRID_CELLS[::-1], [c for c in GRID_CELLS if c != "Inside Humidity"])
+    for i, cells in enumerate(orders):
+        G.write_grid(raw.where(F.col(K.ROW_NO) % 3 == i), f"{path}/{i}", cells)
+    return G.read_grid(spark, path).select(F.col("Row").cast("long").alias(K.ROW_NO), *K.RAW_COLUMNS)
+
+
+@register("dedup_multi_file", q("""
+select kind, timestamp, plant_name, max(case when status = 'Dead' then 1 else 0 end) = 1 as from_later_file
+from V, (select unnest(['csv', 'json']) as kind) group by all"""))
+def dedup_multi_file(spark, sf_dir):
+    """Keep-last over two files: the copies (status dead) are in the one written later."""
+    raw, later = _raw(spark, sf_dir), F.col("Status") == "dead"
+    csv, js = fresh_dir(spark, "grid"), fresh_dir(spark, "json")
+    for name, part in (("z-first", raw.where(~later)), ("a-second", raw.where(later))):
+        G.write_grid(part, f"{csv}/{name}", K.RAW_COLUMNS)
+        J.write_records(part.select(*K.RAW_COLUMNS), f"{js}/{name}")
+    schema = T.StructType(K.RAW_SCHEMA.fields[1:])
+    records = J.read_records(spark, f"{js}/*", schema, with_ordinal=True)
+    out = None
+    for kind, grid in (("csv", G.read_grid(spark, csv)), ("json", records)):
+        last = CL.dedup_keep_last(CL.drop_bad_rows(CL.typed(grid))).select(
+            F.lit(kind).alias("kind"), "timestamp", "plant_name", (F.col("status") == "Dead").alias("from_later_file"))
+        out = last if out is None else out.unionByName(last)
+    return out
+
+
+@register("rejects_overlong", q(
+    f"""select _row_no, '{K.TOO_MANY_CELLS}' as {K.REJECT_COL}, '["surplus","more"]' as {K.EXTRA_COL} from T """
+    "where timestamp is not null and plant_name is not null and _row_no % 31 = 0"))
+def rejects_overlong(spark, sf_dir):
+    raw, path = _grid_frame(_raw(spark, sf_dir)), fresh_dir(spark, "grid")
+    line = G.to_line(GRID_CELLS)
+    line = F.when(F.col(K.ROW_NO) % 31 == 0, F.concat(line, F.lit(",surplus,more"))).otherwise(line)
+    G.write_lines(raw, path, GRID_CELLS, line)
+    r = CL.rejects(G.read_grid(spark, path)).where(F.col(K.REJECT_COL) == K.TOO_MANY_CELLS)
+    return r.select(F.col("Row").cast("long").alias(K.ROW_NO), K.REJECT_COL, K.EXTRA_COL)
+
+
+@register("grid_header_trim", q('select _row_no, "Plant Name", "Confidence Score (%)" from R'))
+def grid_header_trim(spark, sf_dir):
+    """Header names padded with blanks read as the names."""
+    raw, path = _grid_frame(_raw(spark, sf_dir)), fresh_dir(spark, "grid")
+    padded = [f"  {c} " for c in GRID_CELLS]
+    G.write_grid(raw.select(*[F.col(f"`{c}`").alias(p) for c, p in zip(GRID_CELLS, padded)]), path, padded)
+    return G.read_grid(spark, path).select(F.col("Row").cast("long").alias(K.ROW_NO), "Plant Name", "Confidence Score (%)")
+
+
+@register("grid_empty_source", q(f"{_TARGET_SQL} where false"))
+def grid_empty_source(spark, sf_dir):
+    """A source without rows is an empty frame of the contract's shape."""
+    path = fresh_dir(spark, "grid")
+    G.write_grid(_raw(spark, sf_dir).where("Timestamp is null"), path, K.RAW_COLUMNS)
+    return CL.clean(G.read_grid(spark, path), run_ts=RUN_TS)
+
+
+# -- contract ---------------------------------------------------------------------------
+
+@register("missing_columns", q(
+    "select 'reading_time' as column_name, count(*) as rows_null from R union all "
+    "select 'inside_humidity', count(*) from R"))
+def missing_columns(spark, sf_dir):
+    """Expected columns that the grid lacks, and the NULLs that stand for them."""
+    raw = _raw(spark, sf_dir).drop("Time", "Inside Humidity")
+    names = CL.missing_columns(raw)
+    counts = CL.rename_columns(raw).agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in names])
+    return counts.unpivot([], names, "column_name", "rows_null")
+
+
+@register("mandatory_column", q("select true as refused, count(*) as rows_refused from R"))
+def mandatory_column(spark, sf_dir):
+    """A grid without the timestamp column is refused before any row is read."""
+    raw, refused = _raw(spark, sf_dir).drop("Timestamp"), False
+    try:
+        CL.rename_columns(raw)
+    except KeyError:
+        refused = True
+    return raw.agg(F.lit(refused).alias("refused"), F.count(F.lit(1)).alias("rows_refused"))
+
+
+@register("column_defaults", q(
+    "select timestamp, plant_name, null::varchar as status, true as audit_set from C"))
+def column_defaults(spark, sf_dir):
+    """The write projection fills what a batch lacks: NULL, and the run time for the audit column."""
+    t = CL.to_target(_clean(spark, sf_dir).drop("status", K.AUDIT_COL))
+    return t.select("timestamp", "plant_name", "status", F.col(K.AUDIT_COL).isNotNull().alias("audit_set"))
+
+
+@register("null_name_stays_null", q(
+    f"""select _row_no, case when _row_no % 5 = 0 then null else {title_sql('"Plant Name"')} end as plant_name from R"""))
+def null_name_stays_null(spark, sf_dir):
+    raw = _raw(spark, sf_dir)
+    name = F.when(F.col(K.ROW_NO) % 5 != 0, F.col("Plant Name"))
+    return CL.typed(raw.withColumn("Plant Name", name)).select(K.ROW_NO, "plant_name")

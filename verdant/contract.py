@@ -55,14 +55,43 @@ TEXT_LENGTH: dict[str, int] = {"plant_name": 100, "status": 50, "reading_time":
 KEY_COLS: list[str] = ["timestamp", "plant_name"]
 PIPELINE_NAME = "plant_monitoring"
 
-# Accepted timestamp layouts, tried in order (first match wins).
+# Accepted timestamp layouts, tried in order (first match wins).  ISO is the
+# year-first family: date alone or with hour and minute, seconds and up to 9
+# fraction digits; '-' or '/' in the date; 'T' or a blank; 'Z' or an offset
+# (the instant, in UTC).
+ISO = "ISO"
 TIMESTAMP_FORMATS: list[str] = [
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd HH:mm:ss.SSSSSS",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    ISO,
     "M/d/yyyy H:mm:ss",
+    "M/d/yyyy H:mm",
+    "M/d/yyyy h:mm:ss a",
+    "M/d/yyyy h:mm a",
+    "M/d/yyyy",
 ]
+
+# Fact table columns in write order (the 16 loaded columns).
+TARGET_COLUMNS: list[str] = [
+    "timestamp",
+    "plant_name",
+    "status",
+    "confidence_score_pct",
+    "moisture_sensor",
+    "humidity",
+    "nitrogen",
+    "phosphorus",
+    "potassium",
+    "temperature",
+    "reading_time",
+    "outside_temperature",
+    "outside_humidity",
+    "inside_temperature",
+    "inside_humidity",
+    "etl_inserted_at",
+]
+
+# Catalog names of the tables and views.
+FACT_TABLE, STATE_TABLE, RUN_LOG_TABLE = "plant_readings", "etl_watermark", "etl_run_log"
+LATEST_VIEW, DAILY_VIEW = "vw_latest_plant_readings", "vw_daily_plant_averages"
 # ---------------------------------------------------------------------------
 
 RAW_COLUMNS: list[str] = list(RENAME_MAP)
@@ -70,10 +99,14 @@ ROW_NO = "_row_no"          # input ordinal: higher = later in the source
 PARTITION_COL = "reading_date"
 AUDIT_COL = "etl_inserted_at"
 REJECT_COL = "reject_reason"
+EXTRA_COL = "_extra"        # surplus cells of an over-long row (JSON text), else NULL
+FLAW_COL = "_flaw"          # row-local reason found while parsing cells, else NULL
 
 # Reject reasons, in the order they are tested.
 BAD_TIMESTAMP = "bad_timestamp"
 NULL_PLANT = "null_plant_name"
+TOO_MANY_CELLS = "too_many_cells"
+OVERFLOW = "number_overflow"
 FUTURE_TIMESTAMP = "future_timestamp"
 DUPLICATE = "duplicate_superseded"
 ALL_NULL = "all_numeric_null"
@@ -88,12 +121,6 @@ RAW_SCHEMA = T.StructType(
     + [T.StructField(c, T.StringType(), True) for c in RAW_COLUMNS]
 )
 
-# Fact table columns in write order (the 16 loaded columns).
-TARGET_COLUMNS: list[str] = [
-    "timestamp", "plant_name", "status", *NUMERIC_COLS[:7], "reading_time",
-    *NUMERIC_COLS[7:], AUDIT_COL,
-]
-
 
 def _target_field(name: str) -> T.StructField:
     if name in NUMERIC_PRECISION:

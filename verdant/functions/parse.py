@@ -12,17 +12,33 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..contract import NUMERIC_SCALE, TIMESTAMP_FORMATS
+from ..contract import ISO, NUMERIC_SCALE, TIMESTAMP_FORMATS
 from .text import WHITESPACE, _ident, _sql_str, strip
 
 # Plain decimal or scientific number; rejects 'nan', 'inf', '1d', '1,000', '5%'.
 NUMBER_RE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
+# Year first, '-' or '/' between the date parts; time only behind a full date.
+ISO_RE = r"^[0-9]{4}([-/])[0-9]{1,2}\1[0-9]{1,2}([ T].+)?$"
+
+
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _layout_sql(txt: str, layout: str) -> str:
+    """SQL of one layout: TIMESTAMP (UTC session), NULL if the text doesn't fit."""
+    if layout == ISO:
+        return (f"CASE WHEN {txt} RLIKE {_sql_str(ISO_RE)} "
+                f"THEN try_cast(replace({txt}, '/', '-') AS TIMESTAMP) END")
+    return f"try_to_timestamp({txt}, {_sql_str(layout)})"
+
+
+def _layout(txt: Column, layout: str) -> Column:
+    if layout == ISO:
+        return F.when(txt.rlike(ISO_RE), F.replace(txt, F.lit("/"), F.lit("-")).try_cast(T.TimestampType()))
+    return F.try_to_timestamp(txt, F.lit(layout))
 
 
 def round_to_second(ts: Column | str) -> Column:
@@ -43,13 +59,13 @@ def parse_timestamp(c: Column | str, formats: Sequence[str] = TIMESTAMP_FORMATS,
     if isinstance(c, str):
         # Same expression as SQL text: one JVM call instead of one per node.
         txt = _ident(c) if stripped else f"btrim({_ident(c)}, {_sql_str(WHITESPACE)})"
-        tries = ", ".join(f"try_to_timestamp({txt}, {_sql_str(f)})" for f in formats)
+        tries = ", ".join(_layout_sql(txt, f) for f in formats)
         ts = f"cast(coalesce({tries}) as timestamp_ntz)"
         if round_seconds:
             ts = f"cast(date_trunc('second', {ts} + INTERVAL '0.5' SECOND) as timestamp_ntz)"
         return F.expr(ts)
     txt = _col(c) if stripped else strip(_col(c))
-    tries = [F.try_to_timestamp(txt, F.lit(f)) for f in formats]
+    tries = [_layout(txt, f) for f in formats]
     ts = (F.coalesce(*tries) if len(tries) > 1 else tries[0]).cast(T.TimestampNTZType())
     return round_to_second(ts) if round_seconds else ts
 

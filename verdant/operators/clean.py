@@ -5,17 +5,20 @@ parse (bad rows out) -> numeric parse -> string cleaning -> keep-last
 dedup on (timestamp, plant_name) -> drop rows whose sensors are all empty
 -> audit column.  Dedup runs after name cleaning (so ``plant 1 `` and
 ``Plant 1`` collide) and before the empty-row drop (so an all-empty last
-duplicate removes the key).
+duplicate removes the key).  A row with more cells than its header, or with
+a number that its column can't hold, goes to the rejects before the dedup.
 
-Two plans share the same expressions:
+Three plans share the same expressions:
 
 * ``clean`` keeps only surviving rows.  Its dedup is a ``row_number() = 1``
   window, which Catalyst plans as WindowGroupLimit *partial* (before the
   shuffle) + *final*: a hot key is cut to one row per map task before it
   is shuffled.
-* ``classify`` keeps every row and names why it was dropped.  It finds the
-  winner of each key with a partial/final hash aggregate and joins it back,
-  so AQE's skew-join split can spread a hot key over many tasks.
+* ``rejects`` names why a row was dropped.  Only keys with two rows or more
+  are joined back, each to ``SALTS`` parts of its rows, so a hot key is
+  spread over as many tasks; all other rows pass no join.
+* ``stage_counts`` needs no join: one row per key from a two-phase
+  aggregate, then a global one.
 """
 
 from __future__ import annotations
@@ -30,10 +33,12 @@ from pyspark.sql import types as T
 from .. import contract as K
 from ..functions import clean_text, parse_number, parse_timestamp, to_decimal
 from ..functions.text import _ident
-from ..plans.layout import spread
+from ..session import fresh_dir
 
 log = logging.getLogger(__name__)
 
+SALTS = 16      # parts that the rows of a repeated key are dealt over in a join
+
 
 # -- projections -------------------------------------------------------------
 
@@ -62,21 +67,25 @@ def rename_columns(df: DataFrame) -> DataFrame:
     mapping = _renamed(df.columns)
     missing = [c for c in K.RENAME_MAP.values() if c not in set(mapping.values())]
     if "timestamp" in missing:
-        raise KeyError("'timestamp' column missing from source data.")
+        raise KeyError("no header maps to 'timestamp', the column that every reading needs")
     if missing:
-        log.warning("Expected columns not found after rename: %s", missing)
+        log.warning("columns absent from the grid, read as NULL: %s", ", ".join(missing))
     return df.selectExpr(*[f"{_ident(src)} AS {_ident(dst)}" for src, dst in mapping.items()],
                          *[f"CAST(NULL AS STRING) AS {_ident(c)}" for c in missing])
 
 
 def with_row_no(df: DataFrame) -> DataFrame:
-    """Ensure an input ordinal exists (higher = later)."""
-    if K.ROW_NO in df.columns:
-        return df
-    return df.withColumn(K.ROW_NO, F.monotonically_increasing_id())
+    """The frame as it is; raises without an input ordinal (higher = later).
+
+    Spark rows have no order of their own, so "the later row wins" needs one
+    from the source: the file readers add it, other frames bring it along."""
+    if K.ROW_NO not in df.columns:
+        raise ValueError(f"the grid has no {K.ROW_NO} column, so 'later' is not defined")
+    return df
 
 
-def typed(raw: DataFrame, formats: Sequence[str] = K.TIMESTAMP_FORMATS) -> DataFrame:
+def typed(raw: DataFrame, formats: Sequence[str] = K.TIMESTAMP_FORMATS,
+          parse_partitions: int | None = None) -> DataFrame:
     """Rename and parse every contract column.
 
     Two stacked projections (strip/parse -> narrow): each input cell is read
@@ -84,10 +93,18 @@ def typed(raw: DataFrame, formats: Sequence[str] = K.TIMESTAMP_FORMATS) -> DataF
     projection makes Catalyst compute the parsed value once instead of once
     per reference.  Timestamps are rounded to the second before any key
     comparison; numbers are coerced (junk -> NULL) and narrowed to
-    DECIMAL(p, 2).
+    DECIMAL(p, 2).  ``_flaw`` says what makes a row unfit as a whole: more
+    cells than the header, or a number that its column can't hold.
+
+    ``parse_partitions`` deals the rows over so many tasks first (a shuffle):
+    for a source of few unsplittable files, where parsing is the bottleneck.
     """
-    df = spread(with_row_no(rename_columns(raw)), K.ROW_NO)
-    extra = [c for c in df.columns if c not in K.RENAME_MAP.values() and c != K.ROW_NO]
+    df = with_row_no(rename_columns(raw))
+    if parse_partitions:
+        df = df.repartition(parse_partitions, K.ROW_NO)
+    over = f"{_ident(K.EXTRA_COL)} IS NOT NULL" if K.EXTRA_COL in df.columns else "false"
+    extra = [c for c in df.columns if c not in K.RENAME_MAP.values()
+             and c not in (K.ROW_NO, K.FLAW_COL)]
     df = df.select(
         K.ROW_NO,
         parse_timestamp("timestamp", formats).alias("timestamp"),
@@ -97,14 +114,24 @@ def typed(raw: DataFrame, formats: Sequence[str] = K.TIMESTAMP_FORMATS) -> DataF
         *[parse_number(c).alias(c) for c in K.NUMERIC_COLS], *extra)
     return df.select(
         K.ROW_NO, "timestamp", "plant_name", "status", "reading_time",
-        *[to_decimal(c, K.NUMERIC_PRECISION[c]).alias(c) for c in K.NUMERIC_COLS], *extra)
+        *[to_decimal(c, K.NUMERIC_PRECISION[c]).alias(c) for c in K.NUMERIC_COLS],
+        F.expr(f"CASE WHEN {over} THEN '{K.TOO_MANY_CELLS}' "
+               f"WHEN {' OR '.join(map(_overflows, K.NUMERIC_COLS))} THEN '{K.OVERFLOW}' END")
+        .alias(K.FLAW_COL), *extra)
+
+
+def _overflows(c: str) -> str:
+    """SQL: a parsed number that its DECIMAL can't hold (the cast is the output's, computed once)."""
+    x = _ident(c)
+    return f"({x} IS NOT NULL AND try_cast({x} AS DECIMAL({K.NUMERIC_PRECISION[c]},{K.NUMERIC_SCALE})) IS NULL)"
 
 
 def base_reject_reason(max_future: str | None = None,
                        run_ts: str | None = None) -> Column:
     """Row-local reasons, first match wins; NULL = row is usable."""
     reason = (F.when(F.col("timestamp").isNull(), F.lit(K.BAD_TIMESTAMP))
-              .when(F.col("plant_name").isNull(), F.lit(K.NULL_PLANT)))
+              .when(F.col("plant_name").isNull(), F.lit(K.NULL_PLANT))
+              .when(F.col(K.FLAW_COL).isNotNull(), F.col(K.FLAW_COL)))
     if max_future:
         now = _run_ts_col(run_ts)
         limit = now + F.expr(f"INTERVAL {max_future}")
@@ -181,20 +208,20 @@ def clean_typed(t: DataFrame, run_ts: str | None = None,
                 max_future: str | None = None, keep_row_no: bool = False) -> DataFrame:
     """Typed rows -> clean readings in the fact-table shape.
 
-    Validity depends only on the key columns, so every row of a key group
-    is valid or none is, and dropping invalid rows after the dedup equals
-    dropping them before.  The flag ``_ok`` is not a window key, so
-    Catalyst keeps that filter above the window instead of pushing a copy of
-    the whole parse expression into the scan.  The keep-last window,
+    Whether the key is valid is the same for every row of a key, and flawed
+    rows are a window group of their own, so dropping invalid rows after the
+    dedup equals dropping them before.  The flag ``_ok`` is not a window key,
+    so Catalyst keeps that filter above the window instead of pushing a copy
+    of the whole parse expression into the scan.  The keep-last window,
     the validity flag and the empty-row test share one filter.
     """
-    ok = "timestamp IS NOT NULL AND plant_name IS NOT NULL"
+    ok = f"timestamp IS NOT NULL AND plant_name IS NOT NULL AND {K.FLAW_COL} IS NULL"
     if max_future:
         now = ("CAST(current_timestamp() AS TIMESTAMP_NTZ)" if run_ts is None
                else f"CAST('{run_ts}' AS TIMESTAMP_NTZ)")
         ok += f" AND timestamp <= {now} + INTERVAL {max_future}"
     t = t.selectExpr("*", f"({ok}) AS _ok",
-                     f"row_number() OVER (PARTITION BY timestamp, plant_name "
+                     f"row_number() OVER (PARTITION BY timestamp, plant_name, {K.FLAW_COL} IS NULL "
                      f"ORDER BY {_ident(K.ROW_NO)} DESC) AS _rn")
     nums = ", ".join(K.NUMERIC_COLS)
     t = t.where(f"_rn = 1 AND _ok AND coalesce({nums}) IS NOT NULL")
@@ -208,47 +235,73 @@ def clean(raw: DataFrame, run_ts: str | None = None,
     return clean_typed(typed(raw, formats), run_ts, max_future, keep_row_no)
 
 
-def classify_typed(t: DataFrame, max_future: str | None = None,
-                   run_ts: str | None = None) -> DataFrame:
-    """Every typed row with ``reject_reason`` (NULL for rows that are kept).
+def rejects_typed(t: DataFrame, max_future: str | None = None,
+                  run_ts: str | None = None) -> DataFrame:
+    """Typed rows that do not reach the fact table, with ``reject_reason``.
 
-    The winner of each key comes from a partial/final hash aggregate over
-    the key columns only, joined back on the key (AQE splits a hot key on
-    the row side).  Rows with a NULL key never match, so they keep their
-    row-local reason.
+    Rows with a reason of their own go straight out.  Of the rest only keys
+    with two rows or more are looked up: their last row comes from a two-phase
+    aggregate, and each key meets its rows in ``SALTS`` parts.  The rows are
+    read once for each of the three outputs, so callers stage a costly source.
     """
-    t = t.withColumn("_base", base_reject_reason(max_future, run_ts))
-    last = t.groupBy(*K.KEY_COLS).agg(F.max(K.ROW_NO).alias("_last"))
-    j = t.join(last, on=K.KEY_COLS, how="left")
-    reason = (F.when(F.col("_base").isNotNull(), F.col("_base"))
-              .when(F.col(K.ROW_NO) != F.col("_last"), F.lit(K.DUPLICATE))
-              .when(all_numeric_null(), F.lit(K.ALL_NULL)))
-    return j.withColumn(K.REJECT_COL, reason).drop("_base", "_last")
-
-
-def classify(raw: DataFrame, formats: Sequence[str] = K.TIMESTAMP_FORMATS,
-             max_future: str | None = None, run_ts: str | None = None) -> DataFrame:
-    return classify_typed(typed(raw, formats), max_future, run_ts)
-
-
-def rejects(raw: DataFrame, **kw) -> DataFrame:
-    """Rows that do not reach the fact table, with the reason."""
-    return classify(raw, **kw).where(F.col(K.REJECT_COL).isNotNull())
-
-
-def stage_counts(raw: DataFrame, typed_rows: DataFrame | None = None, **kw) -> DataFrame:
-    """One row of per-stage counts from a single classification pass."""
-    c = classify(raw, **kw) if typed_rows is None else classify_typed(typed_rows, **kw)
-    r = F.col(K.REJECT_COL)
-
-    def n(reason: str) -> Column:
-        return F.count_if(r == reason).cast(T.LongType()).alias(f"rows_{reason}")
-
-    return c.agg(
-        F.count(F.lit(1)).cast(T.LongType()).alias("rows_extracted"),
-        n(K.BAD_TIMESTAMP), n(K.NULL_PLANT), n(K.DUPLICATE), n(K.ALL_NULL),
-        F.count_if(r.isNull()).cast(T.LongType()).alias("rows_clean"),
-    )
+    t = t.withColumn(K.REJECT_COL, base_reject_reason(max_future, run_ts))
+    bad = t.where(F.col(K.REJECT_COL).isNotNull())
+    good = t.where(F.col(K.REJECT_COL).isNull())
+    part = F.pmod(F.xxhash64(K.ROW_NO), F.lit(SALTS))
+    last = (good.groupBy(*K.KEY_COLS).agg(F.count(F.lit(1)).alias("_n"), F.max(K.ROW_NO).alias("_last"))
+            .where("_n > 1").withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+            .select(*K.KEY_COLS, "_part", "_last"))
+    on = [*K.KEY_COLS, "_part"]
+    salted = good.withColumn("_part", part)
+    older = (salted.join(last, on).where(F.col(K.ROW_NO) < F.col("_last"))
+             .withColumn(K.REJECT_COL, F.lit(K.DUPLICATE)))
+    empty = (salted.where(all_numeric_null()).join(last, on, "left")
+             .where(F.col("_last").isNull() | (F.col(K.ROW_NO) == F.col("_last")))
+             .withColumn(K.REJECT_COL, F.lit(K.ALL_NULL)))
+    return bad.unionByName(older.select(bad.columns)).unionByName(empty.select(bad.columns))
+
+
+def rejects(raw: DataFrame, formats: Sequence[str] = K.TIMESTAMP_FORMATS,
+            max_future: str | None = None, run_ts: str | None = None) -> DataFrame:
+    """Rows that do not reach the fact table, with the reason.
+
+    The typed rows are staged in the shared scratch folder: the outputs below
+    then share one parse."""
+    t = typed(raw, formats)
+    path = fresh_dir(t.sparkSession, "typed")
+    t.write.parquet(path)
+    return rejects_typed(t.sparkSession.read.schema(t.schema).parquet(path), max_future, run_ts)
+
+
+def stage_counts(raw: DataFrame | None, typed_rows: DataFrame | None = None,
+                 formats: Sequence[str] = K.TIMESTAMP_FORMATS,
+                 max_future: str | None = None, run_ts: str | None = None) -> DataFrame:
+    """One row of per-stage counts; ``rows_extracted`` is the sum of all others.
+
+    One row per key (its rows, whether the last one is empty), one per reason
+    for rows without a valid key, then one global aggregate.  No join.
+    """
+    t = typed(raw, formats) if typed_rows is None else typed_rows
+    t = t.withColumn("_base", base_reject_reason(max_future, run_ts)).withColumn("_empty", all_numeric_null())
+    keys = [F.when(F.col("_base").isNull(), F.col(c)).alias(c) for c in K.KEY_COLS]
+    per_key = t.groupBy("_base", *keys).agg(
+        F.count(F.lit(1)).alias("n"), F.max_by("_empty", K.ROW_NO).alias("empty"))
+    base, zero = F.col("_base"), F.lit(0)
+
+    def total(value: Column, name: str) -> Column:
+        return F.coalesce(F.sum(value), zero).cast(T.LongType()).alias(name)
+
+    def because(reason: str) -> Column:
+        return total(F.when(base == reason, F.col("n")), f"rows_{reason}")
+
+    kept = base.isNull()
+    return per_key.agg(
+        total(F.col("n"), "rows_extracted"),
+        because(K.BAD_TIMESTAMP), because(K.NULL_PLANT), because(K.TOO_MANY_CELLS), because(K.OVERFLOW),
+        because(K.FUTURE_TIMESTAMP),
+        total(F.when(kept, F.col("n") - 1), f"rows_{K.DUPLICATE}"),
+        total(F.when(kept & F.col("empty"), 1), f"rows_{K.ALL_NULL}"),
+        total(F.when(kept & ~F.col("empty"), 1), "rows_clean"))
 
 
 def null_profile(raw: DataFrame | None, formats: Sequence[str] = K.TIMESTAMP_FORMATS,

@@ -17,15 +17,17 @@ from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from .. import contract as K
+from ..session import is_missing, path_exists
 
 
 def state_log(spark: SparkSession, state_path: str) -> DataFrame:
-    from ..session import path_exists
     if path_exists(spark, state_path) is False:
         return spark.createDataFrame([], K.STATE_SCHEMA)
     try:
         return spark.read.schema(K.STATE_SCHEMA).parquet(state_path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if not is_missing(e):
+            raise
         return spark.createDataFrame([], K.STATE_SCHEMA)
 
 
@@ -77,26 +79,3 @@ def since_filter(watermark: dt.datetime | str | None, overlap: str | None = None
     # towards the scan it inlines the parse expression, so a second
     # reference (``ts IS NULL OR ts > wm``) would parse every cell twice.
     return F.coalesce(F.col("timestamp") > wm, F.lit(True))
-
-
-COMPACT_AFTER_FILES = 64
-
-
-def compact(spark: SparkSession, state_path: str, min_files: int = COMPACT_AFTER_FILES) -> bool:
-    """Rewrite the append-only log as one row per pipeline once it has many files.
-
-    The current rows are first copied to the shared scratch folder, then the
-    log is overwritten from that copy (a table cannot be overwritten while
-    it is being read).  If the job dies half way the mark can be lost; the
-    next run then does a full load, which the keyed upsert makes harmless.
-    """
-    from ..session import drop_dir, fresh_dir
-    log = state_log(spark, state_path)
-    if len(log.inputFiles()) < min_files:
-        return False
-    tmp = fresh_dir(spark, "hwm-compact")
-    current_state(spark, state_path).coalesce(1).write.parquet(tmp)
-    spark.read.schema(K.STATE_SCHEMA).parquet(tmp).coalesce(1) \
-        .write.mode("overwrite").parquet(state_path)
-    drop_dir(spark, tmp)
-    return True

@@ -2,27 +2,30 @@
 
 Plain Parquet has no MERGE, so the merge is a partition-scoped rewrite:
 
-1. the dates the source touches (a list bounded by days, not rows) select
+1. the source is cut to the last row of each key (a partial group limit
+   before the exchange: a hot key costs a row per map task);
+2. the dates the source touches (a list bounded by days, not rows) select
    the target partitions to rewrite -- partition pruning reads nothing else;
-2. target slice (priority 0) and source (priority 1) are unioned and
-   range-partitioned on (reading_date, plant_name, timestamp);
-3. one window per key keeps the source row over the target row, and the
-   latest source row over earlier ones (last row wins inside a batch);
-4. the result replaces exactly the touched partitions (dynamic overwrite,
-   committed through Spark's staging directory).
-
-A single exchange does both the merge and the output layout: range
-partitions are contiguous in (date, plant, time), so each task writes few,
-evenly sized, sorted files per date, and a hot date or plant is split
-across tasks by the sampled range bounds.  Re-running with the same source
-gives the same table (idempotent); untouched partitions are never read or
-rewritten.
+3. one full outer join on the key puts source rows over target rows; both
+   sides hold a key once, so no key is hot in it;
+4. the rows are rebalanced by date (AQE splits a large date and packs small
+   ones) and sorted by key within the task for the table's layout;
+5. the merged days are written beside the table first and then replace
+   exactly the touched partitions (dynamic overwrite).  A crash while they
+   are replaced loses nothing: the next upsert finds the complete copy and
+   finishes it.  An incomplete copy is dropped.
+
+Into an empty table there is nothing to merge or to lose: the deduplicated
+source is written straight away, with no copy and no list of dates.
+Re-running with the same source gives the same table (idempotent); untouched
+partitions are never read or rewritten.  One writer at a time.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import logging
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -31,12 +34,13 @@ from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
 from .. import contract as K
-from ..session import path_exists
+from ..session import drop_dir, is_missing, list_dirs, path_exists
 from .clean import to_target
 
 log = logging.getLogger(__name__)
 
-_PRIO, _ORD, _RN, _HAS_TGT = "_prio", "_ord", "_rn", "_has_target"
+_ORD, _RN = "_ord", "_rn"
+_KEYS = [K.PARTITION_COL, "plant_name", "timestamp"]
 
 
 @dataclass
@@ -45,7 +49,7 @@ class UpsertResult:
     rows_inserted: int        # keys new to the table
     rows_updated: int         # keys that replaced a stored row
     max_timestamp: dt.datetime | None
-    touched_dates: list[dt.date]
+    touched_dates: list[dt.date]   # empty for a first load (all of them)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
@@ -54,7 +58,9 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
         return None
     try:
         return spark.read.schema(K.TABLE_SCHEMA).parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if not is_missing(e):
+            raise
         return None
 
 
@@ -73,7 +79,9 @@ def read_partitions(spark: SparkSession, path: str,
         return None
     try:
         return (spark.read.option("basePath", path).schema(K.TABLE_SCHEMA).parquet(glob))
-    except AnalysisException:
+    except AnalysisException as e:
+        if not is_missing(e):
+            raise
         return None
 
 
@@ -88,67 +96,99 @@ def touched_dates(source: DataFrame) -> list[dt.date]:
     return sorted(r.d for r in rows)
 
 
-def merge_plan(target: DataFrame | None, source: DataFrame, dates: Sequence[dt.date],
-               observation: Observation | None = None) -> DataFrame:
-    """Lazy merged rows for the touched partitions (see module doc)."""
-    spark = source.sparkSession
+def last_of_key(source: DataFrame) -> DataFrame:
+    """Source rows in table shape, the latest of each key (highest ``_row_no``)."""
     has_ord = K.ROW_NO in source.columns
     cols = [f"`{c}`" for c in K.TARGET_COLUMNS]
-    src = to_target(source, keep_row_no=has_ord)
-    src = src.selectExpr(*cols, f"{'`' + K.ROW_NO + '`' if has_ord else 'CAST(NULL AS BIGINT)'} AS {_ORD}",
-                         f"to_date(timestamp) AS {K.PARTITION_COL}", f"1 AS {_PRIO}")
-    ord_type = src.schema[_ORD].dataType.simpleString()
-
-    day_list = ", ".join(f"DATE '{d}'" for d in dates)
-    tgt = target if target is not None else empty_table(spark)
-    tgt = (tgt.where(f"{K.PARTITION_COL} IN ({day_list})")
-           .selectExpr(*cols, K.PARTITION_COL, f"CAST(NULL AS {ord_type}) AS {_ORD}", f"0 AS {_PRIO}"))
-
-    keys = [K.PARTITION_COL, "plant_name", "timestamp"]
-    u = tgt.unionByName(src).repartitionByRange(*keys)
-    spec = (f"PARTITION BY {', '.join(keys)} ORDER BY {_PRIO} DESC, {_ORD} DESC NULLS LAST")
-    u = u.selectExpr(
-        "*", f"row_number() OVER ({spec}) AS {_RN}",
-        f"min({_PRIO}) OVER ({spec} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
-        f" = 0 AS {_HAS_TGT}")
+    order = f"`{K.ROW_NO}`" if has_ord else "CAST(NULL AS BIGINT)"
+    src = to_target(source, keep_row_no=has_ord).selectExpr(
+        *cols, f"{order} AS {_ORD}", f"to_date(timestamp) AS {K.PARTITION_COL}")
+    spec = f"PARTITION BY {', '.join(_KEYS)} ORDER BY {_ORD} DESC NULLS LAST"
+    return (src.selectExpr("*", f"row_number() OVER ({spec}) AS {_RN}").where(f"{_RN} = 1")
+            .select(*K.TARGET_COLUMNS, K.PARTITION_COL))
+
+
+def merge_plan(target: DataFrame | None, source: DataFrame, dates: Sequence[dt.date] = (),
+               observation: Observation | None = None) -> DataFrame:
+    """Lazy merged rows for the touched partitions (see module doc)."""
+    rest = [c for c in K.TARGET_COLUMNS if c not in _KEYS]
+    src = last_of_key(source)
+    if target is None:
+        merged = src.withColumn("_new", F.lit(True)).withColumn("_src", F.lit(True))
+    else:
+        days = F.col(K.PARTITION_COL).isin(list(dates))
+        s = src.select(*_KEYS, F.struct(*rest).alias("_s"))
+        t = target.where(days).select(*_KEYS, F.struct(*rest).alias("_t"))
+        merged = s.join(t, _KEYS, "full_outer")
+        won = F.col("_s").isNotNull()
+        merged = merged.select(*_KEYS, F.coalesce("_s", "_t").alias("_r"), won.alias("_src"),
+                               F.col("_t").isNull().alias("_new"))
+        merged = merged.select(*_KEYS, "_src", "_new", *[F.col(f"_r.{c}").alias(c) for c in rest])
     if observation is not None:
-        won = f"{_PRIO} = 1 AND {_RN} = 1"
-        u = u.observe(
+        merged = merged.observe(
             observation,
-            F.expr(f"CAST(count_if({_PRIO} = 1) AS BIGINT)").alias("rows_loaded"),
-            F.expr(f"CAST(count_if({won} AND NOT {_HAS_TGT}) AS BIGINT)").alias("rows_inserted"),
-            F.expr(f"CAST(count_if({won} AND {_HAS_TGT}) AS BIGINT)").alias("rows_updated"),
-            F.expr(f"max(CASE WHEN {_PRIO} = 1 THEN timestamp END)").alias("max_timestamp"),
-        )
-    return u.where(f"{_RN} = 1").select(*K.TARGET_COLUMNS, K.PARTITION_COL)
+            F.count_if(F.col("_src") & F.col("_new")).alias("rows_inserted"),
+            F.count_if(F.col("_src") & ~F.col("_new")).alias("rows_updated"),
+            F.max(F.when(F.col("_src"), F.col("timestamp"))).alias("max_timestamp"))
+    return merged.select(*K.TARGET_COLUMNS, K.PARTITION_COL)
 
 
-def write_partitions(df: DataFrame, path: str) -> None:
-    """Replace only the partitions present in ``df``."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def write_partitions(df: DataFrame, path: str, whole: bool = False) -> None:
+    """Replace only the partitions present in ``df`` (or the ``whole`` table, which
+    marks its end with _SUCCESS); files are sorted by key."""
+    (df.hint("rebalance", K.PARTITION_COL).sortWithinPartitions(*_KEYS)
+     .write.mode("overwrite").option("partitionOverwriteMode", "static" if whole else "dynamic")
      .partitionBy(K.PARTITION_COL).parquet(path))
 
 
+def pending_root(target_path: str) -> str:
+    """Where merged days wait until they are in the table (beside it, same store)."""
+    return target_path.rstrip("/") + "__pending"
+
+
+def finish_pending(spark: SparkSession, target_path: str) -> int:
+    """Complete what a crashed upsert left: whole copies go into the table, others go."""
+    done = 0
+    for path in list_dirs(spark, pending_root(target_path)):
+        if path_exists(spark, f"{path}/_SUCCESS"):
+            _replace(spark.read.schema(K.TABLE_SCHEMA).parquet(path), target_path)
+            done += 1
+        drop_dir(spark, path)
+    return done
+
+
+def _replace(days: DataFrame, target_path: str) -> None:
+    (days.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(K.PARTITION_COL).parquet(target_path))
+
+
 def upsert(spark: SparkSession, source: DataFrame, target_path: str,
            dates: Sequence[dt.date] | None = None) -> UpsertResult:
     """MERGE ``source`` (fact-table columns, optional ``_row_no``) into the table.
 
-    ``dates`` must list every reading date present in ``source`` (it is
-    derived from the source when omitted): each listed partition is
-    rewritten from its stored rows plus the source rows of that date.
+    ``dates``, when given, must list every reading date present in ``source``;
+    each listed partition is rewritten from its stored rows plus the source
+    rows of that date.
     """
-    dates = touched_dates(source) if dates is None else list(dates)
-    if not dates:
-        log.info("No data to load.")
-        return UpsertResult(0, 0, 0, None, [])
-    obs = Observation("upsert")
-    merged = merge_plan(read_partitions(spark, target_path, dates), source, dates, obs)
-    write_partitions(merged, target_path)
-    m = obs.get
-    res = UpsertResult(int(m["rows_loaded"] or 0), int(m["rows_inserted"] or 0),
-                       int(m["rows_updated"] or 0), m["max_timestamp"], dates)
-    log.info("Loaded %d rows (%d new, %d updated) into %d partitions.",
-             res.rows_loaded, res.rows_inserted, res.rows_updated, len(dates))
+    finish_pending(spark, target_path)
+    seen, out = Observation("source"), Observation("upsert")
+    observed = source.observe(seen, F.count(F.lit(1)).alias("n"))
+    if read_table(spark, target_path) is None:
+        write_partitions(merge_plan(None, observed, (), out), target_path)
+    else:
+        dates = touched_dates(source) if dates is None else list(dates)
+        if not dates:
+            log.info("nothing to merge")
+            return UpsertResult(0, 0, 0, None, [])
+        copy = f"{pending_root(target_path)}/{uuid.uuid4().hex}"
+        write_partitions(merge_plan(read_partitions(spark, target_path, dates), observed, dates, out), copy, whole=True)
+        _replace(spark.read.schema(K.TABLE_SCHEMA).parquet(copy), target_path)
+        drop_dir(spark, copy)
+    m = out.get
+    res = UpsertResult(int(seen.get["n"] or 0), int(m["rows_inserted"] or 0),
+                       int(m["rows_updated"] or 0), m["max_timestamp"], list(dates or []))
+    log.info("merged %d source rows: %d keys added, %d replaced",
+             res.rows_loaded, res.rows_inserted, res.rows_updated)
     return res
 
 

@@ -39,6 +39,12 @@ TYPED_COLS = ",\n  ".join(
     + [f"""{num_sql(f'"{NUM_SOURCE[c]}"', p)} as {c}""" for c, p in K.NUMERIC_PRECISION.items()]
 )
 
+FLAW_SQL = " or ".join(
+    f"""(regexp_full_match(trim("{NUM_SOURCE[c]}"), '{NUM_RE}') and try_cast(try_cast(trim("{NUM_SOURCE[c]}") as double) """
+    f"as decimal({p},2)) is null)" for c, p in K.NUMERIC_PRECISION.items())
+TYPED_COLS += f",\n  case when {FLAW_SQL} then '{K.OVERFLOW}' end as flaw"
+
+
 def all_null_sql(alias: str = "") -> str:
     pre = f"{alias}." if alias else ""
     return "coalesce(" + ", ".join(pre + c for c in K.NUMERIC_COLS) + ") is null"
@@ -55,7 +61,7 @@ with R as ({RAW_READINGS_SQL}),
 T as (select
   {TYPED_COLS}
   from R),
-V as (select * from T where timestamp is not null and plant_name is not null),
+V as (select * from T where timestamp is not null and plant_name is not null and flaw is null),
 D as (select * exclude (rn) from (
         select *, row_number() over (partition by timestamp, plant_name order by _row_no desc) as rn
         from V) where rn = 1),

@@ -1,12 +1,19 @@
-"""One incremental run: HWM -> extract -> clean -> stage -> upsert -> HWM.
-
-The batch is cleaned once and written as a Parquet staging table under the
-shared checkpoint folder.  That cuts the lineage (a lost executor during
-the merge re-reads staged files instead of re-parsing the source), lets the
-touched-date list come from partition values, and gives the run its counts
-through ``Observation`` without extra jobs.  The HWM is written only after
-the fact-table commit; a crash in between re-processes the batch, which the
-keyed upsert absorbs.
+"""One incremental run: HWM -> extract -> clean -> (stage) -> upsert -> HWM.
+
+The batch is typed once and, when rejects are kept too, staged in the shared
+scratch folder, so two outputs cost one parse.  A merge into a stored table
+stages the clean batch as well: that cuts the lineage (a lost executor
+re-reads files instead of re-parsing the source) and gives the touched dates
+through ``Observation`` without a job of their own.  A first load writes its
+rows once.  Staged folders go when the run ends, also when it fails.
+
+What a run has done is kept in an order that a crash can't spoil: rejects,
+then the fact table, then the mark.  A run that dies in between is repeated by
+the next one: the keyed upsert gives the same table (and first finishes a
+merge that was cut off, see ``operators.upsert``), and rejected rows that are
+stored already are neither stored nor counted again.
+
+The mark never moves back, except when a full run sets it anew.
 """
 
 from __future__ import annotations
@@ -18,6 +25,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,8 +33,8 @@ from pyspark.sql import types as T
 from .. import contract as K
 from ..operators import clean as CL
 from ..operators import hwm as H
-from ..operators.upsert import upsert
-from ..session import configure, drop_dir, fresh_dir
+from ..operators.upsert import finish_pending, read_table, upsert
+from ..session import configure, drop_dir, fresh_dir, is_missing, path_exists
 
 log = logging.getLogger(__name__)
 
@@ -88,15 +96,21 @@ def stage_with_dates(clean: DataFrame, path: str | None = None):
 
 
 def stage_and_upsert(spark: SparkSession, clean: DataFrame, target_path: str):
-    """Stage a clean batch, then upsert it; returns (rows staged, UpsertResult).
+    """Upsert a clean batch; returns (rows in the batch, UpsertResult or None).
 
-    The staged copy is deleted once the fact table has committed.
+    A batch for a stored table is staged first; the staged copy is deleted
+    when the upsert has ended, well or not.
     """
+    finish_pending(spark, target_path)
+    if read_table(spark, target_path) is None:
+        res = upsert(spark, clean, target_path)
+        return res.rows_loaded, res if res.rows_loaded else None
     path = fresh_dir(spark, "stage")
-    staged, n, dates = stage_with_dates(clean, path)
-    res = upsert(spark, staged, target_path, dates) if n else None
-    drop_dir(spark, path)
-    return n, res
+    try:
+        staged, n, dates = stage_with_dates(clean, path)
+        return n, upsert(spark, staged, target_path, dates) if n else None
+    finally:
+        drop_dir(spark, path)
 
 
 def stage(df: DataFrame, partition: bool = True) -> DataFrame:
@@ -139,13 +153,49 @@ def read_run_log(spark: SparkSession, path: str, history: bool = False) -> DataF
     return log_rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
+def stored_rejects(spark: SparkSession, rejects_path: str) -> DataFrame | None:
+    """The reject table, or None before the first reject."""
+    if path_exists(spark, rejects_path) is False:
+        return None
+    try:
+        return spark.read.parquet(rejects_path)
+    except AnalysisException as e:
+        if is_missing(e) or e.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return None
+        raise
+
+
+def _source(row_no: str, kind: T.DataType) -> str:
+    """SQL: what tells where a row is from; for file rows the file as it was read.
+
+    A position within a file isn't the same in another run (files are packed into
+    tasks anew), the file and its time of change are; all bad rows of a file are
+    stored by one append."""
+    return f"struct({row_no}.modified, {row_no}.file)" if isinstance(kind, T.StructType) else row_no
+
+
+def without_known(batch: DataFrame, known: DataFrame | None,
+                  watermark: dt.datetime | None) -> DataFrame:
+    """The batch without rows whose rejection is stored: they were read, and
+    stored or refused, by an earlier run.  Newer rows than the mark stay."""
+    if known is None or K.ROW_NO not in known.columns:
+        return batch
+    kind = batch.schema[K.ROW_NO].dataType
+    if known.schema[K.ROW_NO].dataType != kind:
+        return batch
+    seen = known.selectExpr(f"{_source(K.ROW_NO, kind)} AS _seen").distinct()
+    old = "timestamp IS NULL" + (f" OR timestamp <= TIMESTAMP_NTZ '{watermark}'" if watermark else "")
+    rows = batch.selectExpr("*", f"CASE WHEN {old} THEN {_source(K.ROW_NO, kind)} END AS _from")
+    return rows.join(seen, rows["_from"] == seen["_seen"], "left_anti").drop("_from")
+
+
 def run(spark: SparkSession, raw: DataFrame, target_path: str, state_path: str,
         run_log_path: str | None = None, rejects_path: str | None = None,
         pipeline: str = K.PIPELINE_NAME, full: bool = False,
         run_ts: str | dt.datetime | None = None, overlap: str | None = None,
         max_future: str | None = None,
         formats: Sequence[str] = K.TIMESTAMP_FORMATS,
-        run_id: str | None = None) -> RunResult:
+        run_id: str | None = None, parse_partitions: int | None = None) -> RunResult:
     """Run the pipeline once; returns the run's figures."""
     configure(spark)
     started = _ts(run_ts) or _now()
@@ -154,49 +204,47 @@ def run(spark: SparkSession, raw: DataFrame, target_path: str, state_path: str,
     if run_log_path:
         append_run_log(spark, run_log_path, res)          # status RUNNING (the default)
     try:
-        res.watermark_before = None if full else H.read_hwm(spark, state_path, pipeline)
-        log.info("Watermark: %s", res.watermark_before or "None (full load)")
-        batch_plain = extract(raw, res.watermark_before, overlap, formats)
+        stored = H.read_hwm(spark, state_path, pipeline)
+        res.watermark_before = None if full else stored
+        log.info("mark before the run: %s", res.watermark_before or "none, so all rows")
+        batch = extract_typed(CL.typed(raw, formats, parse_partitions), res.watermark_before, overlap)
         if rejects_path:
-            # Two outputs (clean rows and rejects) from one parse: stage the
-            # typed batch and read it twice instead of parsing the source thrice.
+            batch = without_known(batch, stored_rejects(spark, rejects_path), res.watermark_before)
             typed_stage = fresh_dir(spark, "typed")
-            batch_plain = stage_at(batch_plain, typed_stage, partition=False)
-
-        obs_in = Observation("extracted")
-        batch = batch_plain.observe(obs_in, F.count(F.lit(1)).alias("n"))
-        ts_txt = started.isoformat(sep=" ")
-        n_clean, up = stage_and_upsert(spark, CL.clean_typed(batch, ts_txt, max_future),
-                                       target_path)
-        res.rows_extracted = int(obs_in.get.get("n") or 0)
-        res.rows_rejected = res.rows_extracted - n_clean
-
-        if rejects_path:
-            (CL.classify_typed(batch_plain, max_future, ts_txt)
-             .where(F.col(K.REJECT_COL).isNotNull())
-             .withColumn("run_id", F.lit(res.run_id))
-             .write.mode("append").parquet(rejects_path))
-
-        if up is not None:
-            res.rows_loaded, res.rows_inserted, res.rows_updated = (
-                up.rows_loaded, up.rows_inserted, up.rows_updated)
-            res.touched_dates = up.touched_dates
-            res.new_watermark = up.max_timestamp
-            if up.max_timestamp is not None:
-                H.update_hwm(spark, state_path, up.max_timestamp, pipeline,
-                             updated_at=_ts(run_ts) or _now())
-                H.compact(spark, state_path)
-        else:
-            log.info("No new data since last run.")
-        if typed_stage:
-            drop_dir(spark, typed_stage)
+            batch = stage_at(batch, typed_stage, partition=False)
+        process(spark, batch, res, target_path, rejects_path, max_future)
+        newest = res.new_watermark
+        if newest is not None and (full or stored is None or newest > stored):
+            H.update_hwm(spark, state_path, newest, pipeline, updated_at=_ts(run_ts) or _now())
         res.status = "SUCCESS"
     except Exception as exc:
         res.status, res.error_message = "FAILED", "".join(
             traceback.format_exception_only(type(exc), exc)).strip()
         raise
     finally:
+        if typed_stage:
+            drop_dir(spark, typed_stage)
         res.finished_at = _ts(run_ts) or _now()
         if run_log_path:
             append_run_log(spark, run_log_path, res)
     return res
+
+
+def process(spark: SparkSession, batch: DataFrame, res: RunResult, target_path: str,
+            rejects_path: str | None = None, max_future: str | None = None) -> None:
+    """Store a typed batch's rejects and upsert its clean rows; fills in ``res``.
+    With ``rejects_path`` the batch is read more than once: stage it first."""
+    ts_txt = res.started_at.isoformat(sep=" ")
+    if rejects_path:
+        (CL.rejects_typed(batch, max_future, ts_txt).withColumn("run_id", F.lit(res.run_id))
+         .write.mode("append").parquet(rejects_path))
+    counted = Observation("extracted")
+    observed = batch.observe(counted, F.count(F.lit(1)).alias("n"))
+    n_clean, up = stage_and_upsert(spark, CL.clean_typed(observed, ts_txt, max_future), target_path)
+    res.rows_extracted = int(counted.get.get("n") or 0)
+    res.rows_rejected = res.rows_extracted - n_clean
+    if up is None:
+        log.info("the batch holds no new readings")
+        return
+    res.rows_loaded, res.rows_inserted, res.rows_updated = up.rows_loaded, up.rows_inserted, up.rows_updated
+    res.touched_dates, res.new_watermark = up.touched_dates, up.max_timestamp

@@ -15,8 +15,8 @@ from pyspark.sql import types as T
 from .. import contract as K
 from . import views as V
 
-FACT_TABLE, STATE_TABLE, RUN_LOG_TABLE = "plant_readings", "etl_watermark", "etl_run_log"
-LATEST_VIEW, DAILY_VIEW = "vw_latest_plant_readings", "vw_daily_plant_averages"
+FACT_TABLE, STATE_TABLE, RUN_LOG_TABLE = K.FACT_TABLE, K.STATE_TABLE, K.RUN_LOG_TABLE
+LATEST_VIEW, DAILY_VIEW = K.LATEST_VIEW, K.DAILY_VIEW
 
 
 def _columns(schema: T.StructType) -> str:

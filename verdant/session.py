@@ -7,6 +7,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 # Settings the pipeline relies on for exact results.  UTC so that
@@ -67,8 +68,9 @@ def configure(spark: SparkSession) -> SparkSession:
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written tables.
 
-    Uses the cluster's ``spark.checkpoint.dir``; only when that is unset
-    (local runs and tests) does it create one under the system temp folder.
+    Uses the cluster's ``spark.checkpoint.dir``.  Only a local master may go
+    without one and then gets a folder under the system temp folder: on a
+    cluster each executor would write to a disk of its own, so that raises.
     """
     try:
         sc = spark.sparkContext
@@ -80,6 +82,9 @@ def scratch_root(spark: SparkSession) -> str:
     if not conf_dir and sc is not None:
         conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         conf_dir = _LOCAL_SCRATCH.setdefault("dir", tempfile.mkdtemp(prefix="verdant-ckpt-"))
     if sc is None:
         return conf_dir
@@ -90,6 +95,11 @@ def scratch_root(spark: SparkSession) -> str:
 _LOCAL_SCRATCH: dict[str, str] = {}
 
 
+def is_missing(e: AnalysisException) -> bool:
+    """Whether a read failed because there is nothing at the path (no other error counts)."""
+    return e.getCondition() == "PATH_NOT_FOUND"
+
+
 def path_exists(spark: SparkSession, path: str) -> bool | None:
     """Whether ``path`` (a glob is allowed) matches anything; None if unknown."""
     try:
@@ -102,6 +112,20 @@ def path_exists(spark: SparkSession, path: str) -> bool | None:
         return None
 
 
+def list_dirs(spark: SparkSession, path: str) -> list[str]:
+    """The folders in ``path`` (none if it is not there), through the cluster's file system."""
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:  # noqa: BLE001 - remote session: no file system at hand
+        return []
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(conf)
+    if not fs.exists(p):
+        return []
+    return sorted(s.getPath().toString() for s in fs.listStatus(p) if s.isDirectory())
+
+
 def drop_dir(spark: SparkSession, path: str) -> bool:
     """Delete a scratch folder through the cluster's file system (HDFS, S3, local)."""
     try:

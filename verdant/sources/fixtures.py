@@ -16,11 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contract import ROW_NO
-from ..plans.layout import spread
 
 # Copies of every event with event_id % COPY_MOD = 0 re-appear later in the grid.
+# The ordinal of an event is twice its id, that of its copy one more: copies are
+# later than their event, and no ordinal is used twice at any scale.
 COPY_MOD = 29
-COPY_OFFSET = 1_000_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,7 +47,7 @@ def _cells(e: DataFrame) -> DataFrame:
             .when(blank, F.lit(""))
             .otherwise(F.least(F.col("value"), F.lit(100.0)).cast("string")))
     return e.select(
-        eid.alias(ROW_NO),
+        (eid * 2).alias(ROW_NO),
         ts_txt.alias("Timestamp"),
         plant.alias("Plant Name"),
         status.alias("Status"),
@@ -69,11 +69,10 @@ def _cells(e: DataFrame) -> DataFrame:
 
 def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dirty grid R (see module doc); reads only the columns it needs."""
-    e = spread(read_table(spark, sf_dir, "events").select(
-        "event_id", "ts", "user_id", "event_type", "value"), "event_id")
+    e = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     base = _cells(e)
-    copies = (base.where((F.col(ROW_NO) % COPY_MOD) == 0)
-              .withColumn(ROW_NO, F.col(ROW_NO) + COPY_OFFSET)
+    copies = (base.where((F.col(ROW_NO) % (2 * COPY_MOD)) == 0)
+              .withColumn(ROW_NO, F.col(ROW_NO) + 1)
               .withColumn("Status", F.lit("dead")))
     return base.unionByName(copies)
 
@@ -81,7 +80,7 @@ def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 # DuckDB text of the same grid (oracle side).
 RAW_READINGS_SQL = f"""
 with base as (
-  select event_id as _row_no,
+  select 2 * event_id as _row_no,
        case when event_id%101=0 then 'NOT A DATE' else strftime(ts,'%Y-%m-%d %H:%M:%S') end as "Timestamp",
        case event_id%3 when 0 then '  plant-a '||user_id when 1 then 'PLANT-A '||user_id||' ' else 'Plant-A '||user_id end as "Plant Name",
        case when event_type='error' then 'wilted' when event_type='signup' then ' WILTED ' else 'healthy' end as "Status",
@@ -100,6 +99,6 @@ with base as (
   from events)
 select * from base
 union all
-select * replace (_row_no + {COPY_OFFSET} as _row_no, 'dead' as "Status")
-from base where _row_no % {COPY_MOD} = 0
+select * replace (_row_no + 1 as _row_no, 'dead' as "Status")
+from base where _row_no % {2 * COPY_MOD} = 0
 """

@@ -1,28 +1,36 @@
 """Spreadsheet-like grids stored as CSV files (header row + text cells).
 
 Reading keeps the source's conventions: header names are trimmed, every
-cell is text, a short row is padded with empty strings, an over-long row
-is flagged in ``_extra`` (its first surplus cell) instead of being silently
-cut, and an empty source gives an empty frame.  Each row gets an input
-ordinal ``_row_no`` = (file path, split start, position), so "later in the
-source" is well defined for keep-last deduplication without any global
-sort.  Files are read in parallel splits; nothing passes through the driver
-except the header line.
+cell is text, a short row is padded with empty strings, the surplus cells of
+an over-long row are kept in ``_extra`` (JSON text) so the row can be refused
+with all it holds, and an empty source gives an empty frame.
+
+Every file is mapped by the names in its own header: files are grouped by
+header, each group is read with its names, and the groups are put together by
+name; a column that a file lacks is NULL.  Each row gets an input ordinal
+``_row_no`` = (time of change, file, split start, position), so "later in the
+source" is well defined for keep-last deduplication without any global sort.
+Files are read in parallel splits; the driver sees the list of files and one
+header per file.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import datetime as dt
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
-import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from .. import contract as K
+from ..contract import EXTRA_COL
+from ..session import is_missing
 
-EXTRA_COL = "_extra"
+SPARE_CELLS = 16     # cells past the header that a row may have and still be kept whole in _extra
 _CSV_READ = {"header": "true", "mode": "PERMISSIVE", "multiLine": "false",
              "recursiveFileLookup": "true",
              "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
@@ -30,40 +38,105 @@ _CSV_WRITE = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "f
               "quoteAll": "false"}
 
 
-def header(spark: SparkSession, path: str) -> list[str] | None:
-    """Header names (trimmed) from the first line; None for an empty source."""
+@dataclass(frozen=True)
+class GridFile:
+    path: str
+    modified: dt.datetime
+    names: tuple[str, ...] = ()
+
+
+def list_files(spark: SparkSession, path: str) -> list[GridFile]:
+    """The non-empty files under ``path`` (a listing: no content is read)."""
+    try:
+        rows = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+                .where("length > 0").select("path", "modificationTime").collect())
+    except AnalysisException as e:
+        if not is_missing(e):
+            raise
+        return []
+    return sorted((GridFile(r.path, r.modificationTime) for r in rows), key=lambda f: (f.modified, f.path))
+
+
+def header(spark: SparkSession, path: str, multi_line: bool = False) -> list[str] | None:
+    """Header names (trimmed) from the first line at ``path``; None for an empty source."""
     try:
-        names = spark.read.options(**_CSV_READ).csv(path).columns
-    except AnalysisException:
+        names = spark.read.options(**_read_options(multi_line)).csv(path).columns
+    except AnalysisException as e:
+        if not is_missing(e) and e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
         return None
     return [n.strip() for n in names] or None
 
 
-def grid_schema(names: Sequence[str]) -> T.StructType:
-    return T.StructType([T.StructField(n, T.StringType(), True) for n in names]
-                        + [T.StructField(EXTRA_COL, T.StringType(), True)])
+def with_headers(spark: SparkSession, files: Sequence[GridFile], multi_line: bool = False) -> list[GridFile]:
+    """Each file with the names in its header (its first line, 16 files at a time)."""
+    def one(f: GridFile) -> GridFile:
+        return GridFile(f.path, f.modified, tuple(header(spark, f.path, multi_line) or ()))
 
+    with ThreadPoolExecutor(16) as pool:
+        return [f for f in pool.map(one, files) if f.names]
 
-def ordinal() -> Column:
-    """Position of a row in the source: later file, later split, later row."""
-    return F.struct(F.col("_metadata.file_path").alias("file"),
-                    F.col("_metadata.file_block_start").alias("block"),
+
+def _read_options(multi_line: bool) -> dict[str, str]:
+    return {**_CSV_READ, "multiLine": str(multi_line).lower()}
+
+
+def _cells(n: int) -> list[str]:
+    return [f"_cell{i}" for i in range(n)]
+
+
+def ordinal(meta: str = "_metadata") -> Column:
+    """Position of a row in the source: later change, file, split, row."""
+    return F.struct(F.col(f"{meta}.file_modification_time").alias("modified"),
+                    F.col(f"{meta}.file_path").alias("file"),
+                    F.col(f"{meta}.file_block_start").alias("block"),
                     F.monotonically_increasing_id().alias("row"))
 
 
-def read_grid(spark: SparkSession, path: str, names: Sequence[str] | None = None) -> DataFrame:
-    """CSV grid -> text columns + ``_extra`` + ``_row_no`` ordinal."""
-    names = list(names) if names else header(spark, path)
-    if not names:
-        return spark.createDataFrame([], K.RAW_SCHEMA)
-    df = (spark.read.options(**_CSV_READ).option("enforceSchema", "true")
-          .schema(grid_schema(names)).csv(path))
-    padded = [F.coalesce(F.col(f"`{n}`"), F.lit("")).alias(n) for n in names]
-    return df.select(ordinal().alias(K.ROW_NO), *padded, EXTRA_COL)
+def named(cells: DataFrame, own: Sequence[str], names: Sequence[str], width: int,
+          keep: Sequence[str | Column]) -> DataFrame:
+    """Cells by position -> the columns ``names`` by name, and ``_extra``.
+
+    ``own`` is the header that the cells stand under.  A short row's missing
+    cells are empty text; a column that ``own`` lacks is NULL."""
+    at = {n: i for i, n in reversed(list(enumerate(own)))}
+    cols = [F.coalesce(F.col(f"_cell{at[n]}"), F.lit("")).alias(n) if n in at
+            else F.lit(None).cast("string").alias(n) for n in names]
+    spare = [F.col(c) for c in _cells(width)[len(own):]]
+    extra = F.when(F.coalesce(*spare).isNotNull(), F.to_json(F.array_compact(F.array(*spare)))) if spare else F.lit(None)
+    return cells.select(*keep, *cols, extra.cast("string").alias(EXTRA_COL))
+
+
+def read_grid(spark: SparkSession, path: str, names: Sequence[str] | None = None,
+              modified_after: dt.datetime | None = None, multi_line: bool = False) -> DataFrame:
+    """CSV grid files -> text columns + ``_extra`` + ``_row_no`` ordinal.
+
+    ``names`` fixes the columns (default: all names of all headers, in the order
+    of their first file).  ``modified_after`` leaves out files that did not change
+    since.  ``multi_line`` allows line breaks inside quoted cells; a file is then
+    read by one task."""
+    files = [f for f in list_files(spark, path) if modified_after is None or f.modified > modified_after]
+    files = with_headers(spark, files, multi_line)
+    names = list(names) if names else list(dict.fromkeys(n for f in files for n in f.names))
+    if not files:
+        schema = T.StructType([K.RAW_SCHEMA[K.ROW_NO], *[T.StructField(n, T.StringType()) for n in names or K.RAW_COLUMNS],
+                               T.StructField(EXTRA_COL, T.StringType())])
+        return spark.createDataFrame([], schema)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for f in files:
+        groups.setdefault(f.names, []).append(f.path)
+    out = None
+    for own, paths in groups.items():
+        width = len(own) + SPARE_CELLS
+        cells = (spark.read.options(**_read_options(multi_line)).option("enforceSchema", "true")
+                 .schema(", ".join(f"{c} string" for c in _cells(width))).csv(paths))
+        part = named(cells, own, names, width, [ordinal().alias(K.ROW_NO)])
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def overlong_rows(grid: DataFrame) -> DataFrame:
-    """Rows with more cells than the header (the source would refuse them)."""
+    """Rows with more cells than the header (they go to the rejects)."""
     return grid.where(F.col(EXTRA_COL).isNotNull())
 
 
@@ -93,11 +166,17 @@ def write_grid(df: DataFrame, path: str, cells: Sequence[str],
         w = w.partitionBy(partition_by) if partition_by else w
         w.mode("overwrite").options(**_CSV_WRITE).option("header", "true").csv(path)
         return
-    head = ",".join(cells)
-    lines = df.select(to_line(cells, short_when, keep_when_short).alias("value"))
-
-    def with_header(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield pd.DataFrame({"value": [head]})
-        yield from batches
-
-    lines.mapInPandas(with_header, "value string").write.mode("overwrite").text(path)
+    write_lines(df, path, cells, to_line(cells, short_when, keep_when_short))
+
+
+def write_lines(df: DataFrame, path: str, cells: Sequence[str], line: Column) -> None:
+    """One CSV text ``line`` per row, the header of ``cells`` on top of each file."""
+    # A text file per task holds its rows; the header stands in front of the first
+    # row of each, by a marker line that every task's rows are sorted behind.
+    tasks = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    lines = df.select(line.alias("value"), F.lit(1).alias("_at"),
+                      F.pmod(F.xxhash64(*cells), F.lit(tasks)).cast("int").alias("_file"))
+    heads = df.sparkSession.range(tasks).select(
+        F.lit(",".join(cells)).alias("value"), F.lit(0).alias("_at"), F.col("id").cast("int").alias("_file"))
+    (lines.unionByName(heads).repartition(tasks, "_file").sortWithinPartitions("_file", "_at")
+     .select("value", "_file").write.mode("overwrite").partitionBy("_file").text(path))

@@ -11,6 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..contract import ROW_NO
+from .grid import ordinal
+
 ISO_NTZ = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
 _OPTS = {"timestampNTZFormat": ISO_NTZ, "dateFormat": "yyyy-MM-dd"}
 
@@ -19,8 +22,12 @@ def write_records(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**_OPTS).json(path)
 
 
-def read_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.options(**_OPTS).schema(schema).json(path)
+def read_records(spark: SparkSession, path: str, schema: T.StructType,
+                 with_ordinal: bool = False) -> DataFrame:
+    """Records under ``path``; ``with_ordinal`` adds ``_row_no`` (later change,
+    file, split, row), which keep-last needs when there are several files."""
+    df = spark.read.options(**_OPTS).schema(schema).json(path)
+    return df.select(ordinal().alias(ROW_NO), *schema.names) if with_ordinal else df
 
 
 def to_records(df: DataFrame) -> DataFrame:

@@ -1,19 +1,23 @@
 """File-stream ingestion with Structured Streaming.
 
 New grid files landing in a folder are picked up by the file source; each
-micro-batch is cleaned (keep-last inside the batch) and upserted into the
-fact table inside ``foreachBatch``.  The upsert is keyed and replaces whole
-partitions, so replaying a batch after a failure writes the same table
-(exactly-once results on an at-least-once sink).  A later batch overrides
-earlier rows of the same key.  The stream's checkpoint (which files were
-consumed) lives in the shared checkpoint folder and replaces the stored
-high-water mark for file sources; ``trigger(availableNow=True)`` gives the
-scheduled micro-batch run: consume everything new, then stop.
+micro-batch is mapped by the header of each of its files, typed, split into
+rejects and clean rows (keep-last inside the batch) and upserted into the
+fact table inside ``foreachBatch``, as a batch run does, with the same rejects
+and run log.  The upsert is keyed and replaces whole partitions, so replaying a
+batch after a failure writes the same table (exactly-once results on an
+at-least-once sink); rejects that a replayed batch has stored already are not
+stored again.  A later batch overrides earlier rows of the same key.  The
+stream's checkpoint (which files were consumed) lies beside the table unless
+it is named, so the next start goes on where this one ended;
+``trigger(availableNow=True)`` gives the scheduled micro-batch run: consume
+everything new, then stop.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,46 +27,71 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import contract as K
 from ..operators import clean as CL
 from ..operators import hwm as H
-from ..plans.pipeline import stage_and_upsert
-from ..session import configure, fresh_dir
-from ..sources.grid import _CSV_READ, EXTRA_COL, grid_schema, header
+from ..plans import pipeline as P
+from ..session import configure, drop_dir, fresh_dir
+from ..sources.grid import _CSV_READ, SPARE_CELLS, _cells, header, named
 
 
-def grid_stream(spark: SparkSession, source_dir: str, names: Sequence[str],
+def grid_stream(spark: SparkSession, source_dir: str, width: int,
                 max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming grid rows with their file position (ordinal added per batch)."""
-    r = spark.readStream.options(**_CSV_READ).schema(grid_schema(names))
+    """Streaming grid cells by position, with their place (named per batch and file)."""
+    r = spark.readStream.options(**_CSV_READ).schema(", ".join(f"{c} string" for c in _cells(width)))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     df = r.csv(source_dir)
-    padded = [F.coalesce(F.col(f"`{n}`"), F.lit("")).alias(n) for n in names]
-    return df.select(F.col("_metadata.file_path").alias("_file"),
-                     F.col("_metadata.file_block_start").alias("_block"),
-                     *padded, EXTRA_COL)
+    return df.select(F.col("_metadata.file_modification_time").alias("_modified"),
+                     F.col("_metadata.file_path").alias("_file"),
+                     F.col("_metadata.file_block_start").alias("_block"), *_cells(width))
 
 
-def _with_ordinal(batch: DataFrame) -> DataFrame:
-    o = F.struct(F.col("_file").alias("file"), F.col("_block").alias("block"),
-                 F.monotonically_increasing_id().alias("row"))
-    return batch.select(o.alias(K.ROW_NO), *[c for c in batch.columns
-                                             if c not in ("_file", "_block")])
+def _by_header(batch: DataFrame, names: Sequence[str], width: int) -> DataFrame:
+    """Cells -> columns by name, each file by its own header (one header per file is read)."""
+    place = F.struct(F.col("_modified").alias("modified"), F.col("_file").alias("file"),
+                     F.col("_block").alias("block"), F.monotonically_increasing_id().alias("row"))
+    batch = batch.withColumn(K.ROW_NO, place)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for r in batch.select("_file").distinct().collect():  # the files of one micro-batch
+        groups.setdefault(tuple(header(batch.sparkSession, r._file) or names), []).append(r._file)
+    out = named(batch.limit(0), names, names, width, [K.ROW_NO])
+    for own, files in groups.items():
+        out = out.unionByName(named(batch.where(F.col("_file").isin(files)), own, names, width, [K.ROW_NO]))
+    return out
 
 
-def process_batch(target_path: str, run_ts: str | None, max_future: str | None,
-                  formats: Sequence[str], state_path: str | None = None):
+def process_batch(target_path: str, names: Sequence[str], width: int, run_ts: str | None = None,
+                  max_future: str | None = None, formats: Sequence[str] = K.TIMESTAMP_FORMATS,
+                  state_path: str | None = None, rejects_path: str | None = None,
+                  run_log_path: str | None = None, pipeline: str = K.PIPELINE_NAME):
     def fn(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         configure(spark)
-        clean = CL.clean(_with_ordinal(batch).drop(EXTRA_COL), run_ts=run_ts,
-                         formats=formats, max_future=max_future)
-        # Staged once (shared folder), so the date list and the merge read files.
-        _, res = stage_and_upsert(spark, clean, target_path)
-        if state_path and res is not None and res.max_timestamp is not None:
-            # Keep the stored mark in step with the stream (never moving it back),
-            # so batch runs on the same table start where the stream is.
-            current = H.read_hwm(spark, state_path)
-            if current is None or res.max_timestamp > current:
-                H.update_hwm(spark, state_path, res.max_timestamp)
+        started = P._ts(run_ts) or P._now()
+        res = P.RunResult(pipeline, f"stream-{epoch_id}-{uuid.uuid4().hex[:8]}", started)
+        if run_log_path:
+            P.append_run_log(spark, run_log_path, res)
+        stage = fresh_dir(spark, "typed")
+        try:
+            rows = CL.typed(_by_header(batch, names, width), formats)
+            rows = P.stage_at(rows, stage, partition=False)
+            if rejects_path:
+                rows = P.without_known(rows, P.stored_rejects(spark, rejects_path), None)
+            P.process(spark, rows, res, target_path, rejects_path, max_future)
+            newest = res.new_watermark
+            if state_path and newest is not None:
+                # Keep the stored mark in step with the stream (never moving it back),
+                # so batch runs on the same table start where the stream is.
+                current = H.read_hwm(spark, state_path, pipeline)
+                if current is None or newest > current:
+                    H.update_hwm(spark, state_path, newest, pipeline)
+            res.status = "SUCCESS"
+        except Exception as exc:
+            res.status, res.error_message = "FAILED", str(exc)[:2000]
+            raise
+        finally:
+            drop_dir(spark, stage)
+            res.finished_at = P._ts(run_ts) or P._now()
+            if run_log_path:
+                P.append_run_log(spark, run_log_path, res)
     return fn
 
 
@@ -73,15 +102,18 @@ def start_ingest(spark: SparkSession, source_dir: str, target_path: str,
                  formats: Sequence[str] = K.TIMESTAMP_FORMATS,
                  available_now: bool = True,
                  processing_time: str | None = None,
-                 state_path: str | None = None) -> StreamingQuery:
-    """Start the ingest stream; ``available_now`` runs to completion then stops."""
+                 state_path: str | None = None, rejects_path: str | None = None,
+                 run_log_path: str | None = None) -> StreamingQuery:
+    """Start the ingest stream; ``available_now`` runs to completion then stops.
+
+    ``names``: the columns to read, each file maps to them by its own header."""
     configure(spark)
-    names = list(names) if names else header(spark, source_dir)
-    if not names:
-        raise ValueError(f"no grid header found under {source_dir}")
-    w = (grid_stream(spark, source_dir, names, max_files_per_trigger).writeStream
-         .foreachBatch(process_batch(target_path, run_ts, max_future, formats, state_path))
-         .option("checkpointLocation", checkpoint or fresh_dir(spark, "ingest-ckpt")))
+    names = list(names) if names else K.RAW_COLUMNS
+    width = len(names) + SPARE_CELLS
+    w = (grid_stream(spark, source_dir, width, max_files_per_trigger).writeStream
+         .foreachBatch(process_batch(target_path, names, width, run_ts, max_future, formats, state_path,
+                                     rejects_path, run_log_path))
+         .option("checkpointLocation", checkpoint or target_path.rstrip("/") + "__stream"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(
         processingTime=processing_time or "30 minutes")
     return w.start()
