@@ -11,8 +11,8 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 # Arrow batches that go to Python hold at most so many rows and bytes, so a
 # run of very long texts can't fill a worker's memory.
-BATCH_ROWS = 512
-BATCH_BYTES = 16 << 20
+BATCH_ROWS = 8192
+BATCH_BYTES = 4 << 20
 
 
 def small_batches(spark: SparkSession) -> None:

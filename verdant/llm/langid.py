@@ -33,6 +33,7 @@ from verdant.llm.common import small_batches
 BINS = 1 << 18
 PER_LANGUAGE = 300
 LANDMARKS = 64
+SALTS = 64
 RIDGE = 1e-2
 CHUNK = 1 << 20
 UNKNOWN = "und"
@@ -108,9 +109,12 @@ def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str =
         per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS) -> Model:
     """Learn from the rows where ``learn`` holds and the language isn't null."""
     small_batches(docs.sparkSession)
+    # the first of each language among the first of its parts, so no task ranks them all
     rank = Window.partitionBy("lang").orderBy("order", "id")
+    part = Window.partitionBy("lang", F.pmod("order", F.lit(SALTS))).orderBy("order", "id")
     ids = (docs.filter(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
            .select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("order"))
+           .withColumn("n", F.row_number().over(part)).filter(F.col("n") <= per_language)
            .withColumn("n", F.row_number().over(rank)).filter(F.col("n") <= per_language)
            .select("id", F.col("lang").alias("learned"), "order").distinct())
     # at most per_language rows a language
