@@ -78,3 +78,75 @@ def test_pruned_latest_equals_window_and_prunes(spark, scratch):
     p = plan(pruned)
     assert re.search(r"PartitionFilters: \[[^\]]*reading_date#\d+ IN \(", p)
     assert "ReadSchema: struct<timestamp:timestamp_ntz,plant_name:string>" in p
+
+
+def test_a_hot_key_is_cut_before_the_upserts_exchange(spark, scratch):
+    path = scratch("fact")
+    c = CL.clean(raw_readings(spark, SF), run_ts="2025-05-01 10:00:00", keep_row_no=True)
+    UP.upsert(spark, c, path)
+    days = UP.touched_dates(c)
+    p = plan(UP.merge_plan(UP.read_partitions(spark, path, days), c, days))
+    assert "WindowGroupLimit" in p and "Partial" in p and "FullOuter" in p
+    assert "rangepartitioning" not in p and p.count("FileScan parquet") <= 3
+
+
+def test_rows_of_a_repeated_key_meet_it_in_parts(spark):
+    """Half of the rows are of one key: their join is dealt over SALTS parts, other keys are not joined."""
+    from pyspark.sql import functions as F
+    rows = spark.range(4000).select(
+        F.col("id").alias(K.ROW_NO), F.lit("2025-04-15 02:28:40").alias("Timestamp"),
+        F.when(F.col("id") < 2000, F.lit("Hot")).otherwise(F.concat(F.lit("Plant "), F.col("id"))).alias("Plant Name"),
+        F.lit("Healthy").alias("Status"), *[F.lit("1").alias(c) for c in K.RAW_COLUMNS[3:]])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        r = CL.rejects(rows)
+        p = plan(r)
+        assert re.search(r"hashpartitioning\(timestamp#\d+, plant_name#\d+, _part#", p)
+        got = r.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(got) == 1999 and {x.reject_reason for x in got} == {K.DUPLICATE}
+    assert {x[K.ROW_NO] for x in got} == set(range(1999))
+
+
+def test_counts_need_no_join(spark):
+    assert "Join" not in plan(CL.stage_counts(raw_readings(spark, SF)))
+
+
+def test_only_files_changed_since_are_opened(spark, scratch):
+    import os
+    import time
+    from verdant.sources import grid as G
+    path = scratch("grid")
+    G.write_grid(raw_readings(spark, SF).limit(5), f"{path}/one", K.RAW_COLUMNS)
+    seen = max(f.modified for f in G.list_files(spark, path))
+    time.sleep(1.1)
+    G.write_grid(raw_readings(spark, SF).limit(3), f"{path}/two", K.RAW_COLUMNS)
+    new = G.read_grid(spark, path, modified_after=seen)
+    assert new.count() == 3 and all("/two/" in f for f in new.inputFiles())
+    assert G.read_grid(spark, path).count() == 8 and os.sep in path
+
+
+def test_scratch_needs_a_shared_folder_unless_local(monkeypatch):
+    import pytest
+    from verdant import session as S
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(ValueError):
+        S.scratch_root(Session())
