@@ -52,8 +52,10 @@ def main() -> None:
     sections = [
         ("clean (parse -> keep-last dedup -> filter)", clean,
          "One exchange. Parse projections inside codegen; WindowGroupLimit Partial before the exchange."),
-        ("rejects (aggregate winners, join back)", CL.rejects(raw),
-         "Hash aggregate on the key, join back; AQE picks broadcast only from measured size."),
+        ("rejects (repeated keys looked up in parts)", CL.rejects(raw),
+         "Typed rows staged once; only keys of two rows or more are joined, each in 16 parts."),
+        ("stage_counts", CL.stage_counts(raw),
+         "One row per key from a two-phase aggregate, then a global one; no join."),
         ("latest_per_plant on the stored table", V.latest_per_plant(fact),
          "WindowGroupLimit Partial + Final around one exchange."),
         ("latest_per_plant_pruned on the stored table", V.latest_per_plant_pruned(fact),
@@ -69,7 +71,7 @@ def main() -> None:
         ("upsert merge (touched dates only)",
          UP.merge_plan(UP.read_partitions(spark, fact_path, dates[:3]),
                        staged.where(staged.reading_date.isin(dates[:3])), dates[:3]),
-         "One range exchange on (date, plant, time) feeds the window and the partitioned write."),
+         "Last row of each key before the exchange, one full outer join on the key."),
     ]
     out = ["# Executed plans (final adaptive plans, sf0.01, local[8])", "",
            "Generated by `python tools/plans.py`. Expression ids removed; long lines cut.", ""]
