@@ -387,14 +387,13 @@ def main_text(df: DataFrame, model: Model, keys: list[str], html_col: str = "htm
     """``keys`` and the main text of every row."""
     small_batches(df.sparkSession)
     rows = df.select(*keys, df[html_col].alias("__html"))
-    shared = df.sparkSession.sparkContext.broadcast(model)  # some hundred numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = []
             htmls = b["__html"].to_pylist()
             for a in range(0, len(htmls), 128):
-                texts += extract([h or "" for h in htmls[a:a + 128]], shared.value)
+                texts += extract([h or "" for h in htmls[a:a + 128]], model)
             yield pa.RecordBatch.from_arrays([*[b[k] for k in keys], pa.array(texts, pa.string())], [*keys, out])
 
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keys).schema]

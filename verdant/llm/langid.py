@@ -140,18 +140,16 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
                        F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("letters"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
         for b in batches:
-            letters = np.array(b["letters"].to_pylist(), bool) & bool(m.languages)
+            letters = np.array(b["letters"].to_pylist(), bool) & bool(model.languages)
             texts = [t for t, ok in zip(b["text"].to_pylist(), letters) if ok]
             names, sure = np.full(len(letters), UNKNOWN, object), np.zeros(len(letters))
             if texts:
-                margins = m.scores(texts)
+                margins = model.scores(texts)
                 best = margins.argmax(axis=1)
-                names[letters] = np.array(m.languages, object)[best]
+                names[letters] = np.array(model.languages, object)[best]
                 sure[letters] = np.clip((margins.max(axis=1) + 1) / 2, 0, 1)
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(names, pa.string()), pa.array(sure)],
                                              ["doc_id", "lang_pred", "score"])

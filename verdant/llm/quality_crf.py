@@ -38,7 +38,8 @@ STEPS = 150
 PIECE = 1 << 16
 
 OWN = ("log_chars", "upper", "symbols", "digits", "unique_words", "repeats", "lone_symbols", "word_length",
-       "ends_sentence", "short", "seen_before", "no_letters", "spaces", "lines")
+       "ends_sentence", "short", "seen_before", "no_letters", "spaces", "lines",
+       "many_repeats", "few_unique", "many_symbols", "mostly_upper")
 WORD = re.compile(r"\w")
 
 
@@ -87,6 +88,10 @@ def features(text: str, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     rows[:, 11] = (counts[:, 0] + counts[:, 1]) == 0
     rows[:, 12] = counts[:, 3] / chars
     rows[:, 13] = min(1.0, np.log1p(len(lines)) / 6)
+    rows[:, 14] = rows[:, 5] > 0.2
+    rows[:, 15] = rows[:, 4] < 0.4
+    rows[:, 16] = counts[:, 4] / chars > 0.05
+    rows[:, 17] = rows[:, 1] > 0.5
     return rows, size
 
 
@@ -239,12 +244,11 @@ def with_score(df: DataFrame, model: Model, text_col: str = "text", out: str = "
     small_batches(df.sparkSession)
     kept = [c for c in df.columns if c != out]
     rows = df.select(*kept)
-    shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                scores = shared.value.scores([t or "" for t in b[text_col].to_pylist()])
+                scores = model.scores([t or "" for t in b[text_col].to_pylist()])
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores)], [*b.schema.names, out])
 
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(out, T.DoubleType())]))
