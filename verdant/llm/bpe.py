@@ -30,8 +30,8 @@ from pyspark.sql import types as T
 
 from verdant.llm.common import small_batches
 
-KEPT = 400_000
-BLOCK_BYTES, BLOCK_WORDS = 24 << 20, 200_000   # a block of rows ends at either
+KEPT = 250_000
+BLOCK_BYTES, BLOCK_WORDS = 24 << 20, 120_000   # a block of rows ends at either
 MANY = 48      # from so many places on, a merge is done in numpy
 
 
