@@ -44,6 +44,27 @@ def test_quality_on_the_held_out_fold(spark):
     assert Q.fit(docs, labels, fold_bucket(F.col("doc_id"), 5) != 0).weights == pytest.approx(model.weights)
 
 
+def test_quality_learns_from_lines_past_a_clean_lead(spark):
+    """Junk that starts at line 61 is seen by the fit, and a long document's score has its own calibration."""
+    rng = random.Random(4)
+
+    def clean(n):
+        return [" ".join(rng.choice(["river", "stone", "walks", "under", "early", "light"]) for _ in range(9)) + "."
+                for _ in range(n)]
+
+    def junk(n):
+        return ["#### $$ ## %% @@ " + "~" * rng.randint(3, 30) for _ in range(n)]
+
+    rows = [(i, "\n".join(clean(60) + (junk(120) if i % 2 else clean(120))), 1 - i % 2) for i in range(60)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, quality int")
+    model = Q.fit(docs, labels, F.lit(True))
+    score = {r.doc_id: r.score for r in Q.with_score(docs, model).collect()}
+    assert min(score[i] for i in range(0, 60, 2)) > 0.9 and max(score[i] for i in range(1, 60, 2)) < 0.1
+    lines = model.scores(["\n".join(junk(50)), "\n".join(clean(50))])
+    assert lines[0] < 0.1 < lines[1]
+
+
 def test_quality_edge_rows_and_columns(spark):
     labels = table(spark, SF, "labels")
     model = Q.fit(table(spark, SF, "documents"), labels, F.lit(True))

@@ -7,8 +7,8 @@ good; their mean, weighted by line length, is the document's evidence, and a
 logistic map fitted on the training documents turns it into the score.
 
 Training uses a bounded sample of labelled documents (``MAX_DOCS``, the first by
-a hash of their id; for the fit alone, their first ``FIT_LINES`` lines): each
-line carries its document's label.  Scoring uses whole texts.
+a hash of their id): each line carries its document's label.  Fit, calibration
+and scoring use whole texts.
 
 Defined results: a null or empty text is one line without characters and gets
 the score the model gives to that; repeated rows are scored each; with no
@@ -33,7 +33,6 @@ from pyspark.sql import types as T
 from verdant.llm.common import small_batches
 
 MAX_DOCS = 4000
-FIT_LINES = 48
 STEPS = 150
 PIECE = 1 << 16
 
@@ -181,12 +180,11 @@ def train(docs: list[tuple[np.ndarray, np.ndarray, int]], steps: int = STEPS) ->
     if len(set(labels)) < 2:
         share = labels.mean() if len(labels) else 0.5
         return Model(np.zeros(width), np.zeros((2, 2)), 0.0, float(_logit(np.array(share))))
-    cut = [(r[:FIT_LINES], s[:FIT_LINES]) for r, s, _ in docs]
-    lengths = np.array([len(s) for _, s in cut])
+    lengths = np.array([len(s) for _, s, _ in docs])
     start = np.r_[0, np.cumsum(lengths)[:-1]]
     first = np.zeros(lengths.sum(), bool)
     first[start] = True
-    x = with_neighbours(np.vstack([r for r, _ in cut]), first)
+    x = with_neighbours(np.vstack([r for r, _, _ in docs]), first)
     y = np.repeat(labels, lengths)
     # a document's lines count by length, documents alike
     seen = np.zeros((2, 2))
@@ -202,7 +200,7 @@ def train(docs: list[tuple[np.ndarray, np.ndarray, int]], steps: int = STEPS) ->
         theta += 0.1 * (mean / (1 - 0.9 ** i)) / (np.sqrt(square / (1 - 0.999 ** i)) + 1e-8)
     model = Model(theta[:width], theta[width:].reshape(2, 2), 1.0, 0.0)
     good = model.marginals(x, lengths)
-    z = _logit(evidence(good, np.concatenate([s for _, s in cut]), start))
+    z = _logit(evidence(good, np.concatenate([s for _, s, _ in docs]), start))
     a, b = 1.0, 0.0
     for _ in range(50):  # Newton steps of the logistic map, slightly regularised
         p = _sigmoid(a * z + b)
@@ -229,8 +227,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
             got = [features(t or "", classes) for t in b["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(b["id"].to_pylist(), pa.int64()), b["label"],
-                 pa.array([r[:FIT_LINES].ravel() for r, _ in got], pa.list_(pa.float64())),
-                 pa.array([s[:FIT_LINES] for _, s in got], pa.list_(pa.float64()))], ["id", "label", "rows", "size"])
+                 pa.array([r.ravel() for r, _ in got], pa.list_(pa.float64())),
+                 pa.array([s for _, s in got], pa.list_(pa.float64()))], ["id", "label", "rows", "size"])
 
     got = rows.withColumn("id", F.xxhash64("id")).select("id", "label", "text").mapInArrow(
         run, "id long, label int, rows array<double>, size array<double>").toArrow()
