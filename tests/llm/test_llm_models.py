@@ -65,6 +65,18 @@ def test_quality_learns_from_lines_past_a_clean_lead(spark):
     assert lines[0] < 0.1 < lines[1]
 
 
+def test_letters_of_every_script_are_letters():
+    classes = Q._classes()
+    for line in ("\u65e5\u672c\u8a9e\u306e\u6587\u7ae0\u3067\u3059\u3001\u306f\u3044\u3002",
+                 "\ud55c\uad6d\uc5b4 \ubb38\uc7a5", "\u4e2d\u6587\u53e5\u5b50", "\U00020000\U00020001"):
+        own = Q.features(line, classes)[0][0]
+        assert own[Q.OWN.index("symbols")] == 0 and not own[Q.OWN.index("many_symbols")]
+        assert not own[Q.OWN.index("no_letters")]
+    assert Q.features("\U0001f600\U0001f600", classes)[0][0][Q.OWN.index("no_letters")]
+    # code points below 0x3000 have the classes that they had
+    assert [int(classes[ord(c)]) for c in "aA1 #.\u00c9\u00e9\u20ac"] == [0, 1, 2, 3, 4, 5, 1, 0, 4]
+
+
 def test_quality_edge_rows_and_columns(spark):
     labels = table(spark, SF, "labels")
     model = Q.fit(table(spark, SF, "documents"), labels, F.lit(True))

@@ -19,6 +19,7 @@ there are none).
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -42,21 +43,30 @@ OWN = ("log_chars", "upper", "symbols", "digits", "unique_words", "repeats", "lo
 WORD = re.compile(r"\w")
 
 
-def _classes() -> np.ndarray:
-    """Class of each code point below 0x3000: 0 lower or other letter, 1 upper, 2 digit, 3 space, 4 symbol, 5 plain mark."""
-    out = np.zeros(0x3000, np.uint8)
-    for i in range(0x3000):
+def _table() -> bytes:
+    """Class of each code point, packed: 0 lower or other letter, 1 upper, 2 digit, 3 space, 4 symbol, 5 plain mark."""
+    out = bytearray(0x110000)
+    for i in range(0x110000):
         c = chr(i)
         out[i] = (1 if c.isupper() else 0 if c.isalpha() else 2 if c.isdigit() else 3 if c.isspace()
-                  else 5 if c in ".,;:'\"-()?" else 4)
-    return out
+                  else 5 if c in PLAIN else 4)
+    return zlib.compress(bytes(out))
+
+
+# ASCII marks, and the same marks in full width as CJK texts have them
+PLAIN = frozenset(".,;:'\"-()?" "\u3001\u3002\u300c\u300d\u300e\u300f\uff08\uff09\uff0c\uff0d\uff0e\uff1a\uff1b\uff1f")
+CLASSES = _table()  # a few KB, so it travels with the functions
+
+
+def _classes() -> np.ndarray:
+    return np.frombuffer(zlib.decompress(CLASSES), np.uint8)
 
 
 def _line_counts(line: str, classes: np.ndarray) -> np.ndarray:
     total = np.zeros(6, np.int64)
     for at in range(0, len(line), PIECE):
         c = np.frombuffer(line[at:at + PIECE].encode("utf-32-le", "surrogatepass"), np.uint32)
-        total += np.bincount(classes[np.minimum(c, 0x2fff)], minlength=6)
+        total += np.bincount(classes[c], minlength=6)
     return total
 
 
