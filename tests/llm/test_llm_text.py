@@ -262,6 +262,27 @@ def test_join_with_null_ids_shared_ids_and_empty_table(spark):
     assert N.join_components(docs.limit(0)).count() == 0
 
 
+def test_one_row_of_each_component_with_shared_repeated_and_null_ids(spark):
+    def text(x, edit=None):
+        ws = [f"{x}{i}" for i in range(60)]
+        return " ".join(ws if edit is None else [*ws[:-1], edit])
+
+    a, b, c, d, e = (text(x) for x in "abcde")
+    rows = [(1, a), (5, a), (5, b), (9, text("b", "y")),   # id 5 goes for a, stays for b
+            (7, c), (7, c), (7, c), (8, text("c", "z")),   # repeated rows: one of them
+            (None, d), (None, text("d", "q")), (None, d),  # no ids at all: one of them
+            (None, e), (20, text("e", "q")),               # the row with an id
+            (30, None), (31, ""), (31, "")]                # no shingles: links with nothing
+    kept = N.one_of_each(docs_frame(spark, rows))
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    some, d_rows = [x for x in got if x[0] is not None], [x for x in got if x[0] is None]
+    assert sorted(some, key=repr) == sorted(
+        [(1, a), (5, b), (7, c), (20, text("e", "q")), (30, None), (31, ""), (31, "")], key=repr)
+    assert len(d_rows) == 1 and d_rows[0][1].startswith("d0 ")
+    unique = docs_frame(spark, [(1, a), (2, text("a", "x")), (3, b)])
+    assert sorted(r.doc_id for r in N.one_of_each(unique).collect()) == [1, 3]
+
+
 def test_connected_components_of_a_long_chain_and_a_hub(spark):
     chain = [(i + 1, i) for i in range(40)]
     hub = [(1000, 1000 + i) for i in range(1, 200)]
