@@ -1,15 +1,19 @@
 """End-to-end runs: incremental vs full, late rows, run log."""
 import datetime as dt
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
-from conftest import RUN_TS
+from conftest import HEADER, RUN_TS, SAMPLE_ROWS
 from verdant import contract as K
 from verdant.functions import parse_timestamp
 from verdant.operators import hwm as H
 from verdant.operators import upsert as UP
+from verdant.operators.upsert import read_table
 from verdant.plans import pipeline as P
 from verdant.sources.fixtures import raw_readings
+from verdant.sources.grid import read_grid
 
 SF = "/root/testdata/sf0.001"
 
@@ -89,3 +93,43 @@ def test_crash_after_commit_is_recovered_by_rerun(spark, scratch, monkeypatch):
     assert r.rows_updated == 976 and r.rows_inserted == 0
     assert _table(spark, t) == first
     assert H.read_hwm(spark, s) == dt.datetime(2024, 1, 30, 23, 26, 16)
+
+
+def _of(src, name, rows):
+    path = os.path.join(src.removeprefix("file:"), name)
+    os.makedirs(path)
+    with open(os.path.join(path, "a.csv"), "w") as f:
+        f.writelines(",".join(r) + "\n" for r in [HEADER, *rows])
+    return path
+
+
+def test_file_with_a_stored_reject_still_gives_its_late_rows(spark, scratch):
+    src, t, s, rej = (scratch(n) for n in ("src", "fact", "hwm", "rej"))
+    newest, late, bad = list(SAMPLE_ROWS[2]), list(SAMPLE_ROWS[0]), ["never", *SAMPLE_ROWS[0][1:]]
+    other, huge = list(SAMPLE_ROWS[1]), list(SAMPLE_ROWS[1])
+    huge[5] = "12345678901"
+    P.run(spark, read_grid(spark, _of(src, "1", [newest])), t, s, rejects_path=rej, run_ts=RUN_TS)
+    path = _of(src, "2", [late, bad, other, huge])
+    r = P.run(spark, read_grid(spark, path), t, s, rejects_path=rej, run_ts=RUN_TS)   # strict mark: late rows skipped
+    assert (r.rows_extracted, r.rows_rejected, r.rows_loaded) == (1, 1, 0)
+    kw = dict(rejects_path=rej, run_ts=RUN_TS, overlap="60 days")
+    r = P.run(spark, read_grid(spark, path), t, s, **kw)
+    assert (r.rows_extracted, r.rows_rejected, r.rows_loaded) == (3, 1, 2)           # the bad row isn't new
+    r = P.run(spark, read_grid(spark, path), t, s, **kw)
+    assert (r.rows_rejected, r.rows_inserted) == (0, 0)
+    assert read_table(spark, t).count() == 3
+    assert sorted(x.reject_reason for x in spark.read.parquet(rej).collect()) == ["bad_timestamp", "number_overflow"]
+
+
+def test_a_run_that_dies_before_the_upsert_is_repeated_in_full(spark, scratch, monkeypatch):
+    src, t, s, rej = (scratch(n) for n in ("src", "fact", "hwm", "rej"))
+    P.run(spark, read_grid(spark, _of(src, "1", [SAMPLE_ROWS[2]])), t, s, rejects_path=rej, run_ts=RUN_TS)
+    path = _of(src, "2", [SAMPLE_ROWS[0], ["never", *SAMPLE_ROWS[0][1:]]])
+    kw = dict(rejects_path=rej, run_ts=RUN_TS, overlap="60 days")
+    with monkeypatch.context() as m:
+        m.setattr(P, "stage_and_upsert", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            P.run(spark, read_grid(spark, path), t, s, **kw)
+    r = P.run(spark, read_grid(spark, path), t, s, **kw)
+    assert (r.rows_loaded, r.rows_rejected) == (1, 0)
+    assert read_table(spark, t).count() == 2 and spark.read.parquet(rej).count() == 1

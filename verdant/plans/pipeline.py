@@ -33,6 +33,7 @@ from pyspark.sql import types as T
 from .. import contract as K
 from ..operators import clean as CL
 from ..operators import hwm as H
+from ..functions.text import _ident
 from ..operators.upsert import finish_pending, read_table, upsert
 from ..session import configure, drop_dir, fresh_dir, is_missing, path_exists
 
@@ -165,27 +166,31 @@ def stored_rejects(spark: SparkSession, rejects_path: str) -> DataFrame | None:
         raise
 
 
-def _source(row_no: str, kind: T.DataType) -> str:
-    """SQL: what tells where a row is from; for file rows the file as it was read.
-
-    A position within a file isn't the same in another run (files are packed into
-    tasks anew), the file and its time of change are; all bad rows of a file are
-    stored by one append."""
-    return f"struct({row_no}.modified, {row_no}.file)" if isinstance(kind, T.StructType) else row_no
-
-
-def without_known(batch: DataFrame, known: DataFrame | None,
+def without_known(rejects: DataFrame, known: DataFrame | None,
                   watermark: dt.datetime | None) -> DataFrame:
-    """The batch without rows whose rejection is stored: they were read, and
-    stored or refused, by an earlier run.  Newer rows than the mark stay."""
+    """The rejected rows without those whose rejection is stored by an earlier run.
+
+    Only rejected rows are compared: a valid row that is read again goes to the keyed
+    upsert, whatever else of its file was refused.  A row of a frame is known by its
+    ordinal, if it is not newer than the mark.  A row of a file has another position in
+    each run (files are packed into tasks anew), so it is known by its file, the file's
+    time of change, the reason and all that was read of it."""
     if known is None or K.ROW_NO not in known.columns:
-        return batch
-    kind = batch.schema[K.ROW_NO].dataType
+        return rejects
+    kind = rejects.schema[K.ROW_NO].dataType
     if known.schema[K.ROW_NO].dataType != kind:
-        return batch
-    seen = known.selectExpr(f"{_source(K.ROW_NO, kind)} AS _seen").distinct()
-    old = "timestamp IS NULL" + (f" OR timestamp <= TIMESTAMP_NTZ '{watermark}'" if watermark else "")
-    rows = batch.selectExpr("*", f"CASE WHEN {old} THEN {_source(K.ROW_NO, kind)} END AS _from")
+        return rejects
+    if isinstance(kind, T.StructType):
+        types = {f.name: f.dataType for f in known.schema.fields}
+        content = ", ".join(_ident(f.name) for f in rejects.schema.fields
+                            if f.name != K.ROW_NO and types.get(f.name) == f.dataType)
+        row = f"struct({K.ROW_NO}.modified, {K.ROW_NO}.file, {content})"
+        own = row
+    else:
+        old = "timestamp IS NULL" + (f" OR timestamp <= TIMESTAMP_NTZ '{watermark}'" if watermark else "")
+        row, own = K.ROW_NO, f"CASE WHEN {old} THEN {K.ROW_NO} END"
+    seen = known.selectExpr(f"{row} AS _seen").distinct()
+    rows = rejects.selectExpr("*", f"{own} AS _from")
     return rows.join(seen, rows["_from"] == seen["_seen"], "left_anti").drop("_from")
 
 
@@ -209,7 +214,6 @@ def run(spark: SparkSession, raw: DataFrame, target_path: str, state_path: str,
         log.info("mark before the run: %s", res.watermark_before or "none, so all rows")
         batch = extract_typed(CL.typed(raw, formats, parse_partitions), res.watermark_before, overlap)
         if rejects_path:
-            batch = without_known(batch, stored_rejects(spark, rejects_path), res.watermark_before)
             typed_stage = fresh_dir(spark, "typed")
             batch = stage_at(batch, typed_stage, partition=False)
         process(spark, batch, res, target_path, rejects_path, max_future)
@@ -235,14 +239,21 @@ def process(spark: SparkSession, batch: DataFrame, res: RunResult, target_path:
     """Store a typed batch's rejects and upsert its clean rows; fills in ``res``.
     With ``rejects_path`` the batch is read more than once: stage it first."""
     ts_txt = res.started_at.isoformat(sep=" ")
+    refused = Observation("refused")
     if rejects_path:
-        (CL.rejects_typed(batch, max_future, ts_txt).withColumn("run_id", F.lit(res.run_id))
+        fresh = without_known(CL.rejects_typed(batch, max_future, ts_txt), stored_rejects(spark, rejects_path),
+                              res.watermark_before)
+        (fresh.withColumn("run_id", F.lit(res.run_id)).observe(refused, F.count(F.lit(1)).alias("n"))
          .write.mode("append").parquet(rejects_path))
     counted = Observation("extracted")
     observed = batch.observe(counted, F.count(F.lit(1)).alias("n"))
     n_clean, up = stage_and_upsert(spark, CL.clean_typed(observed, ts_txt, max_future), target_path)
-    res.rows_extracted = int(counted.get.get("n") or 0)
-    res.rows_rejected = res.rows_extracted - n_clean
+    if rejects_path:  # rejects that an earlier run stored are not counted again
+        res.rows_rejected = int(refused.get.get("n") or 0)
+        res.rows_extracted = n_clean + res.rows_rejected
+    else:
+        res.rows_extracted = int(counted.get.get("n") or 0)
+        res.rows_rejected = res.rows_extracted - n_clean
     if up is None:
         log.info("the batch holds no new readings")
         return

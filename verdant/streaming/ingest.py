@@ -73,8 +73,6 @@ def process_batch(target_path: str, names: Sequence[str], width: int, run_ts: st
         try:
             rows = CL.typed(_by_header(batch, names, width), formats)
             rows = P.stage_at(rows, stage, partition=False)
-            if rejects_path:
-                rows = P.without_known(rows, P.stored_rejects(spark, rejects_path), None)
             P.process(spark, rows, res, target_path, rejects_path, max_future)
             newest = res.new_watermark
             if state_path and newest is not None:
