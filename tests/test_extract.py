@@ -1,4 +1,7 @@
 """Grid sources; the first four mirror the source system's extract tests."""
+import json
+import os
+
 from pyspark.sql import functions as F
 
 from conftest import HEADER, RUN_TS, SAMPLE_ROWS
@@ -82,3 +85,23 @@ def test_json_records_keep_text_types(spark, scratch, grid):
     back = J.read_records(spark, p, K.TARGET_SCHEMA)
     assert sorted(back.collect()) == sorted(clean.collect())
     assert {r.reading_time for r in back.collect()} == {"02:28", "16:04"}
+
+
+def test_surplus_of_any_length_is_kept(spark, scratch):
+    path = scratch("g").removeprefix("file:")
+    base = SAMPLE_ROWS[0]
+    extras = {"none": [], "empty": [""] * 40, "one": ["s"], "late": [""] * 16 + ["seventeenth"],
+              "forty": [f"c{i}" for i in range(40)], "quoted": ['"a,b"', "", '"x ""y"""'] + ["z"] * 30,
+              "wide": [""] * 3000 + ["end"]}
+    lines = [",".join([base[0], name, *base[2:], *cells]) for name, cells in extras.items()]
+    os.makedirs(path)
+    with open(os.path.join(path, "a.csv"), "w") as f:
+        f.write("\n".join([",".join(HEADER), *lines, ",".join(base[:3])]) + "\n")
+    got = {r["Plant Name"]: r[G.EXTRA_COL] for r in G.read_grid(spark, path).collect()}
+    assert got.pop("Plant 1") is None and got.pop("none") is None and got.pop("empty") is None
+    got = {k: json.loads(v) for k, v in got.items()}
+    assert got.pop("quoted")[0] == "a,b"
+    assert got == {"one": ["s"], "late": ["seventeenth"], "forty": extras["forty"], "wide": ["end"]}
+    assert G.overlong_rows(G.read_grid(spark, path)).count() == 5
+    rows = G.overlong_rows(G.read_grid(spark, path, multi_line=True)).select("Plant Name").collect()
+    assert sorted(r[0] for r in rows) == ["forty", "late", "one", "quoted", "wide"]

@@ -61,6 +61,19 @@ def test_stream_keeps_rejects_maps_headers_and_goes_on_from_its_own_checkpoint(s
     assert spark.read.parquet(rej).count() == 2 and S.P.read_run_log(spark, log).count() == len(runs)
 
 
+def test_stream_refuses_overlong_rows_of_a_wide_file(spark, scratch):
+    """A file with 20 further columns: its own width counts, not that of the names."""
+    src, target, rej = (scratch(n) for n in ("landing", "fact", "rejects"))
+    more = [f"More {i}" for i in range(20)]
+    rows = [SAMPLE_ROWS[0] + ["m"] * 20, SAMPLE_ROWS[1] + ["m"] * 20 + [""] * 17 + ["surplus"]]
+    lines = [",".join([*HEADER, *more])] + [",".join(r) for r in rows]
+    spark.createDataFrame([(l,) for l in lines], "value string").coalesce(1).write.text(os.path.join(src, "b 1"))
+    S.ingest_available(spark, src, target, run_ts=RUN_TS, rejects_path=rej)
+    assert [r.plant_name for r in UP.read_table(spark, target).collect()] == ["Plant 1"]
+    assert [(r.reject_reason, r._extra) for r in spark.read.parquet(rej).collect()] == [
+        (S.K.TOO_MANY_CELLS, '["surplus"]')]
+
+
 def test_processing_time_trigger(spark, scratch):
     import datetime as dt
     from verdant.operators import hwm as H

@@ -30,7 +30,10 @@ from .. import contract as K
 from ..contract import EXTRA_COL
 from ..session import is_missing
 
-SPARE_CELLS = 16     # cells past the header that a row may have and still be kept whole in _extra
+RAW_COL = "_raw"     # the whole line of a row whose number of cells isn't its header's
+SPARE_CELLS = 16     # cells past the names in the stream's own rows, which only tell the files of a batch
+# one cell of a line with a comma in front: quoted (a quote inside is escaped, or not followed by a comma), or bare
+_CELL = r',("[^"\\]*+(?:(?s:\\.|"(?!,|\z))[^"\\]*+)*+"|[^,]*)'
 _CSV_READ = {"header": "true", "mode": "PERMISSIVE", "multiLine": "false",
              "recursiveFileLookup": "true",
              "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
@@ -93,7 +96,7 @@ def ordinal(meta: str = "_metadata") -> Column:
                     F.monotonically_increasing_id().alias("row"))
 
 
-def named(cells: DataFrame, own: Sequence[str], names: Sequence[str], width: int,
+def named(cells: DataFrame, own: Sequence[str], names: Sequence[str],
           keep: Sequence[str | Column]) -> DataFrame:
     """Cells by position -> the columns ``names`` by name, and ``_extra``.
 
@@ -102,9 +105,22 @@ def named(cells: DataFrame, own: Sequence[str], names: Sequence[str], width: int
     at = {n: i for i, n in reversed(list(enumerate(own)))}
     cols = [F.coalesce(F.col(f"_cell{at[n]}"), F.lit("")).alias(n) if n in at
             else F.lit(None).cast("string").alias(n) for n in names]
-    spare = [F.col(c) for c in _cells(width)[len(own):]]
-    extra = F.when(F.coalesce(*spare).isNotNull(), F.to_json(F.array_compact(F.array(*spare)))) if spare else F.lit(None)
-    return cells.select(*keep, *cols, extra.cast("string").alias(EXTRA_COL))
+    return cells.select(*keep, *cols, surplus(len(own)).alias(EXTRA_COL))
+
+
+def surplus(own: int) -> Column:
+    """The non-empty cells past the first ``own`` of a line (JSON array), NULL if there are none.
+    However many they are: they are cut from the line, not read into columns."""
+    raw = F.col(RAW_COL)
+    commas = F.length(raw) - F.length(F.replace(raw, F.lit(",")))
+    every = F.regexp_extract_all(F.concat(F.lit(","), raw), F.lit(_CELL), F.lit(1))
+    past = F.filter(F.slice(every, F.lit(own + 1), F.size(every)), lambda x: x != "")
+    bare = F.transform(past, lambda x: F.when(
+        (F.length(x) > 1) & x.startswith('"') & x.endswith('"'),
+        F.replace(x.substr(F.lit(2), F.length(x) - 2), F.lit('\\"'), F.lit('"'))).otherwise(x))
+    # the first cell is named for the reader, which refuses queries for the raw line alone
+    long = (F.length(F.coalesce(F.col("_cell0"), F.lit(""))) >= 0) & (commas >= own)
+    return F.when(long & (F.size(past) > 0), F.to_json(bare))
 
 
 def read_grid(spark: SparkSession, path: str, names: Sequence[str] | None = None,
@@ -122,15 +138,22 @@ def read_grid(spark: SparkSession, path: str, names: Sequence[str] | None = None
         schema = T.StructType([K.RAW_SCHEMA[K.ROW_NO], *[T.StructField(n, T.StringType()) for n in names or K.RAW_COLUMNS],
                                T.StructField(EXTRA_COL, T.StringType())])
         return spark.createDataFrame([], schema)
+    return read_files(spark, files, names, multi_line)
+
+
+def read_files(spark: SparkSession, files: Sequence[GridFile], names: Sequence[str],
+               multi_line: bool = False) -> DataFrame:
+    """The rows of ``files`` (one at least, with headers), each file read with its own header's width."""
     groups: dict[tuple[str, ...], list[str]] = {}
     for f in files:
         groups.setdefault(f.names, []).append(f.path)
     out = None
     for own, paths in groups.items():
-        width = len(own) + SPARE_CELLS
+        schema = ", ".join(f"{c} string" for c in [*_cells(len(own)), RAW_COL])
         cells = (spark.read.options(**_read_options(multi_line)).option("enforceSchema", "true")
-                 .schema(", ".join(f"{c} string" for c in _cells(width))).csv(paths))
-        part = named(cells, own, names, width, [ordinal().alias(K.ROW_NO)])
+                 # a pruned read would not see that a row is too long
+                 .option("columnPruning", "false").option("columnNameOfCorruptRecord", RAW_COL).schema(schema).csv(paths))
+        part = named(cells, own, names, [ordinal().alias(K.ROW_NO)])
         out = part if out is None else out.unionByName(part)
     return out
 

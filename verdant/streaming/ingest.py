@@ -19,6 +19,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,12 +30,12 @@ from ..operators import clean as CL
 from ..operators import hwm as H
 from ..plans import pipeline as P
 from ..session import configure, drop_dir, fresh_dir
-from ..sources.grid import _CSV_READ, SPARE_CELLS, _cells, header, named
+from ..sources.grid import _CSV_READ, RAW_COL, SPARE_CELLS, GridFile, _cells, named, read_files, with_headers
 
 
 def grid_stream(spark: SparkSession, source_dir: str, width: int,
                 max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming grid cells by position, with their place (named per batch and file)."""
+    """Streaming grid cells by position, with their place; a batch re-reads its files (``_by_header``)."""
     r = spark.readStream.options(**_CSV_READ).schema(", ".join(f"{c} string" for c in _cells(width)))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -44,18 +45,19 @@ def grid_stream(spark: SparkSession, source_dir: str, width: int,
                      F.col("_metadata.file_block_start").alias("_block"), *_cells(width))
 
 
-def _by_header(batch: DataFrame, names: Sequence[str], width: int) -> DataFrame:
-    """Cells -> columns by name, each file by its own header (one header per file is read)."""
-    place = F.struct(F.col("_modified").alias("modified"), F.col("_file").alias("file"),
-                     F.col("_block").alias("block"), F.monotonically_increasing_id().alias("row"))
-    batch = batch.withColumn(K.ROW_NO, place)
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for r in batch.select("_file").distinct().collect():  # the files of one micro-batch
-        groups.setdefault(tuple(header(batch.sparkSession, r._file) or names), []).append(r._file)
-    out = named(batch.limit(0), names, names, width, [K.ROW_NO])
-    for own, files in groups.items():
-        out = out.unionByName(named(batch.where(F.col("_file").isin(files)), own, names, width, [K.ROW_NO]))
-    return out
+def _by_header(batch: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The rows of the batch's files, each file read by its own header and with its width.
+
+    The stream says which files are new; its own cells have one width for all files."""
+    spark = batch.sparkSession
+    found = batch.select("_file", "_modified").distinct().collect()  # the files of one micro-batch
+    files = with_headers(spark, [GridFile(unquote(r._file), r._modified) for r in found])
+    if not files:
+        place = F.struct(F.col("_modified").alias("modified"), F.col("_file").alias("file"),
+                         F.col("_block").alias("block"), F.monotonically_increasing_id().alias("row"))
+        none = batch.limit(0).withColumn(K.ROW_NO, place).withColumn(RAW_COL, F.lit(None).cast("string"))
+        return named(none, names, names, [K.ROW_NO])
+    return read_files(spark, files, names)
 
 
 def process_batch(target_path: str, names: Sequence[str], width: int, run_ts: str | None = None,
@@ -71,7 +73,7 @@ def process_batch(target_path: str, names: Sequence[str], width: int, run_ts: st
             P.append_run_log(spark, run_log_path, res)
         stage = fresh_dir(spark, "typed")
         try:
-            rows = CL.typed(_by_header(batch, names, width), formats)
+            rows = CL.typed(_by_header(batch, names), formats)
             rows = P.stage_at(rows, stage, partition=False)
             P.process(spark, rows, res, target_path, rejects_path, max_future)
             newest = res.new_watermark
