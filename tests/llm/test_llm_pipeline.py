@@ -48,5 +48,5 @@ def test_stages_one_after_the_other(spark):
 def test_every_operator_is_registered():
     names = set(E.queries())
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([x for x in names if x.startswith(f"op{n}_")]) == 1

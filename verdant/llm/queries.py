@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdant.llm import (bpe, chat, decontaminate, html_tree, kd_topk, langid, line_dedup, ngram_join, quality_crf,
-                         wacz)
+from verdant.llm import (bpe, chat, decontaminate, html_tree, kd_topk, langid, line_dedup, ngram_join, periodic_runs,
+                         quality_crf, quality_rules, spelling_variants, wacz)
 from verdant.llm.common import fold_bucket, table
 
 QUALITY_AT = 0.3   # a document is kept from this score on
@@ -181,6 +184,78 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_components(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words, form and root of every word of the documents' vocabulary."""
+    return spelling_variants.variant_groups(table(spark, sf_dir, "documents"))
+
+
+def _planted(doc_id: int | None, n: int) -> np.ndarray | None:
+    """The order in which the contract reads n words: one text in ten repeats a stretch of itself."""
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10:
+        return None
+    g = h // 10
+    a = g % n
+    return np.r_[np.arange(a), a + np.arange(n - a) % (1 + (n - a) // (3 + g % 8))]
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, and its text without the repeats."""
+    found = periodic_runs.find_runs(table(spark, sf_dir, "documents"), reading=_planted)
+    rows = found.select("id", "runs", "collapsed", periodic_runs.longest("runs").alias("best"))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    text = F.array_join(F.transform(lines, lambda s: F.concat(s, F.lit("\n"))), "")
+    return rows.select(
+        F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"),
+        "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(text, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and the rules' verdict of every document."""
+    out = quality_rules.judged(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def _rules_sql() -> str:
+    """The threshold table as SQL: true where any rule is broken."""
+    parts = []
+    for r in quality_rules.RULES:
+        bounds = [f"1000 * {r.part} < {r.least} * {r.whole}" if r.least is not None else "",
+                  f"1000 * {r.part} > {r.most} * {r.whole}" if r.most is not None else ""]
+        parts.append(f"({r.whole} > 0 AND ({' OR '.join(b for b in bounds if b)}))")
+    return " OR ".join(parts)
+
+
+_STOP_SQL = ", ".join(f"'{w}'" for s in quality_rules.STOP_WORDS for w in (s, s.capitalize()))
+OP13_SQL = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda s: regexp_matches(s, '[^\x20\x09-\x0D]')) AS ls FROM documents),
+win AS (
+  SELECT doc_id, s, ws[s] || ' ' || ws[s + 1] || ' ' || ws[s + 2] AS w FROM (
+    SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 2)) AS s FROM d)),
+rep AS (
+  SELECT doc_id, count(DISTINCT p)::BIGINT AS n FROM (
+    SELECT doc_id, unnest([s, s + 1, s + 2]) AS p FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, w) AS c FROM win) WHERE c > 1)
+  GROUP BY 1),
+m AS (
+  SELECT doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+    (length(t) - length(regexp_replace(t, '{quality_rules.SYMBOL}', '', 'g')))::BIGINT AS n_symbols,
+    (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+    length(t) - length(regexp_replace(t, '{quality_rules.MARK}', '', 'g')) AS n_marks,
+    length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS n_capitals,
+    len(list_filter(ws, lambda w: w IN ({_STOP_SQL}))) AS n_stop_words, len(ls) AS n_lines,
+    len(list_filter(ls, lambda s: regexp_matches(s, '^[\x20\t]*[-*•‣·][\x20\t]'))) AS n_bullets,
+    len(list_filter(ls, lambda s: regexp_matches(s, '(\.\.\.|…)[\x20\x09-\x0D]*\z'))) AS n_ellipses
+  FROM d LEFT JOIN rep USING (doc_id)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT ({_rules_sql()}) AS kept FROM b
+"""
+
+
 QUERIES = {
     "op1_quality_crf": (op1_quality_crf, None),
     "op2_chat": (op2_chat, OP2_SQL),
@@ -192,4 +267,7 @@ QUERIES = {
     "op8_wacz": (op8_wacz, None),
     "op9_langid": (op9_langid, None),
     "op10_ngram_join": (op10_ngram_join, None),
+    "op11_spelling_variants": (op11_spelling_variants, None),
+    "op12_periodic_runs": (op12_periodic_runs, None),
+    "op13_quality_rules": (op13_quality_rules, OP13_SQL),
 }
