@@ -18,17 +18,21 @@ from .functions import (format_timestamp, iso_timestamp, nan_to_null, parse_numb
 from .operators import clean as CL
 from .operators import hwm as H
 from .operators import quality as DQ
+from .operators import rollup as RU
 from .operators import upsert as UP
 from .oracles import NUM_SOURCE, ALL_NULL_SQL, NUM_RE, RUN_TS, all_null_sql, q, title_sql
 from .plans import metrics as M
 from .plans import pipeline as P
+from .plans import replay as RP
 from .plans import sql as SQ
 from .plans import views as V
 from .session import configure, fresh_dir
 from .sources import grid as G
 from .sources import json_records as J
-from .sources.fixtures import raw_readings, read_table
+from .sources import matrix as MX
+from .sources.fixtures import COPY_MOD, raw_readings, read_table
 from .streaming import ingest as S
+from .streaming import state as ST
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
@@ -53,8 +57,14 @@ def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_readings(spark, sf_dir)
 
 
+def _cores(spark: SparkSession) -> int:
+    """``parse_partitions`` of the registered queries: the raw grid is derived from one small
+    file that Spark reads in one or two tasks, so its rows are dealt over all cores first."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return CL.typed(_raw(spark, sf_dir))
+    return CL.typed(_raw(spark, sf_dir), parse_partitions=_cores(spark))
 
 
 def _clean(spark: SparkSession, sf_dir: str, keep_row_no: bool = False) -> DataFrame:
@@ -208,7 +218,7 @@ select _row_no, reason as {K.REJECT_COL} from (
          end as reason
   from T left join D using (_row_no)) where reason is not null"""))
 def rejects(spark, sf_dir):
-    return CL.rejects(_raw(spark, sf_dir)).select(K.ROW_NO, K.REJECT_COL)
+    return CL.rejects(_raw(spark, sf_dir), parse_partitions=_cores(spark)).select(K.ROW_NO, K.REJECT_COL)
 
 
 @register("rejects_overflow", q(
@@ -457,7 +467,7 @@ def hwm_read(spark, sf_dir):
 @register("full_load", q(_TARGET_SQL))
 def full_load(spark, sf_dir):
     target, state = fresh_dir(spark, "fact"), fresh_dir(spark, "hwm")
-    P.run(spark, _raw(spark, sf_dir), target, state, full=True, run_ts=RUN_TS)
+    P.run(spark, _raw(spark, sf_dir), target, state, full=True, run_ts=RUN_TS, parse_partitions=_cores(spark))
     return UP.read_table(spark, target).select(*K.TARGET_COLUMNS)
 
 
@@ -890,3 +900,184 @@ def null_name_stays_null(spark, sf_dir):
     raw = _raw(spark, sf_dir)
     name = F.when(F.col(K.ROW_NO) % 5 != 0, F.col("Plant Name"))
     return CL.typed(raw.withColumn("Plant Name", name)).select(K.ROW_NO, "plant_name")
+
+
+# -- quarantine and replay -----------------------------------------------------------------
+
+DAY_FIRST = "d.M.yyyy H:mm:ss"
+_DAY_FIRST_ROWS = f"_row_no % 10 = 0 and _row_no % {2 * COPY_MOD} <> 0"
+
+
+def _replayed(spark, sf_dir):
+    """A run that refuses a tenth of the rows (day-first timestamps), then a replay with that layout."""
+    raw = _raw(spark, sf_dir)
+    ts = F.try_to_timestamp("Timestamp", F.lit("yyyy-MM-dd HH:mm:ss"))
+    day_first = F.expr(_DAY_FIRST_ROWS) & ts.isNotNull()
+    raw = raw.withColumn("Timestamp", F.when(day_first, F.date_format(ts, DAY_FIRST)).otherwise(F.col("Timestamp")))
+    target, state, rej = (fresh_dir(spark, n) for n in ("fact", "hwm", "rejects"))
+    P.run(spark, raw, target, state, run_ts=RUN_TS, rejects_path=rej, parse_partitions=_cores(spark))
+    RP.replay(spark, rej, target, [*K.TIMESTAMP_FORMATS, DAY_FIRST], run_ts=RUN_TS)
+    return target, rej
+
+
+@register("rejects_replay", REGISTRY["rejects"][1])
+def rejects_replay(spark, sf_dir):
+    """What stays refused once the missing layout is added."""
+    _, rej = _replayed(spark, sf_dir)
+    return P.stored_rejects(spark, rej).select(K.ROW_NO, K.REJECT_COL)
+
+
+@register("rejects_replay_table", q(_TARGET_SQL))
+def rejects_replay_table(spark, sf_dir):
+    """The fact table after the replay: as if the layout had been known from the start."""
+    target, _ = _replayed(spark, sf_dir)
+    return UP.read_table(spark, target).select(*K.TARGET_COLUMNS)
+
+
+@register("rejects_cells", q(f"""
+select _row_no, "Timestamp" as timestamp_text, "Plant Name" as plant_text from R
+where _row_no in (select _row_no from T where timestamp is null)"""))
+def rejects_cells(spark, sf_dir):
+    """The cells that refused rows were read with, out of the stored rejects."""
+    target, state, rej = (fresh_dir(spark, n) for n in ("fact", "hwm", "rejects"))
+    P.run(spark, _raw(spark, sf_dir), target, state, run_ts=RUN_TS, rejects_path=rej, parse_partitions=_cores(spark))
+    bad = P.stored_rejects(spark, rej).where(F.col(K.REJECT_COL) == K.BAD_TIMESTAMP)
+    return bad.select(K.ROW_NO, J.field(K.CELLS_COL, "Timestamp", T.StringType()).alias("timestamp_text"),
+                      J.field(K.CELLS_COL, "Plant Name", T.StringType()).alias("plant_text"))
+
+
+# -- a mark per plant ------------------------------------------------------------------------
+
+@register("hwm_per_plant", q(
+    f"select * exclude (_row_no) replace (case when plant_name = '{PLANT}' or timestamp <= TIMESTAMP '{CUTOFFS[0]}' "
+    f"then TIMESTAMP '{RUN_TIMES[0]}' else TIMESTAMP '{RUN_TIMES[1]}' end as etl_inserted_at) from C"))
+def hwm_per_plant(spark, sf_dir):
+    """One plant runs ahead of the others in the first run and hides none of their rows in the second."""
+    raw = _raw(spark, sf_dir)
+    ahead = F.trim(F.lower("Plant Name")) == PLANT.lower()
+    first = raw.where(ahead | (parse_timestamp(F.col("Timestamp")) <= _ts_col(CUTOFFS[0])))
+    target, state, marks = (fresh_dir(spark, n) for n in ("fact", "hwm", "marks"))
+    for sheet, run_ts in ((first, RUN_TIMES[0]), (raw, RUN_TIMES[1])):
+        P.run(spark, sheet, target, state, run_ts=run_ts, marks_path=marks, parse_partitions=_cores(spark))
+    return UP.read_table(spark, target).select(*K.TARGET_COLUMNS)
+
+
+# -- daily averages from changes ----------------------------------------------------------------
+
+# The second batch revises stored readings: a value goes, one comes, one changes.
+_REVISED = {
+    "moisture_sensor": "case when minute(timestamp) % 3 = 0 then null else moisture_sensor end",
+    "confidence_score_pct": "coalesce(confidence_score_pct, 50)",
+    "temperature": "temperature + 1",
+}
+
+
+def _revised_sql() -> str:
+    cols = ", ".join(f"case when timestamp >= TIMESTAMP '{UPSERT_LO}' then {e} else {c} end as {c}" for c, e in _REVISED.items())
+    return f"(select * replace ({cols}) from C)"
+
+
+@register("daily_averages_incremental", REGISTRY["daily_averages"][1].replace(" from C group by all", f" from {_revised_sql()} group by all"))
+def daily_averages_incremental(spark, sf_dir):
+    """The daily view kept by changes: two upserts, the second one replacing stored readings."""
+    clean = _clean(spark, sf_dir)
+    first = clean.where(F.col("timestamp") < _ts_col(UPSERT_HI))
+    second = clean.where(F.col("timestamp") >= _ts_col(UPSERT_LO)).withColumns({c: F.expr(e) for c, e in _REVISED.items()})
+    target, sums = fresh_dir(spark, "fact"), fresh_dir(spark, "rollup")
+    for batch in (first, second):
+        source, _, dates = P.stage_with_dates(CL.to_target(batch))
+        change = RU.stage_changes(spark, source, target, dates)
+        UP.upsert(spark, source, target, dates)
+        RU.apply_changes(spark, change, sums)
+    return RU.daily_averages(RU.read_rollup(spark, sums))
+
+
+# -- JSON matrices ---------------------------------------------------------------------------------
+
+DOC_ROWS, LONG_MOD, EMPTY_MOD = 4000, 31, 97
+
+
+@register("grid_values_matrix", q("select " + ", ".join([
+    f"case when _row_no % {EMPTY_MOD} <> 0 then _row_no end as _row_no",
+    *[f"""case when _row_no % {EMPTY_MOD} = 0{f' or _row_no % {SHORT_MOD} = 0' if c in K.RAW_COLUMNS[-2:] else ''}
+      then '' else "{c}" end as "{c}\"""" for c in K.RAW_COLUMNS],
+    f"""case when _row_no % {LONG_MOD} = 0 and _row_no % {SHORT_MOD} <> 0 and _row_no % {EMPTY_MOD} <> 0
+      then '["more"]' end as {K.EXTRA_COL}"""]) + " from R"))
+def grid_values_matrix(spark, sf_dir):
+    """Documents of ragged rows: full, short, long and empty ones, the header in the data."""
+    raw, path = _grid_frame(_raw(spark, sf_dir)), fresh_dir(spark, "matrix")
+    full = F.array(*[F.col(f"`{c}`") for c in GRID_CELLS])
+    rid = F.col(K.ROW_NO)
+    row = (F.when(rid % EMPTY_MOD == 0, F.array().cast("array<string>"))
+           .when(rid % SHORT_MOD == 0, F.slice(full, 1, len(GRID_CELLS) - 2))
+           .when(rid % LONG_MOD == 0, F.concat(full, F.array(F.lit(""), F.lit("more")))).otherwise(full))
+    MX.write_matrix(raw, path, GRID_CELLS, F.floor(rid / DOC_ROWS), rid, row)
+    g = MX.read_matrix(spark, path, GRID_CELLS)
+    return g.select(F.col("Row").try_cast("long").alias(K.ROW_NO), *K.RAW_COLUMNS, K.EXTRA_COL)
+
+
+# -- streaming state -----------------------------------------------------------------------------------
+
+DELAY = "1 day"
+# Three deliveries: two spans of time, then the rest with all copies, most of them late.
+_STEP_SQL = (f"case when _row_no % 2 = 1 then 3 when timestamp < TIMESTAMP '{STREAM_SPLITS[0]}' then 1 "
+             f"when timestamp < TIMESTAMP '{STREAM_SPLITS[1]}' then 2 else 3 end")
+_STREAM_SQL = f""",
+P as (select *, {_STEP_SQL} as step, date_trunc('day', timestamp) + interval 1 day as day_end from V),
+W as (select max(timestamp) filter (where step < 3) - interval {DELAY} as closed from P),
+L as (select P.* from P, W where not (step = 3 and day_end <= closed)),
+E as (select max(timestamp) - interval {DELAY} as closed from L)
+"""
+
+
+def _stream_q(body: str) -> str:
+    return q("").rstrip() + _STREAM_SQL + body
+
+
+def _deliveries(spark, sf_dir, order=(1, 2, 3)):
+    raw = _grid_frame(_raw(spark, sf_dir))
+    ts = parse_timestamp(F.col("Timestamp"))
+    lo, hi = (_ts_col(s) for s in STREAM_SPLITS)
+    step = F.when(F.col(K.ROW_NO) % 2 == 1, 3).when(ts < lo, 1).when(ts < hi, 2).otherwise(3)
+    return [raw.where(step == k) for k in order]
+
+
+def _fed(spark, sf_dir, delay, after, order=(1, 2, 3)):
+    """Deliver, feed, and run ``after(feed path)``, three times: each is a restart of all streams."""
+    src, feed, rej = (fresh_dir(spark, n) for n in ("landing", "feed", "rejects"))
+    for k, part in enumerate(_deliveries(spark, sf_dir, order)):
+        G.write_grid(part, f"{src}/{k}", GRID_CELLS)
+        ST.finish(ST.start_feed(spark, src, feed, rej, delay, names=GRID_CELLS, ordinal="Row", run_ts=RUN_TS))
+        if after:
+            ST.finish(after(feed))
+    return feed, rej
+
+
+@register("stream_daily_window", _stream_q(
+    "select reading_date, plant_name, count(*) as reading_count, "
+    + ", ".join(f"{_avg_sql(src)} as {out}" for out, src in V.DAILY_AVERAGES.items())
+    + f""" from (select *, cast(timestamp as date) as reading_date from (
+        select *, row_number() over (partition by timestamp, plant_name order by _row_no desc) as rn from L)
+      where rn = 1 and not ({ALL_NULL_SQL})), E where day_end <= closed group by all"""))
+def stream_daily_window(spark, sf_dir):
+    """Daily averages of the days that the watermark has closed, from the state store."""
+    out = fresh_dir(spark, "daily")
+    _fed(spark, sf_dir, DELAY, lambda feed: ST.start_daily_windows(spark, feed, out, DELAY))
+    return spark.read.parquet(out)
+
+
+@register("stream_late_events", _stream_q(
+    f"select _row_no, '{K.LATE_EVENT}' as {K.REJECT_COL} from P, W where step = 3 and day_end <= closed"))
+def stream_late_events(spark, sf_dir):
+    """Rows whose day was closed when they came."""
+    _, rej = _fed(spark, sf_dir, DELAY, None)
+    late = spark.read.parquet(rej).where(F.col(K.REJECT_COL) == K.LATE_EVENT)
+    return late.select(K.ROW_NO, K.REJECT_COL)
+
+
+@register("stream_keep_last", REGISTRY["upsert_last_wins"][1])
+def stream_keep_last(spark, sf_dir):
+    """Keep-last in streaming state: the later rows are delivered first."""
+    target = fresh_dir(spark, "fact")
+    _fed(spark, sf_dir, "3650 days", lambda feed: ST.start_keep_last(spark, feed, target, "3650 days", RUN_TS), order=(3, 1, 2))
+    return UP.read_table(spark, target).select(*K.TARGET_COLUMNS)

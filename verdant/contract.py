@@ -100,6 +100,7 @@ PARTITION_COL = "reading_date"
 AUDIT_COL = "etl_inserted_at"
 REJECT_COL = "reject_reason"
 EXTRA_COL = "_extra"        # surplus cells of an over-long row (JSON text), else NULL
+CELLS_COL = "_cells"        # the row's cells as they were read (JSON by header), for the rejects
 FLAW_COL = "_flaw"          # row-local reason found while parsing cells, else NULL
 
 # Reject reasons, in the order they are tested.
@@ -108,6 +109,7 @@ NULL_PLANT = "null_plant_name"
 TOO_MANY_CELLS = "too_many_cells"
 OVERFLOW = "number_overflow"
 FUTURE_TIMESTAMP = "future_timestamp"
+LATE_EVENT = "late_event"   # its day was closed by the stream's watermark
 DUPLICATE = "duplicate_superseded"
 ALL_NULL = "all_numeric_null"
 
@@ -142,6 +144,14 @@ STATE_SCHEMA = T.StructType([
     T.StructField("updated_at", T.TimestampNTZType(), False),
 ])
 
+# One row per plant and run that stored readings of it.
+MARKS_SCHEMA = T.StructType([
+    T.StructField("pipeline_name", T.StringType(), False),
+    T.StructField("plant_name", T.StringType(), True),
+    T.StructField("last_watermark", T.TimestampNTZType(), True),
+    T.StructField("updated_at", T.TimestampNTZType(), False),
+])
+
 RUN_LOG_SCHEMA = T.StructType([
     T.StructField("pipeline_name", T.StringType(), False),
     T.StructField("run_id", T.StringType(), True),

@@ -84,6 +84,12 @@ def with_row_no(df: DataFrame) -> DataFrame:
     return df
 
 
+def with_cells(raw: DataFrame) -> DataFrame:
+    """Add ``_cells``: the row's text cells by header, as JSON (nothing that was read gets lost)."""
+    return raw.withColumn(K.CELLS_COL, F.to_json(F.struct(*[
+        F.col(_ident(c)) for c in raw.columns if c not in (K.ROW_NO, K.CELLS_COL)])))
+
+
 def typed(raw: DataFrame, formats: Sequence[str] = K.TIMESTAMP_FORMATS,
           parse_partitions: int | None = None) -> DataFrame:
     """Rename and parse every contract column.
@@ -262,12 +268,13 @@ def rejects_typed(t: DataFrame, max_future: str | None = None,
 
 
 def rejects(raw: DataFrame, formats: Sequence[str] = K.TIMESTAMP_FORMATS,
-            max_future: str | None = None, run_ts: str | None = None) -> DataFrame:
+            max_future: str | None = None, run_ts: str | None = None,
+            parse_partitions: int | None = None) -> DataFrame:
     """Rows that do not reach the fact table, with the reason.
 
     The typed rows are staged in the shared scratch folder: the outputs below
     then share one parse."""
-    t = typed(raw, formats)
+    t = typed(raw, formats, parse_partitions)
     path = fresh_dir(t.sparkSession, "typed")
     t.write.parquet(path)
     return rejects_typed(t.sparkSession.read.schema(t.schema).parquet(path), max_future, run_ts)

@@ -79,3 +79,46 @@ def since_filter(watermark: dt.datetime | str | None, overlap: str | None = None
     # towards the scan it inlines the parse expression, so a second
     # reference (``ts IS NULL OR ts > wm``) would parse every cell twice.
     return F.coalesce(F.col("timestamp") > wm, F.lit(True))
+
+
+# -- a mark per plant ------------------------------------------------------------
+
+def marks_log(spark: SparkSession, marks_path: str) -> DataFrame:
+    """Every mark of every plant that was ever recorded (append-only, as the single mark's log)."""
+    none = spark.createDataFrame([], K.MARKS_SCHEMA)
+    if path_exists(spark, marks_path) is False:
+        return none
+    try:
+        return spark.read.schema(K.MARKS_SCHEMA).parquet(marks_path)
+    except AnalysisException as e:
+        if not is_missing(e):
+            raise
+        return none
+
+
+def current_marks(spark: SparkSession, marks_path: str, pipeline: str = K.PIPELINE_NAME) -> DataFrame:
+    """(plant_name, last_watermark): the vector of marks.  Marks never move back, so the
+    greatest is the current one: a two-phase maximum, whatever the log's length."""
+    return (marks_log(spark, marks_path).where(F.col("pipeline_name") == pipeline)
+            .groupBy("plant_name").agg(F.max("last_watermark").alias("last_watermark")))
+
+
+def newer_than_marks(t: DataFrame, marks: DataFrame, overlap: str | None = None) -> DataFrame:
+    """Typed rows newer than their own plant's mark; rows of plants without one, and rows
+    without a plant or a timestamp (they go to the rejects), are kept.
+
+    The vector meets the batch in a join by plant: Spark broadcasts it while it is small
+    and splits a hot plant's side where it is not."""
+    mark = F.col("_mark") - F.expr(f"INTERVAL {overlap}") if overlap else F.col("_mark")
+    joined = t.join(marks.select("plant_name", F.col("last_watermark").alias("_mark")), "plant_name", "left")
+    return joined.where(F.coalesce(F.col("timestamp") > mark, F.lit(True))).select(*t.columns)
+
+
+def update_marks(spark: SparkSession, marks_path: str, clean: DataFrame, pipeline: str = K.PIPELINE_NAME,
+                 updated_at: dt.datetime | None = None) -> None:
+    """Record the newest timestamp of each plant of a clean batch (after its rows are stored)."""
+    now = updated_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
+    newest = clean.groupBy("plant_name").agg(F.max("timestamp").alias("last_watermark"))
+    (newest.select(F.lit(pipeline).alias("pipeline_name"), "plant_name", "last_watermark",
+                   F.lit(now).cast(T.TimestampNTZType()).alias("updated_at"))
+     .write.mode("append").parquet(marks_path))

@@ -62,6 +62,10 @@ def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
 
 
+def error_text(exc: Exception) -> str:
+    return "".join(traceback.format_exception_only(type(exc), exc)).strip()
+
+
 def _ts(v: str | dt.datetime | None) -> dt.datetime | None:
     if v is None or isinstance(v, dt.datetime):
         return v
@@ -183,7 +187,7 @@ def without_known(rejects: DataFrame, known: DataFrame | None,
     if isinstance(kind, T.StructType):
         types = {f.name: f.dataType for f in known.schema.fields}
         content = ", ".join(_ident(f.name) for f in rejects.schema.fields
-                            if f.name != K.ROW_NO and types.get(f.name) == f.dataType)
+                            if f.name not in (K.ROW_NO, K.CELLS_COL) and types.get(f.name) == f.dataType)
         row = f"struct({K.ROW_NO}.modified, {K.ROW_NO}.file, {content})"
         own = row
     else:
@@ -200,8 +204,13 @@ def run(spark: SparkSession, raw: DataFrame, target_path: str, state_path: str,
         run_ts: str | dt.datetime | None = None, overlap: str | None = None,
         max_future: str | None = None,
         formats: Sequence[str] = K.TIMESTAMP_FORMATS,
-        run_id: str | None = None, parse_partitions: int | None = None) -> RunResult:
-    """Run the pipeline once; returns the run's figures."""
+        run_id: str | None = None, parse_partitions: int | None = None,
+        marks_path: str | None = None) -> RunResult:
+    """Run the pipeline once; returns the run's figures.
+
+    With ``marks_path`` the new rows are those after their own plant's mark
+    (``operators.hwm``), so a plant whose clock is ahead hides no other plant's rows;
+    the single mark is still recorded."""
     configure(spark)
     started = _ts(run_ts) or _now()
     res = RunResult(pipeline, run_id or uuid.uuid4().hex, started)
@@ -210,20 +219,25 @@ def run(spark: SparkSession, raw: DataFrame, target_path: str, state_path: str,
         append_run_log(spark, run_log_path, res)          # status RUNNING (the default)
     try:
         stored = H.read_hwm(spark, state_path, pipeline)
-        res.watermark_before = None if full else stored
+        res.watermark_before = None if full or marks_path else stored
         log.info("mark before the run: %s", res.watermark_before or "none, so all rows")
+        raw = CL.with_cells(raw) if rejects_path else raw
         batch = extract_typed(CL.typed(raw, formats, parse_partitions), res.watermark_before, overlap)
-        if rejects_path:
+        if marks_path:
+            batch = H.newer_than_marks(batch, H.current_marks(spark, marks_path, pipeline), overlap)
+        if rejects_path or marks_path:
             typed_stage = fresh_dir(spark, "typed")
             batch = stage_at(batch, typed_stage, partition=False)
         process(spark, batch, res, target_path, rejects_path, max_future)
+        if marks_path and res.rows_loaded:
+            H.update_marks(spark, marks_path, CL.clean_typed(batch, started.isoformat(sep=" "), max_future), pipeline,
+                           _ts(run_ts) or _now())
         newest = res.new_watermark
         if newest is not None and (full or stored is None or newest > stored):
             H.update_hwm(spark, state_path, newest, pipeline, updated_at=_ts(run_ts) or _now())
         res.status = "SUCCESS"
     except Exception as exc:
-        res.status, res.error_message = "FAILED", "".join(
-            traceback.format_exception_only(type(exc), exc)).strip()
+        res.status, res.error_message = "FAILED", error_text(exc)
         raise
     finally:
         if typed_stage:

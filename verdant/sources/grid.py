@@ -11,12 +11,14 @@ name; a column that a file lacks is NULL.  Each row gets an input ordinal
 ``_row_no`` = (time of change, file, split start, position), so "later in the
 source" is well defined for keep-last deduplication without any global sort.
 Files are read in parallel splits; the driver sees the list of files and one
-header per file.
+header line per file.
 """
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
+import io
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -31,7 +33,6 @@ from ..contract import EXTRA_COL
 from ..session import is_missing
 
 RAW_COL = "_raw"     # the whole line of a row whose number of cells isn't its header's
-SPARE_CELLS = 16     # cells past the names in the stream's own rows, which only tell the files of a batch
 # one cell of a line with a comma in front: quoted (a quote inside is escaped, or not followed by a comma), or bare
 _CELL = r',("[^"\\]*+(?:(?s:\\.|"(?!,|\z))[^"\\]*+)*+"|[^,]*)'
 _CSV_READ = {"header": "true", "mode": "PERMISSIVE", "multiLine": "false",
@@ -61,18 +62,36 @@ def list_files(spark: SparkSession, path: str) -> list[GridFile]:
 
 
 def header(spark: SparkSession, path: str, multi_line: bool = False) -> list[str] | None:
-    """Header names (trimmed) from the first line at ``path``; None for an empty source."""
+    """Header names (trimmed) of one file, None if it has no line.
+
+    The first line that is not blank is read through the cluster's file system
+    (codecs by the file's extension): no Spark job, and no more of the file."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    stream = place.getFileSystem(conf).open(place)
     try:
-        names = spark.read.options(**_read_options(multi_line)).csv(path).columns
-    except AnalysisException as e:
-        if not is_missing(e) and e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
-            raise
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(place)
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(
+            stream if codec is None else codec.createInputStream(stream), "UTF-8"))
+        text = lines.readLine()
+        while text is not None and not text.removeprefix("\ufeff").strip():
+            text = lines.readLine()
+        while multi_line and text is not None and text.count('"') % 2:  # a quoted name goes on
+            more = lines.readLine()
+            if more is None:
+                break
+            text += "\n" + more
+    finally:
+        stream.close()
+    if text is None:
         return None
+    names = next(csv.reader(io.StringIO(text.removeprefix("\ufeff"), newline=""), doublequote=False, escapechar="\\"))
     return [n.strip() for n in names] or None
 
 
 def with_headers(spark: SparkSession, files: Sequence[GridFile], multi_line: bool = False) -> list[GridFile]:
-    """Each file with the names in its header (its first line, 16 files at a time)."""
+    """Each file with the names in its header (16 files at a time, no Spark job)."""
     def one(f: GridFile) -> GridFile:
         return GridFile(f.path, f.modified, tuple(header(spark, f.path, multi_line) or ()))
 
@@ -134,11 +153,14 @@ def read_grid(spark: SparkSession, path: str, names: Sequence[str] | None = None
     files = [f for f in list_files(spark, path) if modified_after is None or f.modified > modified_after]
     files = with_headers(spark, files, multi_line)
     names = list(names) if names else list(dict.fromkeys(n for f in files for n in f.names))
-    if not files:
-        schema = T.StructType([K.RAW_SCHEMA[K.ROW_NO], *[T.StructField(n, T.StringType()) for n in names or K.RAW_COLUMNS],
-                               T.StructField(EXTRA_COL, T.StringType())])
-        return spark.createDataFrame([], schema)
-    return read_files(spark, files, names, multi_line)
+    return read_files(spark, files, names, multi_line) if files else empty_grid(spark, names or K.RAW_COLUMNS)
+
+
+def empty_grid(spark: SparkSession, names: Sequence[str]) -> DataFrame:
+    """A grid without rows, in the shape of ``read_files``."""
+    place = "struct<modified:timestamp,file:string,block:bigint,row:bigint>"
+    cols = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
+    return spark.createDataFrame([], f"{K.ROW_NO} {place}, {cols}, {EXTRA_COL} string")
 
 
 def read_files(spark: SparkSession, files: Sequence[GridFile], names: Sequence[str],

@@ -1,7 +1,8 @@
 """File-stream ingestion with Structured Streaming.
 
-New grid files landing in a folder are picked up by the file source; each
-micro-batch is mapped by the header of each of its files, typed, split into
+New grid files landing in a folder are picked up by the file source, which only
+lists them; each micro-batch reads their rows once, mapped by the header of each
+of its files, typed, split into
 rejects and clean rows (keep-last inside the batch) and upserted into the
 fact table inside ``foreachBatch``, as a batch run does, with the same rejects
 and run log.  The upsert is keyed and replaces whole partitions, so replaying a
@@ -19,10 +20,8 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Sequence
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import contract as K
@@ -30,37 +29,27 @@ from ..operators import clean as CL
 from ..operators import hwm as H
 from ..plans import pipeline as P
 from ..session import configure, drop_dir, fresh_dir
-from ..sources.grid import _CSV_READ, RAW_COL, SPARE_CELLS, GridFile, _cells, named, read_files, with_headers
+from ..sources.grid import GridFile, empty_grid, read_files, with_headers
 
 
-def grid_stream(spark: SparkSession, source_dir: str, width: int,
-                max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming grid cells by position, with their place; a batch re-reads its files (``_by_header``)."""
-    r = spark.readStream.options(**_CSV_READ).schema(", ".join(f"{c} string" for c in _cells(width)))
+def file_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The stream of new files (path, modificationTime, length); their content is not read here."""
+    r = (spark.readStream.format("binaryFile").option("recursiveFileLookup", "true")
+         .schema("path string, modificationTime timestamp, length long, content binary"))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    df = r.csv(source_dir)
-    return df.select(F.col("_metadata.file_modification_time").alias("_modified"),
-                     F.col("_metadata.file_path").alias("_file"),
-                     F.col("_metadata.file_block_start").alias("_block"), *_cells(width))
+    return r.load(source_dir).select("path", "modificationTime", "length")
 
 
-def _by_header(batch: DataFrame, names: Sequence[str]) -> DataFrame:
-    """The rows of the batch's files, each file read by its own header and with its width.
-
-    The stream says which files are new; its own cells have one width for all files."""
+def batch_rows(batch: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The rows of a batch's files, each file read once, by its own header and with its width."""
     spark = batch.sparkSession
-    found = batch.select("_file", "_modified").distinct().collect()  # the files of one micro-batch
-    files = with_headers(spark, [GridFile(unquote(r._file), r._modified) for r in found])
-    if not files:
-        place = F.struct(F.col("_modified").alias("modified"), F.col("_file").alias("file"),
-                         F.col("_block").alias("block"), F.monotonically_increasing_id().alias("row"))
-        none = batch.limit(0).withColumn(K.ROW_NO, place).withColumn(RAW_COL, F.lit(None).cast("string"))
-        return named(none, names, names, [K.ROW_NO])
-    return read_files(spark, files, names)
+    found = batch.where("length > 0").select("path", "modificationTime").collect()  # the files of one micro-batch
+    files = with_headers(spark, [GridFile(r.path, r.modificationTime) for r in found])
+    return read_files(spark, files, names) if files else empty_grid(spark, names)
 
 
-def process_batch(target_path: str, names: Sequence[str], width: int, run_ts: str | None = None,
+def process_batch(target_path: str, names: Sequence[str], run_ts: str | None = None,
                   max_future: str | None = None, formats: Sequence[str] = K.TIMESTAMP_FORMATS,
                   state_path: str | None = None, rejects_path: str | None = None,
                   run_log_path: str | None = None, pipeline: str = K.PIPELINE_NAME):
@@ -73,7 +62,7 @@ def process_batch(target_path: str, names: Sequence[str], width: int, run_ts: st
             P.append_run_log(spark, run_log_path, res)
         stage = fresh_dir(spark, "typed")
         try:
-            rows = CL.typed(_by_header(batch, names), formats)
+            rows = CL.typed(batch_rows(batch, names), formats)
             rows = P.stage_at(rows, stage, partition=False)
             P.process(spark, rows, res, target_path, rejects_path, max_future)
             newest = res.new_watermark
@@ -85,7 +74,7 @@ def process_batch(target_path: str, names: Sequence[str], width: int, run_ts: st
                     H.update_hwm(spark, state_path, newest, pipeline)
             res.status = "SUCCESS"
         except Exception as exc:
-            res.status, res.error_message = "FAILED", str(exc)[:2000]
+            res.status, res.error_message = "FAILED", P.error_text(exc)
             raise
         finally:
             drop_dir(spark, stage)
@@ -109,9 +98,8 @@ def start_ingest(spark: SparkSession, source_dir: str, target_path: str,
     ``names``: the columns to read, each file maps to them by its own header."""
     configure(spark)
     names = list(names) if names else K.RAW_COLUMNS
-    width = len(names) + SPARE_CELLS
-    w = (grid_stream(spark, source_dir, width, max_files_per_trigger).writeStream
-         .foreachBatch(process_batch(target_path, names, width, run_ts, max_future, formats, state_path,
+    w = (file_stream(spark, source_dir, max_files_per_trigger).writeStream
+         .foreachBatch(process_batch(target_path, names, run_ts, max_future, formats, state_path,
                                      rejects_path, run_log_path))
          .option("checkpointLocation", checkpoint or target_path.rstrip("/") + "__stream"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(
