@@ -107,7 +107,7 @@ def test_variants_many_shards_hot_halves_and_edges(spark, monkeypatch):
     want = brute_variants(texts, 5)
     df = docs_frame(spark, texts)
     assert got_variants(V.variant_groups(df, drop_every=5)) == want
-    for name, value in (("SHARD", 10), ("SPLIT", 4), ("PLACES", 16), ("SEARCHES", 7)):
+    for name, value in (("SHARD", 150), ("SPLIT", 20), ("PLACES", 16), ("SEARCHES", 7)):
         monkeypatch.setattr(V, name, value)
     assert got_variants(V.variant_groups(df, drop_every=5)) == want
     assert V.variant_groups(df.limit(0)).collect() == []
