@@ -4,6 +4,8 @@
                           [--run-log LOG] [--rejects REJ] [--overlap '1 hour']
                           [--max-future '1 day'] [--formats ISO 'd.M.yyyy H:mm' ...]
                           [--multi-line] [--parse-partitions N] [--preview N]
+                          [--changed-only ['1 hour']] [--marks MARKS] [--matrix]
+    python -m verdant replay --table FACT --rejects REJ --formats ISO 'd.M.yyyy H:mm' ...
     python -m verdant stream --grid LANDING --table FACT [--checkpoint CKPT]
                              [--max-files N] [--state HWM] [--run-log LOG]
                              [--rejects REJ] [--formats ...]
@@ -35,6 +37,13 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--multi-line", action="store_true", help="quoted cells may hold line breaks (a file is one task)")
     r.add_argument("--parse-partitions", type=int, help="deal rows over N tasks before parsing (few large files)")
     r.add_argument("--preview", type=int, default=0, help="show N stored rows at the end")
+    r.add_argument("--changed-only", nargs="?", const="1 hour", metavar="OVERLAP",
+                   help="open only files changed since the last successful run in --run-log, less this interval")
+    r.add_argument("--marks", help="table of a mark per plant, used in place of the single mark")
+    r.add_argument("--matrix", action="store_true", help="the grids are JSON matrices of values")
+    rp = sub.add_parser("replay", help="parse refused rows again, with further layouts")
+    rp.add_argument("--table", required=True)
+    rp.add_argument("--rejects", required=True)
     s = sub.add_parser("stream", help="consume new grid files, then stop")
     s.add_argument("--grid", required=True)
     s.add_argument("--table", required=True)
@@ -43,7 +52,7 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--max-files", type=int)
     s.add_argument("--run-log")
     s.add_argument("--rejects")
-    for p in (r, s):
+    for p in (r, rp, s):
         p.add_argument("--formats", nargs="+", help="timestamp layouts, tried in order (ISO: the year-first family)")
         p.add_argument("--cluster", action="store_true", help="settings profile for a large cluster")
     a = ap.parse_args(argv)
@@ -56,16 +65,24 @@ def main(argv: list[str] | None = None) -> int:
     started = time.monotonic()
     if a.cmd == "run":
         from .operators.upsert import read_table
-        from .plans.pipeline import run
+        from .plans.pipeline import changed_since, run
         from .plans.views import preview
         from .sources.grid import read_grid
-        grid = read_grid(spark, a.grid, multi_line=a.multi_line)
+        from .sources.matrix import read_matrix
+        if a.changed_only and not a.run_log:
+            ap.error("--changed-only needs --run-log, which knows the last run")
+        after = changed_since(spark, a.run_log, overlap=a.changed_only) if a.changed_only and not a.full else None
+        grid = (read_matrix(spark, a.grid, modified_after=after) if a.matrix
+                else read_grid(spark, a.grid, modified_after=after, multi_line=a.multi_line))
         res = run(spark, grid, a.table, a.state, run_log_path=a.run_log,
                   rejects_path=a.rejects, full=a.full, overlap=a.overlap,
-                  max_future=a.max_future, formats=formats, parse_partitions=a.parse_partitions)
+                  max_future=a.max_future, formats=formats, parse_partitions=a.parse_partitions, marks_path=a.marks)
         out = {k: str(v) for k, v in vars(res).items()}
         if a.preview and (fact := read_table(spark, a.table)) is not None:
             out["preview"] = [r.asDict() for r in preview(fact, a.preview).collect()]
+    elif a.cmd == "replay":
+        from .plans.replay import replay
+        out = vars(replay(spark, a.rejects, a.table, formats))
     else:
         from .streaming.ingest import ingest_available
         ingest_available(spark, a.grid, a.table, checkpoint=a.checkpoint, formats=formats,

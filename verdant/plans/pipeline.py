@@ -158,6 +158,19 @@ def read_run_log(spark: SparkSession, path: str, history: bool = False) -> DataF
     return log_rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
+def changed_since(spark: SparkSession, run_log_path: str, pipeline: str = K.PIPELINE_NAME,
+                  overlap: str = "1 hour") -> dt.datetime | None:
+    """From when on a file's change matters to the next run: the start of the last run that
+    succeeded, less ``overlap`` (clocks of the writers, uploads that took long); None before one.
+
+    ``read_grid(modified_after=...)`` then opens no other file.  A run's own rows are read
+    again only within the overlap, where the keyed upsert and the mark absorb them."""
+    if path_exists(spark, run_log_path) is False:
+        return None
+    done = read_run_log(spark, run_log_path).where((F.col("pipeline_name") == pipeline) & (F.col("status") == "SUCCESS"))
+    return done.agg((F.max("started_at") - F.expr(f"INTERVAL {overlap}")).alias("t")).first()["t"]
+
+
 def stored_rejects(spark: SparkSession, rejects_path: str) -> DataFrame | None:
     """The reject table, or None before the first reject."""
     if path_exists(spark, rejects_path) is False:

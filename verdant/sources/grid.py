@@ -45,7 +45,7 @@ _CSV_WRITE = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "f
 @dataclass(frozen=True)
 class GridFile:
     path: str
-    modified: dt.datetime
+    modified: dt.datetime    # in UTC
     names: tuple[str, ...] = ()
 
 
@@ -53,12 +53,14 @@ def list_files(spark: SparkSession, path: str) -> list[GridFile]:
     """The non-empty files under ``path`` (a listing: no content is read)."""
     try:
         rows = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-                .where("length > 0").select("path", "modificationTime").collect())
+                .where("length > 0").select("path", F.unix_micros("modificationTime").alias("us")).collect())
     except AnalysisException as e:
         if not is_missing(e):
             raise
         return []
-    return sorted((GridFile(r.path, r.modificationTime) for r in rows), key=lambda f: (f.modified, f.path))
+    epoch = dt.datetime(1970, 1, 1)
+    files = [GridFile(r.path, epoch + dt.timedelta(microseconds=r.us)) for r in rows]
+    return sorted(files, key=lambda f: (f.modified, f.path))
 
 
 def header(spark: SparkSession, path: str, multi_line: bool = False) -> list[str] | None:
@@ -148,7 +150,7 @@ def read_grid(spark: SparkSession, path: str, names: Sequence[str] | None = None
 
     ``names`` fixes the columns (default: all names of all headers, in the order
     of their first file).  ``modified_after`` leaves out files that did not change
-    since.  ``multi_line`` allows line breaks inside quoted cells; a file is then
+    since (a time in UTC).  ``multi_line`` allows line breaks inside quoted cells; a file is then
     read by one task."""
     files = [f for f in list_files(spark, path) if modified_after is None or f.modified > modified_after]
     files = with_headers(spark, files, multi_line)

@@ -35,7 +35,7 @@ def read_documents(spark: SparkSession, path: str, modified_after: dt.datetime |
     docs = docs.select("value", F.col("_metadata.file_modification_time").alias("modified"),
                        F.col("_metadata.file_path").alias("file"))
     if modified_after is not None:
-        docs = docs.where(F.col("modified") > F.lit(modified_after))
+        docs = docs.where(F.col("modified") > F.lit(f"{modified_after}+00:00").cast("timestamp"))
     docs = docs.select("modified", "file", _matrix(F.col("value")).alias("m")).where(F.size("m") > 1)
     names = F.transform(F.get("m", F.lit(0)), lambda c: F.trim(F.coalesce(c, F.lit(""))))
     # the body is a column of its own, so that the rows made of it do not carry the document
