@@ -289,3 +289,45 @@ def test_connected_components_of_a_long_chain_and_a_hub(spark):
     links = spark.createDataFrame(chain + hub + [(7, 7)], "a long, b long")
     got = {r.v: r.c for r in components.components(links).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{1000 + i: 1000 for i in range(200)}}
+
+
+def test_words_hash_alike_wherever_they_stand(monkeypatch):
+    rng = random.Random(4)
+    texts = [None, "", " \t", "É é", "a", "A b\x0bc\x0cd e F"] + [
+        "".join(rng.choice(["x", "Y", "é", "　", "\xa0", " ", "\n", "\t", "\r"]) for _ in range(rng.randint(1, 400))) for _ in range(60)]
+    sets = N.shingle_sets(texts)
+    assert [len(s) for s in sets] == [len(brute_sets(t)) for t in texts]
+    monkeypatch.setattr(N, "SEGMENT", 7)
+    again = N.shingle_sets(texts[::-1])[::-1]
+    assert all(np.array_equal(a, b) and np.array_equal(a, N.shingle_sets([t])[0]) for a, b, t in zip(sets, again, texts))
+    # words differ in order, length and zero bytes
+    words = ["ab", "ba", "a", "aa", "aaa", "\0", "\0\0", "\0a", "a\0"]
+    assert len({int(N.shingle_sets([w])[0][0]) for w in words}) == len(words)
+
+
+def test_form_letters_are_not_asked_by_pair(spark, monkeypatch):
+    """Unlinked texts that share a passage write asks by pool, not k(k-1)/2 of them."""
+    rng = random.Random(5)
+    form = [f"f{i}" for i in range(100)]
+    texts = [(i, " ".join(form + [f"u{i}x{rng.randrange(10 ** 6)}" for _ in range(30)])) for i in range(300)]
+    texts += [(1000 + i, texts[i][1] + " end") for i in range(20)]
+    rows = {}
+    real = N.asked
+
+    def counted(asks, members, known):
+        rows["asks"], rows["members"] = asks.count(), members.count()
+        return real(asks, members, known)
+    monkeypatch.setattr(N, "asked", counted)
+    got = N.join_components(docs_frame(spark, texts)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(texts)
+    assert rows["asks"] <= 10 * len(texts)
+
+
+def test_very_long_texts(spark):
+    rng = random.Random(6)
+    ws = [f"w{rng.randrange(3000)}" for _ in range(200_000)]
+    near = list(ws)
+    near[1000:1100] = ["other"] * 100
+    texts = [(1, " ".join(ws)), (2, " ".join(near)), (3, " ".join(reversed(ws))), (4, "x" * 3_000_000)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in N.join_components(docs_frame(spark, texts)).collect()}
+    assert got[2][1] == 1 and got[3][1] == 3 and got[4] == (1, 4) and got[1][0] == len(brute_sets(texts[0][1]))

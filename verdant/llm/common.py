@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdant.session import fresh_dir
+from verdant.session import drop_dir, fresh_dir
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -25,12 +27,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_FOLDERS: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back: cuts lineage,
     and what lost executors had computed is still there."""
     path = fresh_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _FOLDERS[out] = path
+    return out
+
+
+def forget(*frames: DataFrame) -> None:
+    """Delete the folders of ``stored`` frames that nothing reads any more."""
+    for df in frames:
+        path = _FOLDERS.pop(df, None)
+        if path:
+            drop_dir(df.sparkSession, path)
 
 
 def ascii_lower(c: Column) -> Column:
