@@ -227,3 +227,56 @@ def test_html_null_repeated_empty_and_clashing(spark, html_model):
     got = sorted((str(r.page_id), r.text) for r in H.main_text(df, html_model, ["page_id", "url"]).collect())
     assert got == [("1", ""), ("1", ""), ("None", "Some text here.")]
     assert H.main_text(df.limit(0), html_model, ["page_id"]).count() == 0
+
+
+# -- pages that are not like the given ones -----------------------------------------
+
+ARTICLE = ("The first paragraph of the article says what it is about, in a full sentence.",
+           "A second paragraph goes on with details, numbers and a conclusion of its own.")
+PAGES = {
+    "implied": "<html><head><title>T</title><p>{0}</p><p>{1}</p>",
+    "implied_article": "<html><head><title>T</title><meta charset=utf-8><article><p>{0}</p><p>{1}</p></article>",
+    "button": "<body><article><p>{0}</p><button>Share<p>{1}</p></article></body>",
+    "button_in_p": "<body><article><p>{0} <button>Share</p><p>{1}</p></article><p><button>x</button></p></body>",
+    "svg": "<body><article><p>{0}</p><p>{1}<svg><title>i</title><path d='x'/></svg></p></article></body>",
+}
+NOISE = ["<section id=comments><p>I do not agree with this at all, said a reader.</p></section>",
+         '<div class="advert"><p>Buy our product now, it is cheap and very good.</p></div>',
+         '<div class="newsletter"><p>Sign up and get news in your mail every week.</p></div>',
+         '<div class="related"><p><a href="/x">Another story that you may like</a></p></div>',
+         '<div class="comments"><p>Nice text, thank you for writing it.</p><p>I liked it as well.</p></div>',
+         "<aside><p>A box that stands beside the text of the page.</p></aside>"]
+
+
+@pytest.fixture(scope="module")
+def html_model():
+    from verdant.llm import html_tree as H
+    return H.train(H.labelled_pages())
+
+
+@pytest.mark.parametrize("kind", PAGES)
+def test_pages_with_implied_or_missing_tags(html_model, kind):
+    from verdant.llm import html_tree as H
+    assert H.extract([PAGES[kind].format(*ARTICLE)], html_model) == ["\n\n".join(ARTICLE)]
+
+
+@pytest.mark.parametrize("noise", NOISE)
+def test_noise_inside_the_article(html_model, noise):
+    from verdant.llm import html_tree as H
+    head = "<html><body><nav><a href=/>Home</a></nav><article><h1>A title</h1>"
+    pages = [f"{head}<p>{ARTICLE[0]}</p>{noise}<p>{ARTICLE[1]}</p></article></body></html>",
+             f"{head}<p>{ARTICLE[0]}</p><p>{ARTICLE[1]}</p>{noise}</article><footer>&copy; x</footer></body></html>"]
+    assert H.extract(pages, html_model) == ["\n\n".join(("A title", *ARTICLE))] * 2
+
+
+@pytest.mark.parametrize("page", ["<a" * 20_000, '<p x="' * 20_000, "<p x='\">" * 20_000, "<div>" * 20_000 + "</p>" * 20_000,
+                                  "<ul><li><ul>" + "<blockquote>" * 20_000 + "<li>" * 20_000, "<!--" * 50_000, "<" * 200_000,
+                                  "<table><tr><table>" + "<div>" * 20_000 + "<tr>" * 20_000, "<script>" * 20_000,
+                                  "<button>" * 20_000 + "</button>", "<p>a" * 100_000, "</button>" * 50_000, "<title x='" * 20_000])
+def test_hostile_pages_take_linear_time(page):
+    import time
+
+    from verdant.llm import html_tree as H
+    began = time.monotonic()
+    H.parse(page)
+    assert time.monotonic() - began < 5

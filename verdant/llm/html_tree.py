@@ -11,8 +11,9 @@ The potentials are trained on labelled pages (``labelled_pages``: layouts with
 every block marked), by gradient ascent on the exact likelihood.  Pages of a
 batch form one forest, so a message step is a numpy operation per depth.
 
-Defined results: null and empty pages have no text; markup that never closes
-ends with the page; unknown tags are inline; character references are decoded
+Defined results: null and empty pages have no text; a comment, a raw element or a tag
+that never closes ends with the page, any other element that is dropped with its parent;
+implied head and body tags are understood; unknown tags are inline; character references are decoded
 in text, white space (no-break space included) becomes one space; a page
 without content nodes gives the empty text; repeated rows are read each.
 """
@@ -22,6 +23,7 @@ from __future__ import annotations
 import html as entities
 import random
 import re
+from bisect import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,13 +37,15 @@ from verdant.llm.common import small_batches
 BLOCKS = frozenset("""html body div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption
     blockquote pre article section main header footer nav aside figure figcaption form fieldset legend details summary
     address hgroup menu dialog center label""".split())
-DROPPED = frozenset("script style noscript template iframe svg math canvas object head title textarea select button "
+DROPPED = frozenset("script style noscript template iframe svg math canvas object title textarea select button "
                     "option datalist audio video map".split())
 RAW = frozenset("script style noscript template iframe textarea title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-# An opening tag ends these open elements first.
-ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
-        "th": ("td", "th"), "tbody": ("thead", "tbody", "tr", "td", "th"), "tfoot": ("tbody", "tr", "td", "th")}
+# An opening tag ends these open elements, unless one of the others stands in between.
+ITEMS = BLOCKS - {"li", "dt", "dd", "address", "div", "p"}
+ENDS = {"li": (("li",), ITEMS), "dt": (("dt", "dd"), ITEMS), "dd": (("dt", "dd"), ITEMS),
+        **{t: (("td", "th"), ("table",)) for t in ("td", "th")}, "tr": (("tr", "td", "th"), ("table",)),
+        **{t: (("thead", "tbody", "tfoot", "tr", "td", "th"), ("table",)) for t in ("tbody", "tfoot")}}
 
 # Words of class, id and role that tell a block's part (fixed lists).
 CUES = {
@@ -66,11 +70,12 @@ TAG_OF = {"p": "p", "div": "div", "center": "div", **{f"h{i}": "heading" for i i
           "figcaption": "figure", "form": "form", "fieldset": "form", "legend": "form", "label": "form",
           "dialog": "form", "html": "body", "body": "body"}
 KINDS = (*TAGS, *[f"cue_{k}" for k in CUES], "text_none", "text_short", "text_mid", "text_long", "links_some", "links_most", "sentence",
-         "copyright", "hidden", "tag_in_article", "tag_in_edge", "prose_in_root")
+         "copyright", "hidden", "tag_in_article", "tag_in_edge", "prose_in_root", "in_noise")
 COLUMN = {k: i for i, k in enumerate(KINDS)}
+NOISE_CUES = [COLUMN[f"cue_{k}"] for k in CUES if k != "main"]
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-                   r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)
+NAME = re.compile(r"/?([a-zA-Z][^\s/>]*+)")
+MARKS = re.compile(r"[>\"']")
 ATTR = re.compile(r"\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 CUE_WORD = re.compile(r"[a-z]+")
 
@@ -87,12 +92,61 @@ class Node:
     low: bool = False
 
 
+class Tags:
+    """The tags of a page, one after the other, in time linear in its length."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.absent: set[str] = set()       # what does not come any more
+        self.last_close: dict[str, int] = {}
+
+    def find(self, what: str, at: int) -> int:
+        """Position of ``what`` from ``at`` on, -1 if none (which is looked for once)."""
+        if what in self.absent:
+            return -1
+        k = self.page.find(what, at)
+        if k < 0:
+            self.absent.add(what)
+        return k
+
+    def end(self, at: int) -> int:
+        """Where the tag whose name ends at ``at`` closes: after the next > outside quotes; -1 if never."""
+        if self.find(">", at) < 0:
+            return -1
+        while m := MARKS.search(self.page, at):
+            at = m.end()
+            if m[0] == ">":
+                return at
+            if self.page[max(0, m.start() - 8):m.start()].rstrip()[-1:] == "=":
+                k = self.find(m[0], at)
+                if k >= 0:
+                    at = k + 1
+        return -1
+
+    def closes(self, name: str, at: int) -> bool:
+        """Whether an end tag of ``name`` comes after ``at``."""
+        if name not in self.last_close:
+            self.last_close[name] = max((m.start() for m in re.finditer(f"</{name}", self.page, re.I)), default=-1)
+        return at <= self.last_close[name]
+
+    def after(self, name: str, at: int) -> int:
+        """The place after the next end tag of ``name`` (the page's end, if none)."""
+        if not self.closes(name, at):
+            return len(self.page)
+        m = re.compile(f"</{name}[^>]*+>?", re.I).search(self.page, at)
+        return m.end() if m else len(self.page)
+
+
 def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     """The block elements in page order, and the (node, text) runs."""
     nodes, runs = [Node("body", -1, 0, "")], []
     stack, at, link, buffer = [0], 0, False, []
+    open_at: dict[str, list[int]] = {}   # places in the stack of the open elements of a name
     linked = 0
     dropped: list[str] = []
+    inner: dict[str, int] = {}           # blocks that were opened inside a dropped element
+    loose = False                        # in a dropped element that nothing closes: up to the next block
+    tags = Tags(page)
 
     def flush() -> None:
         nonlocal linked
@@ -104,42 +158,70 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
                 node.chars += len(text)
                 node.links += min(linked, len(text))
                 node.last = text[-1]
-                node.low = node.low or "©" in text[:40] or "copyright" in text[:40].lower()
+                node.low = node.low or "©" in text or "copyright" in text.lower()
                 runs.append((stack[-1], text))
         linked = 0
 
+    def cut(k: int) -> None:
+        """Close the elements from place k of the stack on."""
+        while len(stack) > k:
+            open_at[nodes[stack.pop()].tag].pop()
+
     n = len(page)
     while at < n:
-        m = TOKEN.search(page, at)
-        end = m.start() if m else n
-        if end > at and not dropped:
+        lt = tags.find("<", at)
+        m = NAME.match(page, lt + 1) if lt >= 0 else None
+        end = lt if lt >= 0 else n
+        if lt >= 0 and not m and page[lt + 1:lt + 2] not in ("!", "?"):
+            end = lt + 1                     # a bare < is text
+        if end > at and not dropped and not loose:
             buffer.append(page[at:end])
             if link:
                 linked += end - at
-        if not m:
+        if lt < 0:
             break
-        at = m.end()
-        name = m[2] or m[5]
-        if not name:
+        if not m:
+            if end > lt:
+                at = end
+            elif page.startswith("<!--", lt):
+                k = tags.find("-->", lt + 4)
+                at = k + 3 if k >= 0 else n
+            else:
+                k = tags.find(">", lt)
+                at = k + 1 if k >= 0 else n
             continue
-        name, closing, attrs = name.lower(), m[1] or m[4], m[3] or m[6] or ""
+        at = tags.end(m.end())
+        if at < 0:
+            break                            # a tag that never closes ends the page
+        name, closing, attrs = m[1].lower(), page[lt + 1] == "/", page[m.end():at - 1]
         if name in DROPPED:
             if not closing and name in RAW:
-                close = re.compile(f"</{name}[^>]*>", re.I).search(page, at)
-                at = close.end() if close else n
+                at = tags.after(name, at)
             elif not closing and not attrs.endswith("/"):
-                dropped.append(name)
+                if tags.closes(name, at):
+                    dropped.append(name)
+                else:
+                    loose = True
             elif closing and name in dropped:
                 while dropped.pop() != name:
                     pass
-            if name in ("head", "title"):
-                flush()
+            if not dropped:
+                inner.clear()
             continue
         if dropped:
-            if name == "body" and not closing:
+            if name not in BLOCKS:
+                continue
+            if not closing:
+                inner[name] = inner.get(name, 0) + (name != "body")
+            elif inner.get(name):
+                inner[name] -= 1
+            elif open_at.get(name):          # its parent ends
                 dropped.clear()
-            else:
+                inner.clear()
+            if dropped and (name != "body" or closing):
                 continue
+            dropped.clear()
+            inner.clear()
         if name == "a":
             link = not closing
         if name in VOID:
@@ -149,28 +231,25 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         if name not in BLOCKS:
             continue
         flush()
-        link = False
+        link = loose = False
         if closing:
-            for k in range(len(stack) - 1, 0, -1):
-                if nodes[stack[k]].tag == name:
-                    del stack[k:]
-                    break
+            if open_at.get(name):
+                cut(open_at[name][-1])
             continue
         if name in ("html", "body"):
             nodes[0].attrs += attrs  # one root, whatever the page opens
             continue
         if nodes[stack[-1]].tag == "p":
-            stack.pop()
-        ends = ENDS.get(name, ())
-        if ends:
-            for k in range(len(stack) - 1, 0, -1):
-                t = nodes[stack[k]].tag
-                if t in ends:
-                    del stack[k:]
-                elif t in ("ul", "ol", "dl", "table", "div", "article", "section", "main"):
-                    break
+            cut(len(stack) - 1)
+        if name in ENDS:
+            ends, walls = ENDS[name]
+            wall = max((open_at[t][-1] for t in walls if open_at.get(t)), default=-1)
+            first = [open_at[t][bisect(open_at[t], wall)] for t in ends if open_at.get(t) and open_at[t][-1] > wall]
+            if first:
+                cut(min(first))
         nodes.append(Node(name, stack[-1], len(stack), attrs))
         if not attrs.endswith("/") or name not in ("p", "div"):
+            open_at.setdefault(name, []).append(len(stack))
             stack.append(len(nodes) - 1)
     flush()
     return nodes, runs
@@ -179,6 +258,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
 def features(nodes: list[Node]) -> np.ndarray:
     out = np.zeros((len(nodes), len(KINDS)), np.float64)
     inside = [0] * len(nodes)  # 1 in an article or main element, 2 in an edge element
+    noise = [False] * len(nodes)  # a block around it, or itself, has a cue of another part
     for i, v in enumerate(nodes):
         tag = TAG_OF.get(v.tag, "other")
         out[i, COLUMN[tag]] = 1
@@ -190,6 +270,7 @@ def features(nodes: list[Node]) -> np.ndarray:
             inside[i] = 2
         out[i, COLUMN["tag_in_article"]] = inside[i] == 1
         out[i, COLUMN["tag_in_edge"]] = inside[i] == 2
+        out[i, COLUMN["in_noise"]] = noise[i] = v.parent > 0 and noise[v.parent]
         out[i, COLUMN["prose_in_root"]] = v.parent == 0 and tag in ("p", "heading", "quote", "pre", "list")
         if v.attrs:
             for key, a, b, c in ATTR.findall(v.attrs):
@@ -201,6 +282,8 @@ def features(nodes: list[Node]) -> np.ndarray:
                             out[i, COLUMN[f"cue_{CUE_OF[w]}"]] = 1
                 elif key == "hidden" or key == "aria-hidden" and value == "true" or "display:none" in value.replace(" ", ""):
                     out[i, COLUMN["hidden"]] = 1
+        if any(out[i, c] for c in NOISE_CUES) and not out[i, COLUMN["cue_main"]] and tag not in ("article", "main", "body"):
+            noise[i] = True
         kind = "none" if v.chars == 0 else "short" if v.chars < 25 else "mid" if v.chars < 100 else "long"
         out[i, COLUMN[f"text_{kind}"]] = 1
         if v.chars:
@@ -340,10 +423,10 @@ def labelled_pages(count: int = 240, seed: int = 7) -> list[str]:
     pages = []
     for _ in range(count):
         title = f"<h1 data-main>{words(rng.randint(1, 9))}</h1>"
-        body = "".join(block() for _ in range(rng.choice([1, 1, 2, 3, 5, 8, 12])))
-        if rng.random() < .25:
-            at = body.rfind("<p data-main")
-            body = (body[:at] + aside_part() + body[at:]) if at >= 0 else body
+        parts = [block() for _ in range(rng.choice([1, 1, 2, 3, 5, 8, 12]))]
+        for _ in range(rng.choice([0, 0, 0, 1, 1, 2])):  # other parts stand between the blocks of an article, too
+            parts.insert(rng.randint(0, len(parts)), aside_part())
+        body = "".join(parts)
         wrap = rng.choice(["article", "article", "article", "main", "div", "section", "main+article", "div+div", ""])
         inner = title + body
         for name in reversed(wrap.split("+") if wrap else []):
