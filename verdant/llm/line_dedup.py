@@ -9,6 +9,8 @@ the marked lines go.
 Counting is a two-phase aggregate and the join back splits hot keys (AQE), so a
 window that a third of all documents share needs no single task.
 
+Work grows with the lines of a text, not with their square.
+
 Defined results: a null text stays null with no lines; blank lines are neither
 compared nor removed; null ids come first in the order; rows that agree in id
 and text are one document and come back once each, unchanged towards each other.
@@ -61,7 +63,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     same = docs[id_col].eqNullSafe(gone["__doc"]) & (F.xxhash64(docs[text_col]) == gone["__h"])
     lines = _lines(docs[text_col])
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone["__gone"])
-    left = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+    # the lines are split once; each kept place then takes its line
+    left = F.transform(F.array(lines), lambda ls: F.array_join(F.transform(kept, lambda i: F.get(ls, i)), "\n"))[0]
     out = {"__text": F.when(gone["__gone"].isNull(), docs[text_col]).otherwise(left),
            "__n_lines": F.when(docs[text_col].isNull(), 0).otherwise(F.size(lines)).cast("long"),
            "__n_removed": F.coalesce(F.size(gone["__gone"]), F.lit(0)).cast("long")}
