@@ -331,3 +331,19 @@ def test_very_long_texts(spark):
     texts = [(1, " ".join(ws)), (2, " ".join(near)), (3, " ".join(reversed(ws))), (4, "x" * 3_000_000)]
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in N.join_components(docs_frame(spark, texts)).collect()}
     assert got[2][1] == 1 and got[3][1] == 3 and got[4] == (1, 4) and got[1][0] == len(brute_sets(texts[0][1]))
+
+
+def test_line_dedup_and_decontamination_of_long_texts(spark):
+    """Work grows with the length of a text."""
+    import time
+
+    lines = [f"line {i} of a long text" for i in range(100_000)]
+    text = "\n".join(lines + lines[:50_000])
+    began = time.monotonic()
+    (row,) = L.dedup_lines(docs_frame(spark, [(1, text)])).collect()
+    assert row["__n_removed"] == 50_000 and row["__text"] == "\n".join(lines) and time.monotonic() - began < 60
+    words = [f"w{i}" for i in range(200_000)]
+    items = spark.createDataFrame([(1, " ".join(words[500:540])), (2, "none of it"), (3, " ".join(words[-5:]))], "item_id long, text string")
+    began = time.monotonic()
+    (row,) = D.contamination(docs_frame(spark, [(1, " ".join(words))]), items).collect()
+    assert (row.n_words, row.n_hit, row["items"]) == (200_000, 45, ["1", "3"]) and time.monotonic() - began < 60

@@ -9,7 +9,9 @@ end inside the document) come before the exact comparison of the words.
 
 Only DataFrame functions run here.  Rarity is counted over all documents.  The
 windows' side is broadcast while it has at most ``BROADCAST_ROWS`` rows; beyond
-that the joins shuffle.
+that the joins shuffle.  Exploded rows hold a place and a hash; only documents with
+a candidate are read again for their words, so work grows with a text's words, not
+with their square.
 
 Defined results: a null text has no words; a null or repeated item counts by
 its id as text (null ids name no item); rows that agree in id and text are one
@@ -21,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from verdant.llm.common import ascii_lower, stored
+from verdant.llm.common import ascii_lower, forget, stored
 
 WINDOW = 13
 SHINGLE = 3
@@ -93,24 +95,39 @@ def occurrences(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_
               .filter("p.df > 0").select("win", F.col("p.s").alias("s"), F.col("p.off").alias("off")))
     prefix = stored(prefix, "decon-prefix")
 
-    rows = base.select("doc", "h", "ws", F.size("ws").alias("n_words"))
+    # candidates: place and shingle alone meet the prefixes, no row carries its text's words
     pieces = []
     for w in widths:
         pieces.append(F.transform(_shingles(F.col("ws"), w), lambda s, i: F.struct(i.alias("pos"), s.alias("s"))))
     none = F.array().cast("array<struct<pos:int,s:bigint>>")
     # one element without a shingle keeps every document
     mark = F.array(F.struct(F.lit(None).cast("int").alias("pos"), F.lit(None).cast("bigint").alias("s")))
-    rows = rows.select("doc", "h", "ws", "n_words", F.explode(F.concat(mark, none, *pieces)).alias("e"))
-    rows = rows.select("doc", "h", "ws", "n_words", F.col("e.pos").alias("pos"), F.col("e.s").alias("s"))
-    start = F.col("pos") - F.col("off")
-    joined = rows.join(_small(prefix, n), "s", "left").withColumn("start", start)
+    counted = base.select("doc", "h", "ws", F.size("ws").alias("n_words"))
+    rows = counted.select("doc", "h", "n_words", F.explode(F.concat(mark, none, *pieces)).alias("e"))
+    rows = rows.select("doc", "h", "n_words", F.col("e.pos").alias("pos"), F.col("e.s").alias("s"))
+    met = rows.join(_small(prefix, n), "s", "left").withColumn("start", F.col("pos") - F.col("off"))
     fits = (F.col("start") >= 0) & (F.col("start") + F.size("win") <= F.col("n_words"))
-    found = F.when(fits, F.slice(F.col("ws"), F.greatest(F.col("start"), F.lit(0)) + 1, F.size("win")) == F.col("win"))
-    hits = (joined.withColumn("found", F.coalesce(found, F.lit(False)))
-            .filter(F.col("found") | F.col("pos").isNull())
-            .select("doc", "h", "n_words", F.when(F.col("found"), F.col("start")).alias("start"),
-                    F.when(F.col("found"), F.size("win")).alias("len"), F.when(F.col("found"), F.col("win")).alias("win")))
-    return stored(hits, "decon-hits"), wins
+    met = stored(met.filter(F.col("pos").isNull() | F.coalesce(fits, F.lit(False)))
+                 .select("doc", "h", "n_words", "start", "win"), "decon-candidates")
+
+    # the exact words: the candidates of a document meet its text, which is parted once
+    tried = met.filter("win is not null").groupBy(F.col("doc").alias("__doc"), F.col("h").alias("__h")).agg(
+        F.max("n_words").alias("n_words"), F.collect_set(F.struct("start", "win")).alias("cs"))
+    tried = stored(tried, "decon-tried")
+    same = docs[id_col].eqNullSafe(tried["__doc"]) & (F.xxhash64(docs[text_col]) == tried["__h"])
+    each = docs.join(_small(tried, tried.count()), same).select("__doc", "__h", "n_words", "cs", docs[text_col].alias("__t"))
+    each = each.dropDuplicates(["__doc", "__h"])
+
+    def held(ws: Column) -> Column:
+        return F.filter(F.col("cs"), lambda c: F.slice(ws, c["start"] + 1, F.size(c["win"])) == c["win"])
+
+    found = F.transform(F.array(words(F.col("__t"))), held)[0]
+    hits = each.select(F.col("__doc").alias("doc"), F.col("__h").alias("h"), "n_words", F.explode(found).alias("c")).select(
+        "doc", "h", "n_words", "c.start", F.size("c.win").alias("len"), "c.win")
+    marks = met.filter("win is null").select("doc", "h", "n_words", "start", F.lit(None).cast("int").alias("len"), "win")
+    hits = stored(marks.unionByName(hits), "decon-hits")
+    forget(met, tried, prefix, seen)
+    return hits, wins
 
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
