@@ -1,5 +1,6 @@
 """Chat formatting: layouts, hostile texts, the way back, the mask."""
 import hashlib
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -69,3 +70,34 @@ def test_rows_nulls_ties_repeats_empty_and_extra_columns(spark):
 def test_fingerprint_is_the_hash_of_the_sorted_paths():
     paths = "messages[].content|messages[].role"
     assert C.LAYOUTS[0].fingerprints() == [hashlib.sha256(paths.encode()).hexdigest()]
+
+
+def test_conversations_of_very_many_turns(spark):
+    n = 50_000
+    df = spark.range(n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"),
+                               F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"),
+                               F.concat(F.lit("é#<"), F.col("id")).alias("text"))
+    out = C.format_turns(C.with_turns(C.records_from_rows(df), "record"))
+    begun = time.monotonic()
+    r = out.select("formatted", "loss_spans", F.size(C.parse_formatted(F.col("formatted"))).alias("n"),
+                   C.masked_text(F.col("formatted"), F.col("loss_spans")).alias("loss")).first()
+    took = time.monotonic() - begun
+    assert r.n == n and r.loss == "".join(f"é#<{i}" for i in range(1, n, 2))
+    assert [r.formatted[s.start:s.start + s.len] for s in r.loss_spans[:3]] == ["é\\h\\l1", "é\\h\\l3", "é\\h\\l5"]
+    assert len(r.loss_spans) == n // 2 and took < 40
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 4, 5, 9, 10, 101])
+def test_starts_are_the_sums_before(spark, n):
+    sizes = [(i * 7) % 5 for i in range(n)]
+    df = spark.createDataFrame([(sizes,)], "sizes array<int>")
+    assert df.select(C.starts_of(F.col("sizes"))).first()[0] == [sum(sizes[:i]) for i in range(n)]
+
+
+def test_spans_that_are_not_a_turns_text(spark):
+    df = spark.createDataFrame([("### user: abc</turn>\n### assistant: de</turn>\n",)], "formatted string")
+    for spans, loss in (([(10, 3)], "abc"), ([(10, 1), (12, 1)], "ac"), ([(0, 8), (36, 2)], "### userde"),
+                        ([(10, 11)], "abc</turn>\n"), ([], "")):
+        one = F.array(*[F.struct(F.lit(a).cast("long").alias("start"), F.lit(b).cast("long").alias("len")) for a, b in spans])
+        one = one.cast("array<struct<start:bigint,len:bigint>>")
+        assert df.select(C.masked_text(F.col("formatted"), one)).first()[0] == loss

@@ -9,11 +9,13 @@ Defined results: a record whose fingerprint no layout has gives ``layout``
 null and no turns (formatted text empty), its fingerprint is reported; null
 texts and roles are empty; an empty list of turns is a conversation without
 turns; unknown roles pass through; a null record counts as one without fields.
+Very long texts and conversations of very many turns take time close to their length.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from itertools import combinations
 
@@ -150,6 +152,40 @@ def _unescape_role(c: Column) -> Column:
     return unescape(F.replace(c, F.lit("\\c"), F.lit(":")))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, also where lambdas in the body use it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def starts_of(sizes: Column) -> Column:
+    """For each of an array's sizes the sum (long) of those before it.
+
+    Summed in about sqrt(n) blocks of sqrt(n), then over the blocks: an array that
+    ``aggregate`` grows is copied at each step, so no long one is grown."""
+    longs = "array<long>"
+
+    def before(xs: Column) -> Column:
+        start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(longs).alias("out"))
+        return F.aggregate(xs, start, lambda acc, x: F.struct(
+            (acc["at"] + x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")),
+            lambda acc: acc["out"])
+
+    def total(xs: Column) -> Column:
+        return F.aggregate(xs, F.lit(0).cast("long"), lambda acc, x: acc + x)
+
+    def blocks(xs: Column) -> Column:
+        width = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(xs))).cast("int"))
+        return F.when(F.size(xs) > 0, F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / width).cast("int")),
+            lambda i: F.slice(xs, i * width + 1, width))).otherwise(F.array().cast(f"array<{longs}>"))
+
+    def joined(parts: Column) -> Column:
+        return F.flatten(F.zip_with(parts, before(F.transform(parts, total)), lambda part, base: F.transform(
+            before(part), lambda x: x + base)))
+
+    return _let(_let(sizes.cast(longs), blocks), joined)
+
+
 def format_turns(df: DataFrame, turns: str = "turns", trained: tuple[str, ...] = ("assistant",)) -> DataFrame:
     """Add ``formatted`` and ``loss_spans`` (start from 0 and length, in code
     points of the formatted text): the texts of the ``trained`` roles."""
@@ -157,39 +193,53 @@ def format_turns(df: DataFrame, turns: str = "turns", trained: tuple[str, ...] =
         F.concat(F.lit(OPEN), _escape_role(t["role"]), F.lit(AFTER_ROLE)).alias("head"),
         escape(t["text"]).alias("body"), t["role"].isin(list(trained)).alias("train")))
     df = df.withColumn("__parts", parts)
-    start = F.struct(F.lit(0).cast("long").alias("at"),
-                     F.array().cast("array<struct<start:long,len:long>>").alias("spans"))
-
-    def step(acc: Column, p: Column) -> Column:
-        head, body = F.length(p["head"]), F.length(p["body"])
-        span = F.array(F.struct((acc["at"] + head).cast("long").alias("start"), body.cast("long").alias("len")))
-        return F.struct((acc["at"] + head + body + len(END)).cast("long").alias("at"),
-                        F.when(p["train"], F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
-
+    sizes = F.transform(F.col("__parts"), lambda p: F.length(p["head"]) + F.length(p["body"]) + len(END))
+    spans = F.filter(F.zip_with(F.col("__parts"), starts_of(sizes), lambda p, at: F.struct(
+        (at + F.length(p["head"])).alias("start"), F.length(p["body"]).cast("long").alias("len"),
+        p["train"].alias("train"))), lambda s: s["train"])
+    spans = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["len"].alias("len")))
     text = F.array_join(F.transform(F.col("__parts"), lambda p: F.concat(p["head"], p["body"], F.lit(END))), "")
     return (df.withColumn("formatted", text)
-            .withColumn("loss_spans", F.aggregate(F.col("__parts"), start, step, lambda acc: acc["spans"]))
+            .withColumn("loss_spans", spans)
             .drop("__parts"))
 
 
-def parse_formatted(formatted: Column) -> Column:
-    """The turns that a formatted text holds (the way back from ``format_turns``)."""
+def _pieces(formatted: Column) -> Column:
     pieces = F.split(formatted, END)
-    pieces = F.slice(pieces, F.lit(1), F.size(pieces) - 1)
+    return F.slice(pieces, F.lit(1), F.size(pieces) - 1)
+
 
+def parse_formatted(formatted: Column) -> Column:
+    """The turns that a formatted text holds (the way back from ``format_turns``)."""
     def turn(p: Column) -> Column:
         head = F.substring_index(p, AFTER_ROLE, 1)
         at = F.length(head)
         return F.struct(_unescape_role(F.substr(head, F.lit(len(OPEN) + 1))).alias("role"),
                         unescape(F.substr(p, at + len(AFTER_ROLE) + 1)).alias("text"))
 
-    return F.transform(pieces, turn)
+    return F.transform(_pieces(formatted), turn)
 
 
 def masked_text(formatted: Column, spans: Column) -> Column:
-    """The unescaped text under the loss mask."""
-    return F.array_join(F.transform(spans, lambda s: unescape(
-        F.substr(formatted, (s["start"] + 1).cast("int"), s["len"].cast("int")))), "")
+    """The unescaped text under the loss mask, in text order (no two spans start alike).
+
+    The text is cut by turn once and a span that starts with a turn's body is read
+    from that turn, so no span counts code points from the text's start; any other
+    span is cut from the whole text."""
+    def body(p: Column) -> Column:
+        return F.length(F.substring_index(p, AFTER_ROLE, 1)) + len(AFTER_ROLE)
+
+    def cut(pieces: Column) -> Column:
+        at = starts_of(F.transform(pieces, lambda p: F.length(p) + len(END)))
+        bodies = F.map_from_arrays(F.zip_with(pieces, at, lambda p, a: a + body(p)),
+                                   F.transform(pieces, lambda p: F.substr(p, body(p) + 1)))
+        asked = F.map_from_arrays(spans["start"], spans["len"])
+        return F.map_zip_with(bodies, asked, lambda start, text, size: F.when(
+            size.isNotNull() & (size <= F.length(text)), F.substr(text, F.lit(1), size.cast("int"))).when(
+            size.isNotNull(), F.substr(formatted, (start + 1).cast("int"), size.cast("int"))))
+
+    found = F.array_sort(F.filter(F.map_entries(_let(_pieces(formatted), cut)), lambda e: e["value"].isNotNull()))
+    return F.array_join(F.transform(found, lambda e: unescape(e["value"])), "")
 
 
 def records_from_rows(df: DataFrame, conv: str = "conv_id", turn: str = "turn",
