@@ -44,6 +44,8 @@ WARC_MEMBER, INDEX_MEMBER = "archive/data.warc.gz", "indexes/index.cdx"
 DATE = "1970-01-01T00:00:00Z"  # the pages have no date of their own
 BIG = 0xFFFFFFFF
 READ_AT_ONCE = 4 << 20
+READ_TOGETHER = 8 << 20    # neighbouring ranges of this many bytes are read by one task
+READ_A_TASK = 128 << 20    # bytes of archives for one reading task
 
 
 def opened(path: str) -> tuple[pafs.FileSystem, str]:
@@ -219,7 +221,7 @@ def planned(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
 
 def write(records: DataFrame, root: str, zip64: bool = False) -> DataFrame:
-    """Write one archive per task under ``root``; the manifest (path, records), stored."""
+    """Write one archive per task under ``root``; the manifest (path, records, size), stored."""
     small_batches(records.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,9 +249,9 @@ def write(records: DataFrame, root: str, zip64: bool = False) -> DataFrame:
             z.end()
             z.close()
             out.close()
-            yield pa.RecordBatch.from_pydict({"path": [path], "records": [n]})
+            yield pa.RecordBatch.from_pydict({"path": [path], "records": [n], "size": [fs.get_file_info(local).size]})
 
-    return stored(records.mapInArrow(run, "path string, records long"), "wacz-manifest")
+    return stored(records.mapInArrow(run, "path string, records long, size long"), "wacz-manifest")
 
 
 def entries(manifest: DataFrame) -> DataFrame:
@@ -278,9 +280,18 @@ def entries(manifest: DataFrame) -> DataFrame:
     return manifest.select("path").mapInArrow(run, "path string, start long, length long")
 
 
-def read(places: DataFrame) -> DataFrame:
-    """Range-read the records at ``entries`` and parse them; a response's payload
-    is checked against its digest."""
+def read_tasks(manifest: DataFrame) -> int:
+    """How many tasks are to read the archives: one for each ``READ_A_TASK`` of their bytes,
+    the session's parallelism at least.  The index is tiny beside what its ranges read, so
+    its own size says nothing."""
+    size = manifest.agg(F.sum("size")).first()[0] or 0
+    return max(manifest.sparkSession.sparkContext.defaultParallelism, -(-size // READ_A_TASK))
+
+
+def read(places: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Range-read the records at ``entries`` in ``tasks`` tasks (default: the session's
+    parallelism) and parse them; a response's payload is checked against its digest."""
+    tasks = tasks or places.sparkSession.sparkContext.defaultParallelism
     small_batches(places.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,8 +315,8 @@ def read(places: DataFrame) -> DataFrame:
         if f:
             f.close()
 
-    # neighbouring ranges of an archive stay together; a large archive is many groups
-    spread = places.repartition("path", F.floor(F.col("start") / (32 << 20))).sortWithinPartitions("path", "start")
+    # neighbouring ranges of an archive stay together; an archive is many groups
+    spread = places.repartition(tasks, "path", F.floor(F.col("start") / READ_TOGETHER)).sortWithinPartitions("path", "start")
     return spread.mapInArrow(run, "page_id long, url string, payload_bytes long, payload_digest string, "
                                   "record_type string, refers_to long, payload binary")
 
@@ -313,4 +324,5 @@ def read(places: DataFrame) -> DataFrame:
 def round_trip(pages: DataFrame, threshold: int = 0) -> DataFrame:
     """Write the pages' records to archives in the shared scratch folder and read them back."""
     manifest = write(planned(pages, threshold=threshold), fresh_dir(pages.sparkSession, "wacz"))
-    return read(entries(manifest.repartition("path")))
+    tasks = read_tasks(manifest)
+    return read(entries(manifest.repartition(tasks, "path")), tasks)
