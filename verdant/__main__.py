@@ -4,7 +4,8 @@
                           [--run-log LOG] [--rejects REJ] [--overlap '1 hour']
                           [--max-future '1 day'] [--formats ISO 'd.M.yyyy H:mm' ...]
                           [--multi-line] [--parse-partitions N] [--preview N]
-                          [--changed-only ['1 hour']] [--marks MARKS] [--matrix]
+                          [--changed-only ['1 hour']] [--marks MARKS] [--matrix] [--vote]
+    python -m verdant compact [--table FACT] [--state HWM] [--marks MARKS] [--run-log LOG]
     python -m verdant replay --table FACT --rejects REJ --formats ISO 'd.M.yyyy H:mm' ...
     python -m verdant stream --grid LANDING --table FACT [--checkpoint CKPT]
                              [--max-files N] [--state HWM] [--run-log LOG]
@@ -40,7 +41,14 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--changed-only", nargs="?", const="1 hour", metavar="OVERLAP",
                    help="open only files changed since the last successful run in --run-log, less this interval")
     r.add_argument("--marks", help="table of a mark per plant, used in place of the single mark")
+    r.add_argument("--vote", action="store_true", help="settle day-first or month-first dates by each file's own values")
     r.add_argument("--matrix", action="store_true", help="the grids are JSON matrices of values")
+    c = sub.add_parser("compact", help="pack many small files into few, with the same rows")
+    c.add_argument("--table", help="fact table path")
+    c.add_argument("--state")
+    c.add_argument("--marks")
+    c.add_argument("--run-log")
+    c.add_argument("--at-least", type=int, default=4, help="files a day from which on it is rewritten")
     rp = sub.add_parser("replay", help="parse refused rows again, with further layouts")
     rp.add_argument("--table", required=True)
     rp.add_argument("--rejects", required=True)
@@ -54,6 +62,7 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--rejects")
     for p in (r, rp, s):
         p.add_argument("--formats", nargs="+", help="timestamp layouts, tried in order (ISO: the year-first family)")
+    for p in (r, rp, s, c):
         p.add_argument("--cluster", action="store_true", help="settings profile for a large cluster")
     a = ap.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
@@ -61,7 +70,7 @@ def main(argv: list[str] | None = None) -> int:
     from . import contract as K
     from .session import build_session
     spark = build_session(cluster=a.cluster)
-    formats = a.formats or K.TIMESTAMP_FORMATS
+    formats = getattr(a, "formats", None) or K.TIMESTAMP_FORMATS
     started = time.monotonic()
     if a.cmd == "run":
         from .operators.upsert import read_table
@@ -74,6 +83,9 @@ def main(argv: list[str] | None = None) -> int:
         after = changed_since(spark, a.run_log, overlap=a.changed_only) if a.changed_only and not a.full else None
         grid = (read_matrix(spark, a.grid, modified_after=after) if a.matrix
                 else read_grid(spark, a.grid, modified_after=after, multi_line=a.multi_line))
+        if a.vote:
+            from .operators.layouts import file_of, settle
+            grid, formats = settle(grid, file_of(grid)), a.formats or [K.ISO]
         res = run(spark, grid, a.table, a.state, run_log_path=a.run_log,
                   rejects_path=a.rejects, full=a.full, overlap=a.overlap,
                   max_future=a.max_future, formats=formats, parse_partitions=a.parse_partitions, marks_path=a.marks)
@@ -83,6 +95,12 @@ def main(argv: list[str] | None = None) -> int:
     elif a.cmd == "replay":
         from .plans.replay import replay
         out = vars(replay(spark, a.rejects, a.table, formats))
+    elif a.cmd == "compact":
+        from .operators.compact import compact_days, compact_log
+        out = {"days": compact_days(spark, a.table, a.at_least)} if a.table else {}
+        for path, schema in ((a.state, K.STATE_SCHEMA), (a.marks, K.MARKS_SCHEMA), (a.run_log, K.RUN_LOG_SCHEMA)):
+            if path:
+                out[path] = compact_log(spark, path, schema)
     else:
         from .streaming.ingest import ingest_available
         ingest_available(spark, a.grid, a.table, checkpoint=a.checkpoint, formats=formats,

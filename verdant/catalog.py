@@ -16,7 +16,9 @@ from . import contract as K
 from .functions import (format_timestamp, iso_timestamp, nan_to_null, parse_number,
                         parse_timestamp, round_to_second, to_decimal)
 from .operators import clean as CL
+from .operators import compact as CP
 from .operators import hwm as H
+from .operators import layouts as LY
 from .operators import quality as DQ
 from .operators import rollup as RU
 from .operators import upsert as UP
@@ -1081,3 +1083,82 @@ def stream_keep_last(spark, sf_dir):
     target = fresh_dir(spark, "fact")
     _fed(spark, sf_dir, "3650 days", lambda feed: ST.start_keep_last(spark, feed, target, "3650 days", RUN_TS), order=(3, 1, 2))
     return UP.read_table(spark, target).select(*K.TARGET_COLUMNS)
+
+
+# -- maintenance, layouts by vote, defaults -----------------------------------------------
+
+@register("compact_state_log", q(
+    f"""select '{K.PIPELINE_NAME}' as pipeline_name, max(timestamp) as last_watermark,
+      TIMESTAMP '{RUN_TS}' as updated_at, true as packed from C group by cast(timestamp as date)"""))
+def compact_state_log(spark, sf_dir):
+    """A log of a mark for each day, a file each, packed: the same rows in fewer files."""
+    path = fresh_dir(spark, "hwm")
+    marks = (_clean(spark, sf_dir).groupBy(F.to_date("timestamp").alias("d")).agg(F.max("timestamp").alias("last_watermark")))
+    rows = marks.select("d", F.lit(K.PIPELINE_NAME).alias("pipeline_name"), "last_watermark",
+                        F.lit(RUN_TS).cast(T.TimestampNTZType()).alias("updated_at"))
+    rows.repartition(64, "d").drop("d").write.mode("append").parquet(path)
+    before = CP.compact_log(spark, path, K.STATE_SCHEMA)
+    log = H.state_log(spark, path)
+    return log.withColumn("packed", F.lit(len(log.inputFiles()) < before))
+
+
+@register("compact_days", q(
+    """select *, 1::bigint as files from (select * exclude (_row_no) from C)"""))
+def compact_days(spark, sf_dir):
+    """Days of many files, each rewritten as one."""
+    path = fresh_dir(spark, "fact")
+    rows = CL.with_partition(_clean(spark, sf_dir))
+    (rows.repartition(5, "plant_name").write.partitionBy(K.PARTITION_COL).parquet(path))
+    CP.compact_days(spark, path, at_least=2)
+    table = UP.read_table(spark, path)
+    return table.join(CP.files_per_day(table), K.PARTITION_COL).select(*K.TARGET_COLUMNS, "files")
+
+
+# Three sheets out of the events: day-first, month-first, and month-first with no day after
+# the 12th, of which no vote can tell the order.
+_SHEETS_SQL = """with e as (select event_id, date_trunc('second', ts) as t,
+    case when event_id % 3 = 0 then 'day-first' when event_id % 3 = 1 or day(ts) > 12 then 'month-first'
+         else 'unclear' end as sheet from events)"""
+
+
+def _sheets(spark, sf_dir):
+    e = read_table(spark, sf_dir, "events").select("event_id", F.date_trunc("second", "ts").alias("t"))
+    rest = (F.col("event_id") % 3 == 1) | (F.dayofmonth("t") > 12)
+    sheet = F.when(F.col("event_id") % 3 == 0, "day-first").when(rest, "month-first").otherwise("unclear")
+    cell = F.when(F.col("event_id") % 3 == 0, F.date_format("t", "dd/MM/yyyy HH:mm:ss")).otherwise(
+        F.date_format("t", "M/d/yyyy H:mm:ss"))
+    return e.select("event_id", sheet.alias("sheet"), F.when(F.col("event_id") % 101 == 0, "NOT A DATE").otherwise(cell)
+                    .alias("Timestamp"))
+
+
+@register("layout_votes", _SHEETS_SQL + """
+select sheet as source, count(*) as n_cells, count(*) filter (event_id % 101 <> 0) as n_votes,
+  case sheet when 'day-first' then 'd/M/yyyy H:mm:ss' when 'month-first' then 'M/d/yyyy H:mm:ss'
+    else 'd/M/yyyy H:mm:ss|M/d/yyyy H:mm:ss' end as layouts
+from e group by sheet""")
+def layout_votes(spark, sf_dir):
+    found = LY.votes(_sheets(spark, sf_dir), F.col("Timestamp"), F.col("sheet"))
+    return found.withColumn("layouts", F.array_join("layouts", "|"))
+
+
+@register("cast_timestamp_voted", _SHEETS_SQL + """
+select event_id, case when event_id % 101 <> 0 and (sheet <> 'unclear' or day(t) = month(t)) then t end as timestamp
+from e""")
+def cast_timestamp_voted(spark, sf_dir):
+    settled = LY.settle(_sheets(spark, sf_dir), F.col("sheet"))
+    return settled.select("event_id", parse_timestamp("Timestamp", [K.ISO]).alias("timestamp"))
+
+
+@register("sql_column_defaults", q(
+    "select timestamp, plant_name, status, true as filled, true as empty from C"))
+def sql_column_defaults(spark, sf_dir):
+    """INSERT INTO without the audit column: the table's default fills it, other columns stay empty."""
+    path = fresh_dir(spark, "fact")
+    name = f"{SQ.FACT_TABLE}_{path.rsplit('-', 1)[-1]}"
+    spark.sql(SQ.ddl(name, K.TABLE_SCHEMA, path, K.PARTITION_COL))
+    _clean(spark, sf_dir).createOrReplaceTempView(f"{name}_in")
+    spark.sql(f"INSERT INTO {name} (timestamp, plant_name, status, {K.PARTITION_COL}) "
+              f"SELECT timestamp, plant_name, status, to_date(timestamp) FROM {name}_in")
+    spark.catalog.dropTempView(f"{name}_in")
+    return spark.table(name).select("timestamp", "plant_name", "status", F.col(K.AUDIT_COL).isNotNull().alias("filled"),
+                                    F.col("humidity").isNull().alias("empty"))

@@ -162,6 +162,14 @@ def _replace(days: DataFrame, target_path: str) -> None:
      .partitionBy(K.PARTITION_COL).parquet(target_path))
 
 
+def rewrite_days(spark: SparkSession, rows: DataFrame, target_path: str) -> None:
+    """Replace the days of ``rows``, which may read them: a whole copy first, so a crash loses none."""
+    copy = f"{pending_root(target_path)}/{uuid.uuid4().hex}"
+    write_partitions(rows, copy, whole=True)
+    _replace(spark.read.schema(K.TABLE_SCHEMA).parquet(copy), target_path)
+    drop_dir(spark, copy)
+
+
 def upsert(spark: SparkSession, source: DataFrame, target_path: str,
            dates: Sequence[dt.date] | None = None) -> UpsertResult:
     """MERGE ``source`` (fact-table columns, optional ``_row_no``) into the table.
@@ -180,10 +188,7 @@ def upsert(spark: SparkSession, source: DataFrame, target_path: str,
         if not dates:
             log.info("nothing to merge")
             return UpsertResult(0, 0, 0, None, [])
-        copy = f"{pending_root(target_path)}/{uuid.uuid4().hex}"
-        write_partitions(merge_plan(read_partitions(spark, target_path, dates), observed, dates, out), copy, whole=True)
-        _replace(spark.read.schema(K.TABLE_SCHEMA).parquet(copy), target_path)
-        drop_dir(spark, copy)
+        rewrite_days(spark, merge_plan(read_partitions(spark, target_path, dates), observed, dates, out), target_path)
     m = out.get
     res = UpsertResult(int(seen.get["n"] or 0), int(m["rows_inserted"] or 0),
                        int(m["rows_updated"] or 0), m["max_timestamp"], list(dates or []))

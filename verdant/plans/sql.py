@@ -3,7 +3,8 @@
 ``create_tables`` issues ``CREATE TABLE IF NOT EXISTS ... USING parquet``
 (partitioned fact table) at the given locations, so BI and SQL users can
 query ``plant_readings`` directly; ``refresh`` makes partitions written by a
-load visible to the catalog.  ``register_views`` publishes the two analytic
+load visible to the catalog.  The columns' defaults are part of the tables, so an
+``INSERT INTO`` that leaves the audit column out fills it.  ``register_views`` publishes the two analytic
 views over any fact frame.
 """
 
@@ -19,8 +20,14 @@ FACT_TABLE, STATE_TABLE, RUN_LOG_TABLE = K.FACT_TABLE, K.STATE_TABLE, K.RUN_LOG_
 LATEST_VIEW, DAILY_VIEW = K.LATEST_VIEW, K.DAILY_VIEW
 
 
+# A writer that leaves these columns out gets the time of the write (UTC, whole seconds).
+NOW = "CAST(date_trunc('SECOND', current_timestamp()) AS TIMESTAMP_NTZ)"
+DEFAULTS = {c: NOW for c in (K.AUDIT_COL, "updated_at", "started_at")}
+
+
 def _columns(schema: T.StructType) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
+                     + (f" DEFAULT {DEFAULTS[f.name]}" if f.name in DEFAULTS else "") for f in schema.fields)
 
 
 def ddl(name: str, schema: T.StructType, location: str,

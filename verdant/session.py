@@ -137,6 +137,14 @@ def drop_dir(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def delete_files(spark: SparkSession, files: list[str]) -> None:
+    """Delete files, named by the URIs that Spark lists, through the cluster's file system."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for name in files:
+        p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+        p.getFileSystem(conf).delete(p, False)
+
+
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new, unused path under the shared scratch root."""
     return os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
