@@ -5,6 +5,7 @@
                           [--max-future '1 day'] [--formats ISO 'd.M.yyyy H:mm' ...]
                           [--multi-line] [--parse-partitions N] [--preview N]
                           [--changed-only ['1 hour']] [--marks MARKS] [--matrix] [--vote]
+                          [--keep-unmapped]
     python -m verdant compact [--table FACT] [--state HWM] [--marks MARKS] [--run-log LOG]
     python -m verdant replay --table FACT --rejects REJ --formats ISO 'd.M.yyyy H:mm' ...
     python -m verdant stream --grid LANDING --table FACT [--checkpoint CKPT]
@@ -52,6 +53,9 @@ def main(argv: list[str] | None = None) -> int:
     rp = sub.add_parser("replay", help="parse refused rows again, with further layouts")
     rp.add_argument("--table", required=True)
     rp.add_argument("--rejects", required=True)
+    for p in (r, rp):
+        p.add_argument("--keep-unmapped", action="store_true",
+                       help="store cells under unknown headers with their row")
     s = sub.add_parser("stream", help="consume new grid files, then stop")
     s.add_argument("--grid", required=True)
     s.add_argument("--table", required=True)
@@ -88,13 +92,14 @@ def main(argv: list[str] | None = None) -> int:
             grid, formats = settle(grid, file_of(grid)), a.formats or [K.ISO]
         res = run(spark, grid, a.table, a.state, run_log_path=a.run_log,
                   rejects_path=a.rejects, full=a.full, overlap=a.overlap,
-                  max_future=a.max_future, formats=formats, parse_partitions=a.parse_partitions, marks_path=a.marks)
+                  max_future=a.max_future, formats=formats, parse_partitions=a.parse_partitions, marks_path=a.marks,
+                  keep_unmapped=a.keep_unmapped)
         out = {k: str(v) for k, v in vars(res).items()}
         if a.preview and (fact := read_table(spark, a.table)) is not None:
             out["preview"] = [r.asDict() for r in preview(fact, a.preview).collect()]
     elif a.cmd == "replay":
         from .plans.replay import replay
-        out = vars(replay(spark, a.rejects, a.table, formats))
+        out = vars(replay(spark, a.rejects, a.table, formats, keep_unmapped=a.keep_unmapped))
     elif a.cmd == "compact":
         from .operators.compact import compact_days, compact_log
         out = {"days": compact_days(spark, a.table, a.at_least)} if a.table else {}

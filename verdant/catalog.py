@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from . import contract as K
 from .functions import (format_timestamp, iso_timestamp, nan_to_null, parse_number,
                         parse_timestamp, round_to_second, to_decimal)
+from .operators import access as AC
 from .operators import clean as CL
 from .operators import compact as CP
 from .operators import hwm as H
@@ -1162,3 +1163,57 @@ def sql_column_defaults(spark, sf_dir):
     spark.catalog.dropTempView(f"{name}_in")
     return spark.table(name).select("timestamp", "plant_name", "status", F.col(K.AUDIT_COL).isNotNull().alias("filled"),
                                     F.col("humidity").isNull().alias("empty"))
+
+
+# -- cells without a column, layouts for other access paths -------------------------------
+
+_NOTE_SQL = """case when _row_no % 3 = 0 then 'note ' || _row_no end"""
+_SERIAL_SQL = """case when _row_no % 5 <> 0 then 'SN-' || (_row_no % 1000) end"""
+
+
+def _with_other_headers(raw):
+    """The grid with two columns of which the contract knows nothing."""
+    rid = F.col(K.ROW_NO)
+    return raw.withColumns({
+        " Note ": F.when(rid % 3 == 0, F.concat(F.lit("note "), rid.cast("string"))).otherwise(""),
+        "Sensor Serial": F.when(rid % 5 != 0, F.concat(F.lit("SN-"), (rid % 1000).cast("string")))})
+
+
+@register("stored_unmapped", q(f"""
+select timestamp, plant_name, case when timestamp >= TIMESTAMP '{UPSERT_LO}' then 'Revised' else status end as status,
+  {_NOTE_SQL} as note,
+  case when timestamp >= TIMESTAMP '{UPSERT_LO}' then 'new' else {_SERIAL_SQL} end as serial from C"""))
+def stored_unmapped(spark, sf_dir):
+    """Cells under unknown headers, read from the stored table after an upsert has replaced some rows."""
+    raw, path = _with_other_headers(_raw(spark, sf_dir)), fresh_dir(spark, "fact")
+    revised = raw.withColumns({"Sensor Serial": F.lit("new"), "Status": F.lit("revised")})
+    at = F.col("timestamp")
+    for grid, part in ((raw, at < _ts_col(UPSERT_HI)), (revised, at >= _ts_col(UPSERT_LO))):
+        rows = CL.typed(CL.with_unmapped(grid), parse_partitions=_cores(spark))
+        P.stage_and_upsert(spark, CL.clean_typed(rows, RUN_TS).where(part), path)
+    stored = UP.read_table(spark, path, unmapped=True)
+    return stored.select("timestamp", "plant_name", "status",
+                         F.try_variant_get(K.UNMAPPED_COL, "$.Note", "string").alias("note"),
+                         F.try_variant_get(K.UNMAPPED_COL, "$['Sensor Serial']", "string").alias("serial"))
+
+
+def _refreshed(spark, sf_dir, layout):
+    """A layout written from the stored table, then brought in step with an upsert."""
+    table, copy = fresh_dir(spark, "fact"), fresh_dir(spark, "layout")
+    UP.write_partitions(CL.with_partition(_upsert_target(spark, sf_dir)), table)
+    AC.refresh(spark, table, copy, layout)
+    source, _, dates = P.stage_with_dates(_upsert_source(spark, sf_dir))
+    UP.upsert(spark, source, table, dates)
+    AC.refresh(spark, table, copy, layout, dates)
+    return AC.read_layout(spark, copy, layout)
+
+
+@register("layout_plant_history", q(f"select * from ({_UPSERT_SQL}) where plant_name = '{PLANT}'"))
+def layout_plant_history(spark, sf_dir):
+    return AC.of_plant(_refreshed(spark, sf_dir, AC.BY_PLANT), PLANT).select(*K.TARGET_COLUMNS)
+
+
+@register("layout_status", q(
+    f"select timestamp, plant_name, status, confidence_score_pct from ({_UPSERT_SQL}) where status = 'Wilted'"))
+def layout_status(spark, sf_dir):
+    return V.status_filter(_refreshed(spark, sf_dir, AC.BY_STATUS), "Wilted")

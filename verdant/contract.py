@@ -101,6 +101,7 @@ AUDIT_COL = "etl_inserted_at"
 REJECT_COL = "reject_reason"
 EXTRA_COL = "_extra"        # surplus cells of an over-long row (JSON text), else NULL
 CELLS_COL = "_cells"        # the row's cells as they were read (JSON by header), for the rejects
+UNMAPPED_COL = "unmapped"   # cells under headers that the contract does not name (VARIANT object)
 FLAW_COL = "_flaw"          # row-local reason found while parsing cells, else NULL
 
 # Reject reasons, in the order they are tested.
@@ -138,6 +139,12 @@ TABLE_SCHEMA = T.StructType(
     TARGET_SCHEMA.fields + [T.StructField(PARTITION_COL, T.DateType(), True)]
 )
 
+# Every file may hold the unmapped cells too; those without them read NULL.
+STORED_SCHEMA = T.StructType(
+    TARGET_SCHEMA.fields + [T.StructField(UNMAPPED_COL, T.VariantType(), True),
+                            T.StructField(PARTITION_COL, T.DateType(), True)]
+)
+
 STATE_SCHEMA = T.StructType([
     T.StructField("pipeline_name", T.StringType(), False),
     T.StructField("last_watermark", T.TimestampNTZType(), True),

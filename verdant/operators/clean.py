@@ -90,6 +90,29 @@ def with_cells(raw: DataFrame) -> DataFrame:
         F.col(_ident(c)) for c in raw.columns if c not in (K.ROW_NO, K.CELLS_COL)])))
 
 
+def with_unmapped(raw: DataFrame) -> DataFrame:
+    """Add ``unmapped``: the cells under headers that the contract does not name, as a
+    VARIANT object by trimmed header, so that they reach the fact table.
+
+    Cells stay the text that was read; empty ones are left out, and a row without any has
+    NULL.  Of headers that trim to one name the first filled cell counts.  A sheet's own
+    column called ``unmapped`` goes into the object as any other."""
+    by_name: dict[str, list[str]] = {}
+    for c, name in _renamed(raw.columns).items():
+        if name not in K.RENAME_MAP.values() and c not in (K.ROW_NO, K.CELLS_COL, K.EXTRA_COL):
+            by_name.setdefault(name, []).append(f"nullif({_ident(c)}, '')")
+    if not by_name:
+        return raw.withColumn(K.UNMAPPED_COL, F.lit(None).cast(T.VariantType()))
+    cells = [(name, f"coalesce({', '.join(found)})") for name, found in by_name.items()]
+    packed = F.parse_json(F.to_json(F.struct(*[F.expr(e).alias(name) for name, e in cells])))
+    return raw.withColumn(K.UNMAPPED_COL, F.when(F.coalesce(*[F.expr(e) for _, e in cells]).isNotNull(), packed))
+
+
+def holds_unmapped(df: DataFrame) -> bool:
+    """Whether ``unmapped`` is there as the VARIANT object (a sheet may have a column of that name)."""
+    return K.UNMAPPED_COL in df.columns and isinstance(df.schema[K.UNMAPPED_COL].dataType, T.VariantType)
+
+
 def typed(raw: DataFrame, formats: Sequence[str] = K.TIMESTAMP_FORMATS,
           parse_partitions: int | None = None) -> DataFrame:
     """Rename and parse every contract column.
@@ -189,7 +212,7 @@ def with_partition(df: DataFrame) -> DataFrame:
 
 def to_target(df: DataFrame, keep_row_no: bool = False,
               audit: Column | None = None) -> DataFrame:
-    """Fixed write projection (16 columns in order, contract types).
+    """Fixed write projection (16 columns in order, contract types; ``unmapped`` where it was kept).
 
     Column defaults: a missing or NULL audit timestamp becomes the current
     UTC time (whole seconds); any other missing column becomes NULL.
@@ -203,8 +226,9 @@ def to_target(df: DataFrame, keep_row_no: bool = False,
     if audit is None:
         current = F.col(K.AUDIT_COL) if K.AUDIT_COL in present else F.lit(None)
         audit = F.coalesce(current.cast(T.TimestampNTZType()), audit_ts())
-    out = df.select(*[F.expr(e) for e in exprs], audit.alias(K.AUDIT_COL))
-    order = [*K.TARGET_COLUMNS, *([K.ROW_NO] if keep_row_no else [])]
+    kept = [K.UNMAPPED_COL] if holds_unmapped(df) else []
+    out = df.select(*[F.expr(e) for e in exprs], audit.alias(K.AUDIT_COL), *kept)
+    order = [*K.TARGET_COLUMNS, *kept, *([K.ROW_NO] if keep_row_no else [])]
     return out.select(*order)
 
 

@@ -57,5 +57,5 @@ def compact_days(spark: SparkSession, target_path: str, at_least: int = 4) -> li
     days = sorted(r[K.PARTITION_COL] for r in rows if r[K.PARTITION_COL] is not None)
     if not days:
         return []
-    U.rewrite_days(spark, U.read_partitions(spark, target_path, days), target_path)
+    U.rewrite_days(spark, U.read_partitions(spark, target_path, days, unmapped=True), target_path)
     return days

@@ -17,6 +17,8 @@ Plain Parquet has no MERGE, so the merge is a partition-scoped rewrite:
 
 Into an empty table there is nothing to merge or to lose: the deduplicated
 source is written straight away, with no copy and no list of dates.
+Cells under headers without a column (``unmapped``) belong to their row: a source row
+replaces them with its own, rows that only move to a new file keep theirs.
 Re-running with the same source gives the same table (idempotent); untouched
 partitions are never read or rewritten.  One writer at a time.
 """
@@ -31,11 +33,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from .. import contract as K
 from ..session import drop_dir, is_missing, list_dirs, path_exists
-from .clean import to_target
+from .clean import holds_unmapped, to_target
 
 log = logging.getLogger(__name__)
 
@@ -52,12 +55,13 @@ class UpsertResult:
     touched_dates: list[dt.date]   # empty for a first load (all of them)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The fact table at ``path``, or None when it does not exist yet."""
+def read_table(spark: SparkSession, path: str, unmapped: bool = False) -> DataFrame | None:
+    """The fact table at ``path``, or None when it does not exist yet; with ``unmapped``
+    also the column of cells that the contract does not name (NULL where none were kept)."""
     if path_exists(spark, path) is False:
         return None
     try:
-        return spark.read.schema(K.TABLE_SCHEMA).parquet(path)
+        return spark.read.schema(K.STORED_SCHEMA if unmapped else K.TABLE_SCHEMA).parquet(path)
     except AnalysisException as e:
         if not is_missing(e):
             raise
@@ -65,7 +69,7 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def read_partitions(spark: SparkSession, path: str,
-                    dates: Sequence[dt.date]) -> DataFrame | None:
+                    dates: Sequence[dt.date], unmapped: bool = False) -> DataFrame | None:
     """Only the given date partitions of the table (None if none exists yet).
 
     A brace glob over the partition folders means only those folders are
@@ -78,7 +82,8 @@ def read_partitions(spark: SparkSession, path: str,
     if path_exists(spark, glob) is False:
         return None
     try:
-        return (spark.read.option("basePath", path).schema(K.TABLE_SCHEMA).parquet(glob))
+        return (spark.read.option("basePath", path)
+                .schema(K.STORED_SCHEMA if unmapped else K.TABLE_SCHEMA).parquet(glob))
     except AnalysisException as e:
         if not is_missing(e):
             raise
@@ -99,26 +104,32 @@ def touched_dates(source: DataFrame) -> list[dt.date]:
 def last_of_key(source: DataFrame) -> DataFrame:
     """Source rows in table shape, the latest of each key (highest ``_row_no``)."""
     has_ord = K.ROW_NO in source.columns
-    cols = [f"`{c}`" for c in K.TARGET_COLUMNS]
+    kept = [K.UNMAPPED_COL] if holds_unmapped(source) else []
+    cols = [f"`{c}`" for c in (*K.TARGET_COLUMNS, *kept)]
     order = f"`{K.ROW_NO}`" if has_ord else "CAST(NULL AS BIGINT)"
     src = to_target(source, keep_row_no=has_ord).selectExpr(
         *cols, f"{order} AS {_ORD}", f"to_date(timestamp) AS {K.PARTITION_COL}")
     spec = f"PARTITION BY {', '.join(_KEYS)} ORDER BY {_ORD} DESC NULLS LAST"
     return (src.selectExpr("*", f"row_number() OVER ({spec}) AS {_RN}").where(f"{_RN} = 1")
-            .select(*K.TARGET_COLUMNS, K.PARTITION_COL))
+            .select(*K.TARGET_COLUMNS, *kept, K.PARTITION_COL))
 
 
 def merge_plan(target: DataFrame | None, source: DataFrame, dates: Sequence[dt.date] = (),
                observation: Observation | None = None) -> DataFrame:
     """Lazy merged rows for the touched partitions (see module doc)."""
-    rest = [c for c in K.TARGET_COLUMNS if c not in _KEYS]
     src = last_of_key(source)
+    kept = [K.UNMAPPED_COL] if any(holds_unmapped(d) for d in (src, target) if d is not None) else []
+    rest = [*[c for c in K.TARGET_COLUMNS if c not in _KEYS], *kept]
+
+    def payload(df: DataFrame) -> list:
+        return [F.col(c) if c in df.columns else F.lit(None).cast(T.VariantType()).alias(c) for c in rest]
+
     if target is None:
         merged = src.withColumn("_new", F.lit(True)).withColumn("_src", F.lit(True))
     else:
         days = F.col(K.PARTITION_COL).isin(list(dates))
-        s = src.select(*_KEYS, F.struct(*rest).alias("_s"))
-        t = target.where(days).select(*_KEYS, F.struct(*rest).alias("_t"))
+        s = src.select(*_KEYS, F.struct(*payload(src)).alias("_s"))
+        t = target.where(days).select(*_KEYS, F.struct(*payload(target)).alias("_t"))
         merged = s.join(t, _KEYS, "full_outer")
         won = F.col("_s").isNotNull()
         merged = merged.select(*_KEYS, F.coalesce("_s", "_t").alias("_r"), won.alias("_src"),
@@ -130,7 +141,7 @@ def merge_plan(target: DataFrame | None, source: DataFrame, dates: Sequence[dt.d
             F.count_if(F.col("_src") & F.col("_new")).alias("rows_inserted"),
             F.count_if(F.col("_src") & ~F.col("_new")).alias("rows_updated"),
             F.max(F.when(F.col("_src"), F.col("timestamp"))).alias("max_timestamp"))
-    return merged.select(*K.TARGET_COLUMNS, K.PARTITION_COL)
+    return merged.select(*K.TARGET_COLUMNS, *kept, K.PARTITION_COL)
 
 
 def write_partitions(df: DataFrame, path: str, whole: bool = False) -> None:
@@ -151,7 +162,7 @@ def finish_pending(spark: SparkSession, target_path: str) -> int:
     done = 0
     for path in list_dirs(spark, pending_root(target_path)):
         if path_exists(spark, f"{path}/_SUCCESS"):
-            _replace(spark.read.schema(K.TABLE_SCHEMA).parquet(path), target_path)
+            _replace(spark.read.schema(K.STORED_SCHEMA).parquet(path), target_path)
             done += 1
         drop_dir(spark, path)
     return done
@@ -166,7 +177,7 @@ def rewrite_days(spark: SparkSession, rows: DataFrame, target_path: str) -> None
     """Replace the days of ``rows``, which may read them: a whole copy first, so a crash loses none."""
     copy = f"{pending_root(target_path)}/{uuid.uuid4().hex}"
     write_partitions(rows, copy, whole=True)
-    _replace(spark.read.schema(K.TABLE_SCHEMA).parquet(copy), target_path)
+    _replace(spark.read.schema(K.STORED_SCHEMA).parquet(copy), target_path)
     drop_dir(spark, copy)
 
 
@@ -188,7 +199,8 @@ def upsert(spark: SparkSession, source: DataFrame, target_path: str,
         if not dates:
             log.info("nothing to merge")
             return UpsertResult(0, 0, 0, None, [])
-        rewrite_days(spark, merge_plan(read_partitions(spark, target_path, dates), observed, dates, out), target_path)
+        rewrite_days(spark, merge_plan(read_partitions(spark, target_path, dates, unmapped=True),
+                                        observed, dates, out), target_path)
     m = out.get
     res = UpsertResult(int(seen.get["n"] or 0), int(m["rows_inserted"] or 0),
                        int(m["rows_updated"] or 0), m["max_timestamp"], list(dates or []))

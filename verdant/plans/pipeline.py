@@ -218,12 +218,13 @@ def run(spark: SparkSession, raw: DataFrame, target_path: str, state_path: str,
         max_future: str | None = None,
         formats: Sequence[str] = K.TIMESTAMP_FORMATS,
         run_id: str | None = None, parse_partitions: int | None = None,
-        marks_path: str | None = None) -> RunResult:
+        marks_path: str | None = None, keep_unmapped: bool = False) -> RunResult:
     """Run the pipeline once; returns the run's figures.
 
     With ``marks_path`` the new rows are those after their own plant's mark
     (``operators.hwm``), so a plant whose clock is ahead hides no other plant's rows;
-    the single mark is still recorded."""
+    the single mark is still recorded.  ``keep_unmapped`` stores cells under headers that
+    the contract does not name with their row (``read_table(..., unmapped=True)``)."""
     configure(spark)
     started = _ts(run_ts) or _now()
     res = RunResult(pipeline, run_id or uuid.uuid4().hex, started)
@@ -235,6 +236,7 @@ def run(spark: SparkSession, raw: DataFrame, target_path: str, state_path: str,
         res.watermark_before = None if full or marks_path else stored
         log.info("mark before the run: %s", res.watermark_before or "none, so all rows")
         raw = CL.with_cells(raw) if rejects_path else raw
+        raw = CL.with_unmapped(raw) if keep_unmapped else raw
         batch = extract_typed(CL.typed(raw, formats, parse_partitions), res.watermark_before, overlap)
         if marks_path:
             batch = H.newer_than_marks(batch, H.current_marks(spark, marks_path, pipeline), overlap)
@@ -268,7 +270,9 @@ def process(spark: SparkSession, batch: DataFrame, res: RunResult, target_path:
     ts_txt = res.started_at.isoformat(sep=" ")
     refused = Observation("refused")
     if rejects_path:
-        fresh = without_known(CL.rejects_typed(batch, max_future, ts_txt), stored_rejects(spark, rejects_path),
+        # a refused row has these cells in its ``_cells`` already
+        refusable = batch.drop(K.UNMAPPED_COL) if CL.holds_unmapped(batch) else batch
+        fresh = without_known(CL.rejects_typed(refusable, max_future, ts_txt), stored_rejects(spark, rejects_path),
                               res.watermark_before)
         (fresh.withColumn("run_id", F.lit(res.run_id)).observe(refused, F.count(F.lit(1)).alias("n"))
          .write.mode("append").parquet(rejects_path))

@@ -43,18 +43,23 @@ def waiting_path(rejects_path: str) -> str:
     return rejects_path.rstrip("/") + "__replayed"
 
 
-def cells_grid(rejects: DataFrame) -> DataFrame:
-    """The refused rows as a raw grid again: every cell by its header, and the ordinal."""
+def cells_grid(rejects: DataFrame, keep_unmapped: bool = False) -> DataFrame:
+    """The refused rows as a raw grid again: every cell by its header, and the ordinal;
+    with ``keep_unmapped`` also the object of cells that the contract does not name."""
     cells = F.from_json(K.CELLS_COL, T.MapType(T.StringType(), T.StringType()))
     # a header may be any spelling that trims to the contract's name
     names = F.transform_keys(cells, lambda k, v: F.trim(k))
     rows = rejects.select(K.ROW_NO, K.CELLS_COL, names.alias("_by"))
-    return rows.select(K.ROW_NO, K.CELLS_COL, *[F.col("_by")[c].alias(c) for c in (*K.RAW_COLUMNS, K.EXTRA_COL)])
+    known = (*K.RAW_COLUMNS, *K.RENAME_MAP.values(), K.EXTRA_COL)
+    other = F.map_filter("_by", lambda k, v: ~k.isin(*known) & (v != ""))
+    packed = F.when(F.size(other) > 0, F.parse_json(F.to_json(other))).alias(K.UNMAPPED_COL)
+    return rows.select(K.ROW_NO, K.CELLS_COL, *[F.col("_by")[c].alias(c) for c in (*K.RAW_COLUMNS, K.EXTRA_COL)],
+                       *([packed] if keep_unmapped else []))
 
 
 def replay(spark: SparkSession, rejects_path: str, target_path: str, formats: Sequence[str] = K.TIMESTAMP_FORMATS,
            reasons: Sequence[str] = REPLAYED, run_ts: str | dt.datetime | None = None,
-           max_future: str | None = None, run_id: str = "replay") -> ReplayResult:
+           max_future: str | None = None, run_id: str = "replay", keep_unmapped: bool = False) -> ReplayResult:
     """Parse refused rows again with ``formats`` and move those that pass."""
     configure(spark)
     finish_replay(spark, rejects_path)
@@ -66,7 +71,7 @@ def replay(spark: SparkSession, rejects_path: str, target_path: str, formats: Se
     stages = [fresh_dir(spark, n) for n in ("replay-typed", "replay-clean")]
     try:
         tried = Observation("tried")
-        typed = CL.typed(cells_grid(refused.where(again)), formats).observe(tried, F.count(F.lit(1)).alias("n"))
+        typed = CL.typed(cells_grid(refused.where(again), keep_unmapped), formats).observe(tried, F.count(F.lit(1)).alias("n"))
         typed = stage_at(typed, stages[0], partition=False)
         res.rows_tried = int(tried.get["n"] or 0)
         clean = stage_at(CL.clean_typed(typed, ts, max_future, keep_row_no=True), stages[1], partition=False)
@@ -78,6 +83,7 @@ def replay(spark: SparkSession, rejects_path: str, target_path: str, formats: Se
             # what an interrupted replay has stored counts as moved
             free = F.col("_held").isNull() | F.col("_held").eqNullSafe(F.struct(*[F.col(c) for c in _SAME]))
             moved, taken = met.where(free).drop("_held"), met.where(~free)
+        typed = typed.drop(K.UNMAPPED_COL) if keep_unmapped else typed
         still = CL.rejects_typed(typed, max_future, ts).withColumn("run_id", F.lit(run_id))
         if taken is not None:
             older = typed.join(taken.select(F.col(K.ROW_NO).alias("_no")), F.col(K.ROW_NO) == F.col("_no"), "left_semi")
