@@ -171,6 +171,20 @@ def op8_wacz(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+# Base32 of a SHA-1: five hex digits are four letters.
+OP8_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+h AS (SELECT *, sha1(t) AS hex, min(page_id) OVER (PARTITION BY t) AS first_id FROM p),
+g AS (SELECT *, list_transform(generate_series(1, 36, 5), lambda i: ('0x' || substr(hex, i, 5))::INTEGER) AS parts FROM h)
+SELECT page_id, strlen(t)::BIGINT AS payload_bytes,
+  array_to_string(list_transform(parts, lambda v: array_to_string(list_transform([15, 10, 5, 0],
+    lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> s) & 31) + 1, 1)), '')), '') AS payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM g
+"""
+
+
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -184,6 +198,22 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_components(table(spark, sf_dir, "documents"))
 
 
+# Shared shingles of all pairs, and components as reachability.
+OP10_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS shingle FROM (
+    SELECT doc_id, ws, unnest(generate_series(1, greatest(1, len(ws) - 4))) AS i FROM d WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON y.shingle = x.shingle AND y.doc_id <> x.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+r(doc_id, reached) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.reached)
+SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(reached) AS component_id
+FROM d JOIN r USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY 1
+"""
+
+
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near words, form and root of every word of the documents' vocabulary."""
     return spelling_variants.variant_groups(table(spark, sf_dir, "documents"))
@@ -264,9 +294,9 @@ QUERIES = {
     "op5_bpe": (op5_bpe, None),
     "op6_decontaminate": (op6_decontaminate, OP6_SQL),
     "op7_line_dedup": (op7_line_dedup, OP7_SQL),
-    "op8_wacz": (op8_wacz, None),
+    "op8_wacz": (op8_wacz, OP8_SQL),
     "op9_langid": (op9_langid, None),
-    "op10_ngram_join": (op10_ngram_join, None),
+    "op10_ngram_join": (op10_ngram_join, OP10_SQL),
     "op11_spelling_variants": (op11_spelling_variants, None),
     "op12_periodic_runs": (op12_periodic_runs, None),
     "op13_quality_rules": (op13_quality_rules, OP13_SQL),
