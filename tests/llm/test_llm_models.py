@@ -134,6 +134,33 @@ def test_presence_of_whole_long_texts(monkeypatch):
     assert len(G.ngram_bins("", flags)) == 0
 
 
+def test_language_fit_in_tasks_equals_one_process(spark, monkeypatch):
+    """Sums of the tasks give the model of one process; many languages share the landmarks."""
+    rng = random.Random(5)
+    letters = [chr(0x100 + i) for i in range(400)]
+    rows = [(i, "".join(rng.choices(letters[i % 40 * 10:i % 40 * 10 + 10] + [" "], k=60)), f"l{i % 40:02d}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    monkeypatch.setattr(G, "MAX_LANDMARKS", 80)
+    assert G.marked([r[2] for r in rows]).sum() == 80 and G.marked(["a", "b"] * 100, 3).sum() == 6
+    model = G.fit(docs, F.lit(True))
+    order = {r.doc_id: r.o for r in docs.select("doc_id", F.xxhash64("doc_id").alias("o")).collect()}
+    rows.sort(key=lambda r: (r[2], order[r[0]]))
+    flags = np.zeros(G.BINS, bool)
+    alone = G.train([G.ngram_bins(r[1], flags) for r in rows], [r[2] for r in rows])
+    assert model.languages == alone.languages and np.array_equal(model.bins, alone.bins)
+    assert np.allclose(model.weights, alone.weights, atol=1e-4)
+    assert [r.lang_pred == r.lang for r in G.predict(docs, model).join(docs, "doc_id").collect()].count(False) == 0
+
+
+def test_language_rows_of_one_id(spark):
+    """An id of very many rows teaches one text a language."""
+    docs = spark.range(3000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("the words "), F.col("id")).alias("text"),
+                                    F.lit("en").alias("lang"))
+    other = spark.createDataFrame([(2, "les mots", "fr")], "doc_id long, text string, lang string")
+    model = G.fit(docs.union(other), F.lit(True))
+    assert model.languages == ["en", "fr"] and len(model.bins) < 60
+
+
 def test_language_edge_rows(spark):
     docs = spark.createDataFrame(
         [(1, "hello the world", "en", 1), (2, "bonjour le monde été", "fr", 1), (3, None, "en", 1), (4, "", None, 1),

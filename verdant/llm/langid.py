@@ -11,15 +11,17 @@ side: since ((P L^T) K^-1/2) W = P (L^T (K^-1/2 W)), the right factor (bins x
 languages) is multiplied out once when the model is fitted.
 
 The fit uses a bounded sample: at most ``PER_LANGUAGE`` texts of each language,
-the first by a hash of their id, ``LANDMARKS`` of them as landmarks.
+the first by a hash of their id, ``LANDMARKS`` of them as landmarks (``MAX_LANDMARKS``
+over all languages).  Features and their products are made in the tasks.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0,
 as is every text when nothing could be learned; rows with a null language teach
-nothing; repeated rows are predicted each.
+nothing, as do rows with a null id; repeated rows are predicted each.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,12 +29,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from verdant.llm.common import small_batches
+from verdant.llm.common import forget, small_batches, stored
 
 BINS = 1 << 18
 PER_LANGUAGE = 300
 LANDMARKS = 64
+MAX_LANDMARKS = 1024
+BLOCK = 1 << 14     # bins whose presence is unpacked at a time
+PARTS = 16          # tasks that the sample's texts are dealt over
 SALTS = 64
 RIDGE = 1e-2
 CHUNK = 1 << 20
@@ -77,61 +83,145 @@ class Model:
         return out
 
 
-def train(bins: list[np.ndarray], languages: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
-    """Fit on texts given by their bins; the first ``landmarks`` of each language are landmarks."""
-    names = sorted(set(languages))
-    marks = [i for name in names for i in [j for j, x in enumerate(languages) if x == name][:landmarks]]
-    known = np.unique(np.concatenate([bins[i] for i in marks])) if marks else np.empty(0, np.int64)
-
-    def rows(which: list[int]) -> np.ndarray:
-        out = np.zeros((len(which), len(known)), np.float32)
-        for r, i in enumerate(which):
-            at = np.searchsorted(known, bins[i])
-            at = at[(at < len(known)) & (known[np.minimum(at, len(known) - 1)] == bins[i])]
-            out[r, at] = 1 / np.sqrt(max(1, len(bins[i])))
+class Landmarks:
+    """Landmark texts by the packed bits of their bins (``BINS`` / 8 bytes each, however long the text)."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits = bits
+        self.norm = 1 / np.sqrt(np.maximum(1, np.bitwise_count(bits).sum(axis=1))).astype(np.float32)
+        same = np.zeros((len(bits), len(bits)))
+        for at in range(0, BINS, BLOCK):
+            land = self.block(at)
+            same += land @ land.T
+        value, vector = np.linalg.eigh(same)
+        keep = value > 1e-6 * value.max()
+        self.half = vector[:, keep] / np.sqrt(value[keep])      # K(L, L)^-1/2
+
+    def block(self, at: int) -> np.ndarray:
+        """Presence rows of the bins from ``at`` on, a block of them."""
+        return np.unpackbits(self.bits[:, at // 8:(at + BLOCK) // 8], axis=1) * self.norm[:, None]
+
+    def features(self, texts: list[np.ndarray]) -> np.ndarray:
+        """Nystroem features K(., L) K(L, L)^-1/2 of texts given by their sorted bins."""
+        kernel = np.zeros((len(texts), len(self.bits)))
+        for at in range(0, BINS, BLOCK):
+            rows = np.zeros((len(texts), BLOCK), np.float32)
+            for r, bins in enumerate(texts):
+                lo, hi = np.searchsorted(bins, (at, at + BLOCK))
+                rows[r, bins[lo:hi] - at] = 1 / np.sqrt(max(1, len(bins)))
+            kernel += rows @ self.block(at).T
+        return kernel @ self.half
+
+    def sums(self, texts: list[np.ndarray], languages: list[str], names: list[str], weight: dict[str, float]) -> np.ndarray:
+        """What the regression needs of these texts: features x (features, then languages), weighted."""
+        out = np.zeros((self.half.shape[1], self.half.shape[1] + len(names)))
+        for a in range(0, len(texts), 64):
+            f = self.features(texts[a:a + 64])
+            part = np.array(languages[a:a + 64])
+            target = np.where(part[:, None] == np.array(names)[None, :], 1.0, -1.0)
+            out += (f * np.array([weight[x] for x in part])[:, None]).T @ np.hstack([f, target])
         return out
 
-    if not marks:
-        return Model([], known, np.zeros((0, 0), np.float32))
-    land = rows(marks)
-    value, vector = np.linalg.eigh((land @ land.T).astype(np.float64))
-    keep = value > 1e-6 * value.max()
-    half = vector[:, keep] / np.sqrt(value[keep])          # K(L, L)^-1/2
-    every = rows(list(range(len(bins)))) @ land.T @ half    # Nystroem features
-    target = np.where(np.array(languages)[:, None] == np.array(names)[None, :], 1.0, -1.0)
-    weight = 1 / np.array([languages.count(x) for x in languages])  # languages count alike
-    gram = every.T @ (every * weight[:, None]) + ridge * np.eye(every.shape[1])
-    solved = np.linalg.solve(gram, every.T @ (target * weight[:, None]))
-    return Model(names, known, (land.T @ (half @ solved)).astype(np.float32))
+    def solve(self, sums: np.ndarray, names: list[str], ridge: float) -> Model:
+        """Ridge regression from the sums of all texts, multiplied out to a weight by bin and language."""
+        n = self.half.shape[1]
+        side = self.half @ np.linalg.solve(sums[:, :n] + ridge * np.eye(n), sums[:, n:])
+        known, weights = [], []
+        for at in range(0, BINS, BLOCK):
+            land = self.block(at)
+            seen = np.flatnonzero(land.any(axis=0))
+            known.append(seen + at)
+            weights.append((land[:, seen].T @ side).astype(np.float32))
+        return Model(names, np.concatenate(known), np.vstack(weights))
+
+
+def packed(bins: np.ndarray) -> np.ndarray:
+    flags = np.zeros(BINS, bool)
+    flags[bins] = True
+    return np.packbits(flags)
+
+
+def marked(languages: list[str], landmarks: int = LANDMARKS) -> np.ndarray:
+    """Which of the texts are landmarks: the first of each language, ``MAX_LANDMARKS`` in all
+    (but one of each language at least)."""
+    per = min(landmarks, max(1, MAX_LANDMARKS // max(1, len(set(languages)))))
+    seen: Counter = Counter()
+    out = np.zeros(len(languages), bool)
+    for i, name in enumerate(languages):
+        out[i] = seen[name] < per
+        seen[name] += 1
+    return out
+
+
+NOTHING = (np.empty(0, np.int64), np.zeros((0, 0), np.float32))
+
+
+def train(bins: list[np.ndarray], languages: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
+    """Fit on texts given by their bins, in one process."""
+    if not bins:
+        return Model([], *NOTHING)
+    names, counts = sorted(set(languages)), Counter(languages)
+    land = Landmarks(np.stack([packed(bins[i]) for i in np.flatnonzero(marked(languages, landmarks))]))
+    return land.solve(land.sums(bins, languages, names, {x: 1 / n for x, n in counts.items()}), names, ridge)
 
 
 def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS) -> Model:
-    """Learn from the rows where ``learn`` holds and the language isn't null."""
-    small_batches(docs.sparkSession)
+        per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
+    """Learn from the rows where ``learn`` holds and the language isn't null.
+
+    The tasks turn the sampled texts into features and add up their products; the driver
+    holds the sample's ids, the landmarks' bits and the sums, none of which grow with the
+    texts.  Of rows that share id and language the smallest text is learned from."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    rows = (docs.filter(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+            .select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")))
     # the first of each language among the first of its parts, so no task ranks them all
     rank = Window.partitionBy("lang").orderBy("order", "id")
     part = Window.partitionBy("lang", F.pmod("order", F.lit(SALTS))).orderBy("order", "id")
-    ids = (docs.filter(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-           .select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("order"))
+    ids = (rows.filter(F.col("id").isNotNull()).select("id", "lang", F.xxhash64("id").alias("order"))
            .withColumn("n", F.row_number().over(part)).filter(F.col("n") <= per_language)
            .withColumn("n", F.row_number().over(rank)).filter(F.col("n") <= per_language)
            .select("id", F.col("lang").alias("learned"), "order").distinct())
-    # at most per_language rows a language
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    rows = (rows.join(F.broadcast(ids), (rows["id"] == ids["id"]) & (rows["lang"] == ids["learned"]))
-            .select("learned", "order", "text"))
+    chosen = sorted(ids.collect(), key=lambda r: (r.learned, r.order, str(r.id)))  # at most per_language a language
+    if not chosen:
+        return Model([], *NOTHING)
+    languages = [r.learned for r in chosen]
+    names, counts = sorted(set(languages)), Counter(languages)
+    weight = {x: 1 / n for x, n in counts.items()}
+    marks = marked(languages, landmarks)
+    sample = spark.createDataFrame([(*r, i if m else None) for i, (r, m) in enumerate(zip(chosen, marks))],
+                                   T.StructType([*ids.schema.fields, T.StructField("mark", T.LongType())]))
+    texts = (rows.join(F.broadcast(sample), (rows["id"] == sample["id"]) & (rows["lang"] == sample["learned"]))
+             .groupBy(sample["id"], "learned", "mark").agg(F.min("text").alias("text")))
 
     def bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flags = np.zeros(BINS, bool)
         for b in batches:
-            out = [ngram_bins(t or "", flags).astype(np.int32) for t in b["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([b["learned"], b["order"], pa.array(out, pa.list_(pa.int32()))],
-                                             ["learned", "order", "bins"])
+            found = [packed(ngram_bins(t, flags)).tobytes() for t in b["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([b["learned"], b["mark"], pa.array(found, pa.binary())], ["learned", "mark", "bits"])
+
+    kept = stored(texts.repartition(PARTS, F.xxhash64("id")).mapInArrow(bins, "learned string, mark long, bits binary"),
+                  "langid-sample")
+    first = kept.filter(F.col("mark").isNotNull()).orderBy("mark").select("bits").collect()  # MAX_LANDMARKS or a language each
+    land = Landmarks(np.stack([np.frombuffer(r.bits, np.uint8) for r in first]))
 
-    got = rows.mapInArrow(bins, "learned string, order long, bins array<int>").toArrow()
-    got = got.take(pa.compute.sort_indices(got, [("order", "ascending"), ("learned", "ascending")]))
-    return train([np.asarray(x.values) for x in got["bins"]], got["learned"].to_pylist(), landmarks)
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for b in batches:
+            if b.num_rows:
+                got = [np.flatnonzero(np.unpackbits(np.frombuffer(x, np.uint8))) for x in b["bits"].to_pylist()]
+                mine = land.sums(got, b["learned"].to_pylist(), names, weight)
+                total = mine if total is None else total + mine
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+    shape = (land.half.shape[1], land.half.shape[1] + len(names))
+    total = np.zeros(shape)
+    for r in kept.select("learned", "bits").mapInArrow(sums, "sums binary").toLocalIterator():
+        total += np.frombuffer(r.sums).reshape(shape)
+    forget(kept)
+    return land.solve(total, names, ridge)
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
