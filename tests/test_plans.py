@@ -150,3 +150,35 @@ def test_scratch_needs_a_shared_folder_unless_local(monkeypatch):
 
     with pytest.raises(ValueError):
         S.scratch_root(Session())
+
+
+def test_filters_by_time_run_in_the_dealt_tasks(spark):
+    """A filter that parses the time stays above the shuffle that deals the rows over tasks."""
+    import datetime as dt
+
+    from verdant import catalog as C
+    from verdant.plans import pipeline as P
+
+    sheet = C._sheet(spark, SF).where(C._until(C.CUTOFFS[0]))
+    typed = P.extract_typed(CL.typed(raw_readings(spark, SF), parse_partitions=4), dt.datetime(2024, 1, 10))
+    for df in (sheet, typed):
+        above, *below = re.split(r"\bExchange\b", plan(df))
+        assert below and "gettimestamp" in above
+        assert not any("gettimestamp" in part for part in below)
+    ts = C.parse_timestamp("Timestamp")
+    plain = raw_readings(spark, SF)
+    kept = plain.where(ts.isNull() | (ts <= C._ts_col(C.CUTOFFS[0])))
+    assert sorted(sheet.collect()) == sorted(kept.collect())
+
+
+def test_sheet_is_dealt_by_its_events(spark, monkeypatch):
+    from verdant import catalog as C
+
+    monkeypatch.setattr(C, "TASK_EVENTS", 100)
+    assert C._sheet(spark, SF).rdd.getNumPartitions() == 20      # 1,000 events, and as many tasks of copies
+
+
+def test_parse_has_no_method_that_the_jvm_leaves_uncompiled(spark):
+    from verdant.session import configure
+
+    assert configure(spark).conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"

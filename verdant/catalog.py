@@ -43,6 +43,7 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
 HWM = "2024-01-15 00:00:00"          # high-water mark used by incremental queries
 OVERLAP_HWM = "2024-01-14 23:00:00"  # HWM minus a one-hour overlap
 PLANT = "Plant-A 7"
+TASK_EVENTS = 250_000                # events that one task turns into readings
 
 
 def register(name: str, oracle: str | None):
@@ -66,6 +67,21 @@ def _cores(spark: SparkSession) -> int:
     return spark.sparkContext.defaultParallelism
 
 
+def _sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw grid for queries that run the pipeline: dealt over all cores, and over more tasks
+    where a task would get over ``TASK_EVENTS`` events (Parquet footers count them)."""
+    events = read_table(spark, sf_dir, "events").count()
+    return raw_readings(spark, sf_dir, max(_cores(spark), -(-events // TASK_EVENTS)))
+
+
+def _until(cutoff: str | None):
+    """Rows of the sheet up to ``cutoff``; those without a readable time are in every run's sheet.
+    One reference to the timestamp, so that it is parsed once."""
+    if cutoff is None:
+        return F.lit(True)
+    return F.coalesce(parse_timestamp("Timestamp") <= F.lit(cutoff).cast(T.TimestampNTZType()), F.lit(True))
+
+
 def _typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return CL.typed(_raw(spark, sf_dir), parse_partitions=_cores(spark))
 
@@ -486,12 +502,10 @@ def run_log(spark, sf_dir):
 
 
 def _three_runs_with_rejects(spark, sf_dir):
-    raw = _raw(spark, sf_dir)
+    raw = _sheet(spark, sf_dir)
     target, state, rej, logp = (fresh_dir(spark, n) for n in ("fact", "hwm", "rejects", "runlog"))
-    ts = parse_timestamp(F.col("Timestamp"))
     for cutoff, run_ts in zip(CUTOFFS, RUN_TIMES):
-        sheet = raw if cutoff is None else raw.where(ts.isNull() | (ts <= _ts_col(cutoff)))
-        P.run(spark, sheet, target, state, run_ts=run_ts, rejects_path=rej, run_log_path=logp)
+        P.run(spark, raw.where(_until(cutoff)), target, state, run_ts=run_ts, rejects_path=rej, run_log_path=logp)
     return rej, logp
 
 

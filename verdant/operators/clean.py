@@ -24,6 +24,7 @@ Three plans share the same expressions:
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -113,6 +114,14 @@ def holds_unmapped(df: DataFrame) -> bool:
     return K.UNMAPPED_COL in df.columns and isinstance(df.schema[K.UNMAPPED_COL].dataType, T.VariantType)
 
 
+def pinned(df: DataFrame) -> DataFrame:
+    """The frame as it is, with filters above it left there.
+
+    Catalyst moves a filter below a shuffle, and with it the parse that the filter compares:
+    it would then run in the few tasks that read the source.  It moves none past a metric."""
+    return df.observe(f"pinned-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("rows"))
+
+
 def typed(raw: DataFrame, formats: Sequence[str] = K.TIMESTAMP_FORMATS,
           parse_partitions: int | None = None) -> DataFrame:
     """Rename and parse every contract column.
@@ -130,7 +139,7 @@ def typed(raw: DataFrame, formats: Sequence[str] = K.TIMESTAMP_FORMATS,
     """
     df = with_row_no(rename_columns(raw))
     if parse_partitions:
-        df = df.repartition(parse_partitions, K.ROW_NO)
+        df = pinned(df.repartition(parse_partitions, K.ROW_NO))
     over = f"{_ident(K.EXTRA_COL)} IS NOT NULL" if K.EXTRA_COL in df.columns else "false"
     extra = [c for c in df.columns if c not in K.RENAME_MAP.values()
              and c not in (K.ROW_NO, K.FLAW_COL)]

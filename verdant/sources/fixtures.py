@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contract import ROW_NO
+from ..operators.clean import pinned
 
 # Copies of every event with event_id % COPY_MOD = 0 re-appear later in the grid.
 # The ordinal of an event is twice its id, that of its copy one more: copies are
@@ -67,14 +68,20 @@ def _cells(e: DataFrame) -> DataFrame:
     )
 
 
-def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The dirty grid R (see module doc); reads only the columns it needs."""
+def raw_readings(spark: SparkSession, sf_dir: str, tasks: int | None = None) -> DataFrame:
+    """The dirty grid R (see module doc); reads only the columns it needs.
+
+    ``tasks`` deals the events over so many tasks, which then make the grid's rows and run
+    what the caller does with them, filters too."""
     e = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    if tasks:
+        e = e.repartition(tasks, "event_id")
     base = _cells(e)
     copies = (base.where((F.col(ROW_NO) % (2 * COPY_MOD)) == 0)
               .withColumn(ROW_NO, F.col(ROW_NO) + 1)
               .withColumn("Status", F.lit("dead")))
-    return base.unionByName(copies)
+    grid = base.unionByName(copies)
+    return pinned(grid) if tasks else grid
 
 
 # DuckDB text of the same grid (oracle side).
