@@ -48,3 +48,26 @@ def test_hot_plant_latest_and_upsert(spark, scratch):
     assert again.rows_updated == N and again.rows_inserted == 0
     t = UP.read_table(spark, path)
     assert t.count() == N and t.where("status = 'Wilted'").count() == N
+
+
+def test_dedup_over_given_partitions(spark):
+    """As many tasks as asked for, a hot key split by the source's tasks, the same rows."""
+    raw = _rows(spark, hot_key=True).repartition(6, K.ROW_NO)
+    t = CL.typed(raw)
+    dealt = CL.dedup_keep_last(t, partitions=13)
+    assert dealt.rdd.getNumPartitions() == 13
+    p = dealt._jdf.queryExecution().executedPlan().toString()
+    assert "_task" in p.split("hashpartitioning(")[2].split("REPARTITION")[0]
+    assert sorted(dealt.collect()) == sorted(CL.dedup_keep_last(t).collect())
+    assert dealt.count() == N - N // 3 + 1
+
+
+def test_tasks_follow_the_bytes_of_the_files(spark, scratch, monkeypatch):
+    from verdant.sources import grid as G
+
+    path = scratch("grid")
+    G.write_grid(_rows(spark, hot_key=False), path, K.RAW_COLUMNS)
+    total = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).agg(F.sum("length")).first()[0]
+    assert G.tasks_for(spark, path) == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(G, "TASK_BYTES", total // 9)
+    assert G.tasks_for(spark, path) >= 9

@@ -843,8 +843,8 @@ def dedup_multi_file(spark, sf_dir):
     schema = T.StructType(K.RAW_SCHEMA.fields[1:])
     records = J.read_records(spark, f"{js}/*", schema, with_ordinal=True)
     out = None
-    for kind, grid in (("csv", G.read_grid(spark, csv)), ("json", records)):
-        last = CL.dedup_keep_last(CL.drop_bad_rows(CL.typed(grid))).select(
+    for kind, grid, path in (("csv", G.read_grid(spark, csv), csv), ("json", records, js)):
+        last = CL.dedup_keep_last(CL.drop_bad_rows(CL.typed(grid)), partitions=G.tasks_for(spark, path)).select(
             F.lit(kind).alias("kind"), "timestamp", "plant_name", (F.col("status") == "Dead").alias("from_later_file"))
         out = last if out is None else out.unionByName(last)
     return out

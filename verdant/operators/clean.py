@@ -195,8 +195,21 @@ def drop_bad_rows(df: DataFrame, max_future: str | None = None,
 
 
 def dedup_keep_last(df: DataFrame, keys: Sequence[str] = K.KEY_COLS,
-                    order_col: str = K.ROW_NO) -> DataFrame:
-    """One row per key: the one with the highest ``order_col``."""
+                    order_col: str = K.ROW_NO, partitions: int | None = None) -> DataFrame:
+    """One row per key: the one with the highest ``order_col``.
+
+    ``partitions`` deals the keys over so many tasks, for rows that shrink much when they are
+    shuffled (all have the path of their file): AQE packs partitions by their shuffled bytes, and
+    a task would sort many times as much.  Each key is first cut to one row per task of the
+    source, which splits a hot key."""
+    if partitions:
+        df = df.withColumn("_task", F.spark_partition_id())
+        df = _last(df.repartition(partitions, *keys, "_task"), [*keys, "_task"], order_col).drop("_task")
+        df = df.repartition(partitions, *keys)
+    return _last(df, keys, order_col)
+
+
+def _last(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(F.col(order_col).desc())
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 

@@ -32,6 +32,7 @@ from .. import contract as K
 from ..contract import EXTRA_COL
 from ..session import is_missing
 
+TASK_BYTES = 16 << 20    # of source files, for a task that holds its rows
 RAW_COL = "_raw"     # the whole line of a row whose number of cells isn't its header's
 # one cell of a line with a comma in front: quoted (a quote inside is escaped, or not followed by a comma), or bare
 _CELL = r',("[^"\\]*+(?:(?s:\\.|"(?!,|\z))[^"\\]*+)*+"|[^,]*)'
@@ -63,6 +64,14 @@ def list_files(spark: SparkSession, path: str) -> list[GridFile]:
     return sorted(files, key=lambda f: (f.modified, f.path))
 
 
+def tasks_for(spark: SparkSession, path: str) -> int:
+    """Over how many tasks the rows under ``path`` are dealt where a task holds its share of them:
+    ``TASK_BYTES`` of files each, one per core at least (a listing: no content is read)."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    total = files.agg(F.sum("length").alias("n")).first()["n"] or 0
+    return max(spark.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
+
+
 def header(spark: SparkSession, path: str, multi_line: bool = False) -> list[str] | None:
     """Header names (trimmed) of one file, None if it has no line.
 
