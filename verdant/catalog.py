@@ -442,13 +442,10 @@ RUN_TIMES = ("2025-05-01 10:00:00", "2025-05-01 10:30:00", "2025-05-01 11:00:00"
 
 
 def _incremental_runs(spark, sf_dir):
-    raw = _raw(spark, sf_dir)
+    raw = _sheet(spark, sf_dir)
     target, state = fresh_dir(spark, "fact"), fresh_dir(spark, "hwm")
-    ts = parse_timestamp(F.col("Timestamp"))
     for cutoff, run_ts in zip(CUTOFFS, RUN_TIMES):
-        sheet = raw if cutoff is None else raw.where(
-            ts.isNull() | (ts <= F.lit(cutoff).cast(T.TimestampNTZType())))
-        P.run(spark, sheet, target, state, run_ts=run_ts)
+        P.run(spark, raw.where(_until(cutoff)), target, state, run_ts=run_ts)
     return target, state
 
 
@@ -496,7 +493,7 @@ select '{K.PIPELINE_NAME}' as pipeline_name, (select count(*) from R) as rows_ex
        (select count(*) from C) as rows_loaded, 'SUCCESS' as status"""))
 def run_log(spark, sf_dir):
     target, state, logp = (fresh_dir(spark, n) for n in ("fact", "hwm", "runlog"))
-    P.run(spark, _raw(spark, sf_dir), target, state, run_log_path=logp, run_ts=RUN_TS)
+    P.run(spark, _sheet(spark, sf_dir), target, state, run_log_path=logp, run_ts=RUN_TS)
     return P.read_run_log(spark, logp).select(
         "pipeline_name", "rows_extracted", "rows_rejected", "rows_loaded", "status")
 
@@ -531,7 +528,7 @@ def run_log_three_runs(spark, sf_dir):
     f"where timestamp <= TIMESTAMP '{CUTOFFS[1]}'"))
 def hwm_monotonic_overlap(spark, sf_dir):
     """A run of late rows alone, read through an overlap, leaves the mark where it is."""
-    raw, ts = _raw(spark, sf_dir), parse_timestamp(F.col("Timestamp"))
+    raw, ts = _sheet(spark, sf_dir), parse_timestamp(F.col("Timestamp"))
     target, state = fresh_dir(spark, "fact"), fresh_dir(spark, "hwm")
     P.run(spark, raw.where(ts <= _ts_col(CUTOFFS[1])), target, state, run_ts=RUN_TIMES[0])
     P.run(spark, raw.where(ts <= _ts_col(CUTOFFS[0])), target, state, run_ts=RUN_TIMES[1], overlap="30 days")
@@ -970,7 +967,7 @@ def rejects_cells(spark, sf_dir):
     f"then TIMESTAMP '{RUN_TIMES[0]}' else TIMESTAMP '{RUN_TIMES[1]}' end as etl_inserted_at) from C"))
 def hwm_per_plant(spark, sf_dir):
     """One plant runs ahead of the others in the first run and hides none of their rows in the second."""
-    raw = _raw(spark, sf_dir)
+    raw = _sheet(spark, sf_dir)
     ahead = F.trim(F.lower("Plant Name")) == PLANT.lower()
     first = raw.where(ahead | (parse_timestamp(F.col("Timestamp")) <= _ts_col(CUTOFFS[0])))
     target, state, marks = (fresh_dir(spark, n) for n in ("fact", "hwm", "marks"))
