@@ -82,6 +82,23 @@ def test_contamination_beyond_the_broadcast_bound_and_with_empty_tables(spark, m
     assert D.contamination(docs.limit(0), bench).count() == 0
 
 
+def test_candidates_of_documents_are_not_broadcast(spark, monkeypatch):
+    """Of the documents' side only hashes are broadcast, and beyond their bound nothing."""
+    items, texts = random_case(4)
+    docs, bench = docs_frame(spark, texts + texts[:3]), spark.createDataFrame(items, "item_id long, text string")
+    real, sent = D.F.broadcast, []
+
+    def seen(df):
+        sent.append(sorted(df.columns))
+        return real(df)
+    monkeypatch.setattr(D.F, "broadcast", seen)
+    want = sorted(map(str, D.contamination(docs, bench).collect()))
+    assert sent == [["s"], ["off", "s", "win"], ["h"]]
+    monkeypatch.setattr(D, "BROADCAST_KEYS", 0)
+    assert sorted(map(str, D.contamination(docs, bench).collect())) == want
+    assert sent[3:] == [["s"], ["off", "s", "win"]]
+
+
 def test_null_ids_of_documents_and_items(spark):
     body = " ".join(f"w{i}" for i in range(20))
     docs = docs_frame(spark, [(None, body), (None, "clean"), (1, body)])

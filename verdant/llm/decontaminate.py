@@ -9,9 +9,10 @@ end inside the document) come before the exact comparison of the words.
 
 Only DataFrame functions run here.  Rarity is counted over all documents.  The
 windows' side is broadcast while it has at most ``BROADCAST_ROWS`` rows; beyond
-that the joins shuffle.  Exploded rows hold a place and a hash; only documents with
-a candidate are read again for their words, so work grows with a text's words, not
-with their square.
+that the joins shuffle.  Exploded rows hold a place and a hash; documents are read
+again for the words of those with a candidate, so work grows with a text's words,
+not with their square.  Of the documents' side at most ``BROADCAST_KEYS`` hashes
+are broadcast; candidates meet their texts through a shuffle.
 
 Defined results: a null text has no words; a null or repeated item counts by
 its id as text (null ids name no item); rows that agree in id and text are one
@@ -28,6 +29,7 @@ from verdant.llm.common import ascii_lower, forget, stored
 WINDOW = 13
 SHINGLE = 3
 BROADCAST_ROWS = 200_000
+BROADCAST_KEYS = 1_000_000  # hashes of texts with a candidate, 8 bytes each
 
 # What parts words: ASCII other than digits and (lower-case) letters.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -110,23 +112,26 @@ def occurrences(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_
     met = stored(met.filter(F.col("pos").isNull() | F.coalesce(fits, F.lit(False)))
                  .select("doc", "h", "n_words", "start", "win"), "decon-candidates")
 
-    # the exact words: the candidates of a document meet its text, which is parted once
-    tried = met.filter("win is not null").groupBy(F.col("doc").alias("__doc"), F.col("h").alias("__h")).agg(
-        F.max("n_words").alias("n_words"), F.collect_set(F.struct("start", "win")).alias("cs"))
-    tried = stored(tried, "decon-tried")
-    same = docs[id_col].eqNullSafe(tried["__doc"]) & (F.xxhash64(docs[text_col]) == tried["__h"])
-    each = docs.join(_small(tried, tried.count()), same).select("__doc", "__h", "n_words", "cs", docs[text_col].alias("__t"))
-    each = each.dropDuplicates(["__doc", "__h"])
+    # the exact words: the candidates of a document meet its text, which is parted once.  Texts
+    # with a candidate are picked by their hashes; neither candidates nor texts are broadcast
+    tried = met.filter("win is not null")
+    keys = stored(tried.select("h").distinct(), "decon-keys")
+    texts = docs.select(F.col(id_col).alias("doc"), F.xxhash64(F.col(text_col)).alias("h"), F.col(text_col).alias("t"))
+    if keys.count() <= BROADCAST_KEYS:
+        texts = texts.join(F.broadcast(keys), "h", "left_semi")
+    sides = texts.unionByName(tried.select("doc", "h", "n_words", F.struct("start", "win").alias("c")), allowMissingColumns=True)
+    each = sides.groupBy("doc", "h").agg(F.first("t", ignorenulls=True).alias("t"), F.max("n_words").alias("n_words"),
+                                         F.collect_set("c").alias("cs")).filter(F.size("cs") > 0)
 
     def held(ws: Column) -> Column:
         return F.filter(F.col("cs"), lambda c: F.slice(ws, c["start"] + 1, F.size(c["win"])) == c["win"])
 
-    found = F.transform(F.array(words(F.col("__t"))), held)[0]
-    hits = each.select(F.col("__doc").alias("doc"), F.col("__h").alias("h"), "n_words", F.explode(found).alias("c")).select(
+    found = F.transform(F.array(words(F.col("t"))), held)[0]
+    hits = each.select("doc", "h", "n_words", F.explode(found).alias("c")).select(
         "doc", "h", "n_words", "c.start", F.size("c.win").alias("len"), "c.win")
     marks = met.filter("win is null").select("doc", "h", "n_words", "start", F.lit(None).cast("int").alias("len"), "win")
     hits = stored(marks.unionByName(hits), "decon-hits")
-    forget(met, tried, prefix, seen)
+    forget(met, keys, prefix, seen)
     return hits, wins
 
 
