@@ -271,6 +271,63 @@ def test_packed_values_come_back():
         assert np.array_equal(N._unpacked(N._packed(values)), values)
 
 
+@pytest.mark.parametrize("bits", [32, 36, 40])
+def test_packed_values_stay_small_as_the_values_widen(bits):
+    """As many values as a task holds of a range, out of 2**bits: the steps' width decides, no fixed one."""
+    rng = np.random.default_rng(3)
+    values = np.unique(rng.integers(0, 2 ** bits, 1_000_000, dtype=np.uint64))
+    parts = np.split(values, range(300, len(values), 300))
+    packed = [N._packed(x) for x in parts]
+    assert all(np.array_equal(N._unpacked(p), x) for p, x in zip(packed, parts))
+    assert sum(map(len, packed)) < len(values) * (bits - 20 + 4) / 8 + 9 * len(parts)
+
+
+def test_a_write_leaves_no_shuffle_files(spark):
+    """Those of a stored frame go at once, those of other queries stay."""
+    from pathlib import Path
+    from verdant.llm.common import CLEANUP, stored
+    local = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+
+    def files():
+        return {p for d in local for p in Path(d).rglob("shuffle_*")}
+    kept = spark.range(100_000).repartition(7, "id").selectExpr("id * 2 AS x").persist()
+    kept.count()
+    before = files()
+    was = spark.conf.get(CLEANUP, None)
+    frame = stored(spark.range(100_000).repartition(7, "id"), "t")
+    import time
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(.1)
+    assert not files() - before and files() >= before and len(before) > 0
+    assert frame.count() == kept.count() == 100_000 and spark.conf.get(CLEANUP, None) == was
+    kept.unpersist()
+
+
+def test_blocks_compared_in_passes_give_the_same_links(spark, monkeypatch):
+    texts = near_copies(8)
+    monkeypatch.setattr(N, "BLOCK", 2)
+    monkeypatch.setattr(N, "ASKING", 2)
+    monkeypatch.setattr(N, "GROUP", 4)
+    real, real_stored, found, names = N.asked, N.stored, [], []
+    monkeypatch.setattr(N, "stored", lambda df, name: names.append(name) or real_stored(df, name))
+
+    def twice(asks, members, known):
+        names.clear()
+        once = real(asks, members, known)
+        assert names.count("jac-links") == 1
+        monkeypatch.setattr(N, "PASS_BYTES", 1)
+        few = real(asks, members, known)
+        assert names.count("jac-links") > 3
+        found.extend(sorted(map(tuple, x.collect())) for x in (once, few))
+        return few
+    monkeypatch.setattr(N, "asked", twice)
+    got = N.join_components(docs_frame(spark, texts)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(texts)
+    assert found[0] == found[1]
+
+
 def test_join_with_null_ids_shared_ids_and_empty_table(spark):
     a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
     docs = docs_frame(spark, [(None, a), (3, a), (4, a), (5, b), (5, a), (6, b)])
